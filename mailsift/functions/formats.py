@@ -42,6 +42,15 @@ BUILT_IN = (
 )
 
 
+def _quote(text: str) -> str:
+    return "".join(c if c.isalnum() else "\\" + c for c in text)
+
+
+def _look_up(values: dict[str, str], key: Column) -> Column:
+    table = F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+    return F.coalesce(F.try_element_at(table, key), F.lit(UNKNOWN))
+
+
 @dataclass(frozen=True)
 class Formats:
     """An immutable set of formats; travels to the executors with the job."""
@@ -64,28 +73,24 @@ class Formats:
         return Formats((*(f for f in kept if f.suffixes and f.name != added.name), added))
 
     def of(self, filename: str) -> Format | None:
+        """The format with the longest matching suffix."""
         lower = filename.lower()
-        for fmt in self.items:
-            if lower.endswith(fmt.suffixes):
-                return fmt
-        return None
+        found = [(len(s), f) for f in self.items for s in f.suffixes if lower.endswith(s)]
+        return max(found, key=lambda pair: pair[0])[1] if found else None
 
     # -- column expressions -------------------------------------------------
+    # Lookups in constant maps, so that an expression stays small however often
+    # it is used inside another.
 
     def detect(self, filename: Column) -> Column:
         """Format of a file name by its suffix, case-insensitive; else unknown."""
-        lower = F.lower(filename)
-        out = F.lit("unknown")
-        for fmt in reversed(self.items):
-            for suffix in fmt.suffixes:
-                out = F.when(lower.endswith(suffix), fmt.name).otherwise(out)
-        return out
+        by_suffix = {s: f.name for f in self.items for s in f.suffixes}
+        # The leftmost match at the end of the name is the longest suffix.
+        pattern = "(" + "|".join(_quote(s) for s in by_suffix) + r")\z"
+        return _look_up(by_suffix, F.regexp_extract(F.lower(filename), pattern, 1))
 
     def file_type(self, fmt: Column) -> Column:
-        out = F.lit(UNKNOWN)
-        for item in self.items:
-            out = F.when(fmt == item.name, item.file_type).otherwise(out)
-        return out
+        return _look_up({f.name: f.file_type for f in self.items}, fmt)
 
     def is_supported(self, fmt: Column) -> Column:
         return fmt.isin([f.name for f in self.items if f.supported])
