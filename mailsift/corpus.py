@@ -17,11 +17,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mailsift.session import spread
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def wide_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table whose rows are to be worked on in Python."""
+    return spread(table(spark, folder, name))
+
+
 def _day(number: Column) -> Column:
     return F.concat(F.lit("2024-07-"), F.lpad((1 + number % 28).cast("string"), 2, "0"))
 
@@ -88,7 +95,7 @@ def mailbox_text(identity: Column, text: Column) -> Column:
 def document_mailboxes(spark: SparkSession, folder: str) -> DataFrame:
     number = F.col("doc_id").cast("string")
     return files(
-        table(spark, folder, "documents"),
+        wide_table(spark, folder, "documents"),
         F.col("source"),
         F.col("doc_id"),
         F.concat(number, F.lit(".mbox")),
@@ -99,7 +106,7 @@ def document_mailboxes(spark: SparkSession, folder: str) -> DataFrame:
 def conversation_mailboxes(spark: SparkSession, folder: str) -> DataFrame:
     """One mailbox per turn: columns ``turn_id`` and ``content``."""
     turn_id = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
-    return table(spark, folder, "conversations").select(
+    return wide_table(spark, folder, "conversations").select(
         turn_id.alias("turn_id"),
         "conv_id",
         bytes_of(mailbox_text(turn_id, F.col("text"))).alias("content"),
@@ -130,7 +137,7 @@ def page_mails(spark: SparkSession, folder: str) -> DataFrame:
     )
     name = F.concat(F.lit("mail-"), F.col("page_id").cast("string"), F.lit(".eml"))
     return files(
-        table(spark, folder, "pages"), F.lit("web"), F.col("page_id"), name, bytes_of(raw)
+        wide_table(spark, folder, "pages"), F.lit("web"), F.col("page_id"), name, bytes_of(raw)
     )
 
 

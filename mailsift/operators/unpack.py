@@ -43,6 +43,7 @@ _FLUSH_BYTES, _FLUSH_ROWS = 16 << 20, 1024
 # Bounds the row positions that fetching collects for one staged file.
 MAX_FILE_ROWS = 200_000
 MAX_TASKS = 100_000
+_TASK_BYTES = 64 << 20
 
 # Columns that place a row in the corpus; they pass through unpacking.
 PLACE = ["path", "namespace", "date_partition", "source_file", "entry_ord", "container_path"]
@@ -285,7 +286,8 @@ _PART = T.StructType(
 def open_parts(surveyed: DataFrame, formats: Formats, limits: Limits) -> DataFrame:
     """Large containers part by part: the parts of one file spread over all tasks."""
     count = surveyed.agg(F.coalesce(F.sum(F.size("parts")), F.lit(0))).first()[0]
-    tasks = min(max(count, surveyed.sparkSession.sparkContext.defaultParallelism), MAX_TASKS)
+    cores = surveyed.sparkSession.sparkContext.defaultParallelism
+    tasks = min(max(count * limits.part // _TASK_BYTES, cores), MAX_TASKS)
     parts = surveyed.select(
         *PLACE, "location", "format", F.explode("parts").alias("part")
     ).select(*PLACE, "location", "format", "part.*")

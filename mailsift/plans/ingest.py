@@ -24,7 +24,13 @@ from mailsift.functions import naming
 from mailsift.functions.formats import CONTAINER, DEFAULT, Formats
 from mailsift.functions.records import json_lines, now
 from mailsift.operators.attachments import BY_TEXT, attachment_counts, extract_attachments
-from mailsift.operators.capture import BACKFILL, INCREMENTAL, changed, newly_discovered
+from mailsift.operators.capture import (
+    BACKFILL,
+    INCREMENTAL,
+    SOURCE_KEY,
+    changed,
+    newly_discovered,
+)
 from mailsift.operators.entries import Limits, hash_in_storage
 from mailsift.operators.fetch import fetch_rows
 from mailsift.operators.first_wins import first_wins, without_known
@@ -40,7 +46,7 @@ from mailsift.operators.unpack import (
 )
 from mailsift.plans.ledger import Ledger
 from mailsift.schemas import FOUND
-from mailsift.session import new_work_dir
+from mailsift.session import new_work_dir, spread
 from mailsift.sources.bucket import list_files
 from mailsift.sources.storage import remove_tree
 
@@ -160,21 +166,21 @@ class _Run:
         if not large.isEmpty():
             wide = large.repartition(self.spark.sparkContext.defaultParallelism * 4, "path")
             surveyed = self.staged(survey_large(wide, self.limits.part), "survey")
-        spread = _spread(ordinary, options)
+        sized = _spread(ordinary, options)
 
         if self.mode == INCREMENTAL:
-            hashed = self.staged(_with_stored_hash(spread), "hashed")
+            hashed = self.staged(_with_stored_hash(sized), "hashed")
             known = self.ledger.discovered()
             fresh = self.staged(
                 changed(hashed, known, self.mode, self.is_small(hashed)), "fresh"
             ).select(*listing.columns)
-            spread = _spread(fresh, options)
+            sized = _spread(fresh, options)
             if surveyed is not None:
                 surveyed = self.staged(
                     changed(surveyed, known, self.mode, self.is_small(surveyed)), "survey-fresh"
                 )
 
-        rows = open_stored(spread, formats, self.limits)
+        rows = open_stored(sized, formats, self.limits)
         if surveyed is not None:
             parts = open_parts(_placed(surveyed), formats, self.limits)
             rows = rows.unionByName(parts).unionByName(_source_rows(surveyed, formats))
@@ -187,7 +193,7 @@ class _Run:
         if self.mode == INCREMENTAL:
             files = files.withColumn("content_hash", F.sha2("content", 256))
             files = changed(files, self.ledger.discovered(), self.mode)
-        self.found.add_level(open_inline(files, self.options.formats, self.limits))
+        self.found.add_level(open_inline(spread(files), self.options.formats, self.limits))
     # -- the common rest ---------------------------------------------------
 
     def finish(self) -> dict:
@@ -200,9 +206,7 @@ class _Run:
         winners = self.staged(
             without_known(
                 best,
-                ledger.processed().withColumnRenamed("content_hash", "uid_known").select(
-                    F.col("uid_known").alias("uid")
-                ),
+                ledger.processed().select("uid"),
                 "uid",
                 self.is_small(best),
             ),
@@ -211,29 +215,21 @@ class _Run:
         size = winners.agg(
             F.count(F.lit(1)).alias("mails"),
             F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"),
-            F.count_distinct("stage_file").alias("files"),
         ).first()
-        tasks = min(
-            MAX_TASKS, max(1, size["files"], -(-size["bytes"] // options.task_bytes))
-        )
-
-        self._write_mails(winners, tasks)
+        self._write_mails(winners, size["bytes"])
         self._write_attachments()
         self._write_manifest(winners)
 
         skips = self.found.skips().withColumn("discovered_at", now())
         ledger.write("skipped", run_id, skips)
         sources = self.found.sources()
-        known = ledger.discovered()
+        if self.mode == INCREMENTAL:  # the known ones were dropped at the start
+            fresh = sources.dropDuplicates(SOURCE_KEY)
+        else:
+            fresh = newly_discovered(sources, ledger.discovered(), self.is_small(sources))
         # The discovered ledger comes last: a run that breaks off has
         # discovered nothing.
-        ledger.write(
-            "discovered",
-            run_id,
-            newly_discovered(sources, known, self.is_small(sources)).withColumn(
-                "discovered_at", now()
-            ),
-        )
+        ledger.write("discovered", run_id, fresh.withColumn("discovered_at", now()))
         if options.write_json:
             self._write_json()
         return {
@@ -243,9 +239,33 @@ class _Run:
             "deduplicated": n_leaves - size["mails"],
         }
 
-    def _write_mails(self, winners: DataFrame, tasks: int) -> None:
+    def _write_mails(self, winners: DataFrame, size: int) -> None:
+        """Winners' bytes, laid out by folder.
+
+        A bucket's files were opened folder by folder, so the staged files are
+        laid out already and their rows are written as they come. Where each
+        staged file holds many folders (files that came as rows in any order),
+        writing like that would leave a file per task and folder; only then are
+        the bytes shuffled, once, into evenly sized pieces per folder. So is a
+        result too small to keep all cores at work.
+        """
+        pieces = winners.groupBy("stage_file").agg(
+            F.count_distinct("namespace", "date_partition").alias("folders")
+        )
+        layout = pieces.agg(
+            F.count(F.lit(1)).alias("files"),
+            F.coalesce(F.sum("folders"), F.lit(0)).alias("pieces"),
+        ).first()
+        tasks = max(1, layout["files"], -(-size // self.options.task_bytes))
         columns = ["uid", "namespace", "date_partition", "name", "format", "mail"]
-        fetched = fetch_rows(winners, self.found.folder, FOUND, columns, tasks)
+        fetched = fetch_rows(
+            winners, self.found.folder, FOUND, columns, min(tasks, MAX_TASKS)
+        )
+        evenly = max(1, size // self.options.task_bytes)
+        folders = winners.select("namespace", "date_partition").distinct().count()
+        few = size < self.spark.sparkContext.defaultParallelism * self.options.task_bytes
+        if few or layout["pieces"] > 2 * (folders + evenly):
+            fetched = fetched.hint("rebalance", "namespace", "date_partition")
         self.ledger.write(
             "emails",
             self.run_id,
@@ -270,12 +290,11 @@ class _Run:
     def _write_manifest(self, winners: DataFrame) -> None:
         ledger, run_id = self.ledger, self.run_id
         counts = attachment_counts(ledger.read_own("attachments", run_id).select("uid"))
-        manifest = self.staged(manifest_rows(winners, counts), "manifest")
-        ledger.write("manifest", run_id, manifest)
+        ledger.write("manifest", run_id, manifest_rows(winners, counts))
         ledger.write(
             "processed",
             run_id,
-            manifest.select(
+            ledger.read_own("manifest", run_id).select(
                 "content_hash",
                 "uid",
                 F.col("source_lineage.source_file").alias("source_path"),

@@ -145,6 +145,9 @@ class Ledger:
         fields = T.StructType([f for f in schema if f.name != "run_id"])
         return self.spark.read.schema(fields).parquet(f"{self.path(table)}/run_id={run_id}")
 
+    def last_run(self) -> DataFrame:
+        return last_completed(self.runs())
+
     def processed(self) -> DataFrame:
         return self.read("processed")
 

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailsift import corpus, session
-from mailsift.corpus import bytes_of, entry, table
+from mailsift.corpus import bytes_of, entry, table, wide_table
 from mailsift.functions import formats, naming, records
 from mailsift.functions.formats import CONTAINER, DEFAULT
 from mailsift.operators import capture, first_wins as fw
 from mailsift.operators.attachments import attachment_counts, extract_attachments, nested_attachments
 from mailsift.operators.entries import Limits
 from mailsift.operators.metrics import namespace_metrics
+from mailsift.operators.sql import register_table_functions
 from mailsift.operators.unpack import (
     Found,
     _placed,
@@ -411,7 +412,7 @@ def unzip_entries(spark, folder):
         ),
     )
     folder_entry = F.array(entry(F.lit("part/"), F.lit(b"")))
-    archives = table(spark, folder, "pages").select(
+    archives = wide_table(spark, folder, "pages").select(
         "page_id", corpus.zip_bytes(F.concat(folder_entry, lines)).alias("content")
     )
     return (
@@ -498,7 +499,7 @@ skips AS (
 SELECT path, reason, source AS namespace FROM skips""")
 def skip_report(spark, folder):
     """Every kind of skip for every document"""
-    docs = table(spark, folder, "documents")
+    docs = wide_table(spark, folder, "documents")
     text = bytes_of(F.col("text"))
     number = F.col("doc_id").cast("string")
     plain = docs.select(
@@ -539,7 +540,7 @@ FROM messages""")
 def own_format(spark, folder):
     """A container format and a mail format of the user's own"""
     own = DEFAULT.register(".note", "single_email").register(".lines", CONTAINER, _line_reader)
-    docs = table(spark, folder, "documents")
+    docs = wide_table(spark, folder, "documents")
     name = F.concat(F.col("doc_id").cast("string"), F.lit(".lines"))
     files = corpus.files(docs, F.col("source"), F.col("doc_id"), name, bytes_of(F.col("text")))
     return _staged_unpack(spark, files, own).leaves().select(
@@ -547,6 +548,23 @@ def own_format(spark, folder):
     )
 
 
+@query(f"""
+WITH {lines_cte('documents', _DOC)}
+SELECT CAST(doc_id AS VARCHAR) || '.mbox' AS source_file,
+       CASE WHEN place % 2 = 0 THEN '<' || ident || '.' || CAST(place AS VARCHAR) || '@example.org>' ELSE '' END
+         AS message_id, uid
+FROM messages""")
+def mbox_split_in_sql(spark, folder):
+    """The mailbox reader as a table function"""
+    register_table_functions(spark)
+    boxes = corpus.document_mailboxes(spark, folder)
+    return spark.sql(
+        "SELECT source_file, m.message_id, sha2(m.payload, 256) AS uid "
+        "FROM {boxes}, LATERAL unpack_mbox(content) AS m",
+        boxes=boxes,
+    )
+
+
 # -- attachments and manifest ----------------------------------------------
 
 _ATTACHED = f"""attached AS (
@@ -786,7 +804,7 @@ def mailbox_files(spark, folder):
 
 def _mixed_files(spark: SparkSession, folder: str) -> DataFrame:
     """Single mails, pages, mailboxes, and documents again inside archives."""
-    docs = table(spark, folder, "documents")
+    docs = wide_table(spark, folder, "documents")
     number = F.col("doc_id").cast("string")
     archive = corpus.zip_bytes(F.array(entry(F.lit("copy.eml"), bytes_of(corpus.mail_text()))))
     zips = corpus.files(

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs rely on. Rows may carry whole files, so few of them travel
 # to Python in one Arrow batch.
@@ -19,19 +21,44 @@ SETTINGS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings to a running session."""
+    """Apply the settings to a running session and give its workers the package."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if getattr(context, "_mailsift_shipped", False):
+        return
+    here = Path(__file__).parent
+    target = Path(tempfile.mkdtemp(prefix="mailsift-code-")) / "mailsift.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for source in sorted(here.rglob("*.py")):
+            archive.write(source, Path(here.name) / source.relative_to(here))
+    context.addPyFile(str(target))
+    context._mailsift_shipped = True
+
+
 def build(app: str = "mailsift", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a table that comes in fewer splits than that.
+
+    For rows that go through Python. A large table has splits enough and is
+    left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def work_root(spark: SparkSession, fallback: str | None = None) -> str:
