@@ -140,6 +140,9 @@ class _Run:
         self.limits = _limits(options, self.work)
         self.found = Found(spark, f"{self.work}/found")
 
+    def row(self) -> DataFrame:
+        return self.ledger.runs().filter(F.col("run_id") == self.run_id)
+
     def staged(self, rows: DataFrame, name: str) -> DataFrame:
         path = f"{self.work}/{name}"
         rows.write.mode("overwrite").parquet(path)
@@ -354,6 +357,8 @@ def manifest_rows(winners: DataFrame, attachment_count: DataFrame) -> DataFrame:
 
 
 def _ingest(run: _Run, open_sources) -> DataFrame:
+    if run.ledger.is_completed(run.run_id):
+        return run.row()  # done: repeating it would overwrite what it staged
     started = run.ledger.start_run(run.run_id, run.mode)
     try:
         open_sources(run)
@@ -364,7 +369,7 @@ def _ingest(run: _Run, open_sources) -> DataFrame:
     run.ledger.complete_run(run.run_id, run.mode, started, counts)
     if not run.options.keep_work:
         remove_tree(run.work)
-    return run.ledger.runs().filter(F.col("run_id") == run.run_id)
+    return run.row()
 
 
 def ingest(
@@ -378,7 +383,11 @@ def ingest(
     options: Options = Options(),
     run_id: str | None = None,
 ) -> DataFrame:
-    """Ingest a bucket; the result is the run's row of the run log."""
+    """Ingest a bucket; the result is the run's row of the run log.
+
+    A ``run_id`` of the caller's makes the run repeatable: after a failure the
+    same id starts over, after completion it only gives the row again.
+    """
     run = _Run(spark, output_root, mode, options, run_id)
     return _ingest(run, lambda r: r.open_bucket(input_root, namespaces, dates))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from datetime import UTC, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,12 +29,20 @@ TABLES: dict[str, tuple[str, T.StructType, tuple[str, ...]]] = {
 }
 
 
-def latest_state(events: DataFrame) -> DataFrame:
+def latest_state(events: DataFrame, order: Column | str = "event_no") -> DataFrame:
     """Current row of every run: its latest event."""
     fields = [c for c in events.columns if c != "run_id"]
-    return events.groupBy("run_id").agg(
-        F.max_by(F.struct(*fields), F.col("event_no")).alias("last")
-    ).select("run_id", *[F.col(f"last.{f}").alias(f) for f in fields])
+    last = F.max_by(F.struct(*fields), F.col(order) if isinstance(order, str) else order)
+    return (
+        events.groupBy("run_id")
+        .agg(last.alias("last"))
+        .select("run_id", *[F.col(f"last.{f}").alias(f) for f in fields])
+    )
+
+
+def _last_try() -> Column:
+    """A run that failed may be tried again under its id; completion is final."""
+    return F.struct(F.col("status") == COMPLETED, F.col("started_at"), F.col("event_no"))
 
 
 def last_completed(runs: DataFrame) -> DataFrame:
@@ -74,7 +82,7 @@ class Ledger:
         return self._read(f"{self.root}/ledger/runs", schemas.RUN_EVENTS)
 
     def runs(self) -> DataFrame:
-        return latest_state(self.run_events()).drop("event_no")
+        return latest_state(self.run_events(), _last_try()).drop("event_no")
 
     def _log(self, **event) -> None:
         row = tuple(event.get(name) for name in schemas.RUN_EVENTS.names)

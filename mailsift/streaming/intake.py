@@ -12,9 +12,11 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from mailsift.operators.capture import INCREMENTAL
 from mailsift.plans.ingest import Options, ingest_frame
-from mailsift.plans.ledger import Ledger
 from mailsift.sources.bucket import with_bucket_columns
 
+# The columns of Spark's binaryFile source; a stream wants them declared.
+_BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def watch_bucket(
     spark: SparkSession, root: str, options: Options = Options(), files_per_batch: int = 10_000
@@ -26,6 +28,7 @@ def watch_bucket(
     """
     files = (
         spark.readStream.format("binaryFile")
+        .schema(_BINARY_FILE)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(f"{root.rstrip('/')}/*/timestamp=*/*")
     )
@@ -48,10 +51,9 @@ def ingest_stream(
     """
 
     def one_batch(batch: DataFrame, number: int) -> None:
-        run_id = f"{name}-{number}"
-        if Ledger(batch.sparkSession, output_root).is_completed(run_id):
-            return
-        ingest_frame(batch, output_root, INCREMENTAL, options=options, run_id=run_id)
+        ingest_frame(
+            batch, output_root, INCREMENTAL, options=options, run_id=f"{name}-{number}"
+        )
 
     return (
         files.writeStream.foreachBatch(one_batch)

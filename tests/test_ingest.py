@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
-from mailsift import Ledger, ingest, status
-from tests.trees import write_tree
+import json
+from collections import Counter
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from mailsift import DEFAULT, Ledger, Options, ingest, ingest_frame, run_metrics, status
+from mailsift.operators import unpack
+from mailsift.plans import export
+from mailsift.plans import ingest as plan
+from mailsift.sources import bucket as buckets
+from tests.trees import ONE, damaged, eml, eml_with, mbox, write_tree, zipped
 
 
 def counters(run):
     row = run.first()
-    assert row.status == "completed"
+    assert row.status == "completed" and row.started_at <= row.completed_at
     return (
         row.files_discovered,
         row.files_processed,
@@ -17,11 +28,259 @@ def counters(run):
     )
 
 
-def test_backfill_twice_then_incremental(spark, bucket, out):
+@pytest.fixture(scope="module")
+def done(spark, bucket, tmp_path_factory):
+    """One backfill of the edge case bucket, for the tests that only look."""
+    out = str(tmp_path_factory.mktemp("done"))
+    run = ingest(spark, bucket, out, "backfill", run_id="first")
+    return Ledger(spark, out), counters(run), out
+
+
+def lineages(ledger):
+    return [r.asDict(True) for r in ledger.manifest().select("uid", "source_lineage.*").collect()]
+
+
+def test_counters_of_all_modes(spark, bucket, out):
     assert counters(ingest(spark, bucket, out, "backfill")) == (16, 12, 1, 5)
     assert counters(ingest(spark, bucket, out, "backfill")) == (16, 0, 13, 5)
     assert counters(ingest(spark, bucket, out, "incremental")) == (0, 0, 0, 0)
     ledger = Ledger(spark, out)
     assert ledger.emails().count() == ledger.processed().count() == 12
+    assert ledger.discovered().count() == 16
     row = status(spark, out).first()
     assert (row.total_processed, row.total_skipped, row.mode) == (12, 10, "incremental")
+
+
+def test_skips_say_where_and_why(done):
+    ledger, counts, _ = done
+    assert counts == (16, 12, 1, 5)
+    day = "acme/timestamp=2024-07-1"
+    assert {(r.path, r.reason) for r in ledger.skipped().collect()} == {
+        (day + "5/protected.zip/secret.eml", "password_protected"),
+        (day + "5/corrupted.zip", "corrupted"),
+        (day + "5/photo.png", "unsupported_format"),
+        (day + "5/data.xlsx", "unsupported_format"),
+        (day + "7/outlook_message.msg", "msg_not_supported"),
+    }
+
+
+def test_lineage_of_nested_mails(done):
+    rows = {(r["source_file"], tuple(r["container_path"])) for r in lineages(done[0])}
+    assert ("nested.zip", ("inner.zip", "a.eml")) in rows
+    assert ("deeply_nested.zip", ("level1.zip", "deep.mbox", "Deep.one@example.org.eml")) in rows
+    assert ("email.eml", ()) in rows
+    per_file = Counter(f for f, _ in rows)
+    assert per_file["mailbox_a.mbox"] == per_file["mailbox_b.mbox"] == per_file["nested.zip"] == 2
+    assert not any(f.startswith("empty") for f, _ in rows)
+
+
+def test_first_copy_in_corpus_order_wins(done):
+    from hashlib import sha256
+
+    (row,) = [r for r in lineages(done[0]) if r["uid"] == sha256(ONE).hexdigest()]
+    assert (row["date_partition"], row["source_file"]) == ("2024-07-15", "email.eml")
+
+
+def test_bytes_are_staged_unchanged(spark, done):
+    ledger = done[0]
+    rows = ledger.emails().select("uid", F.sha2("content", 256).alias("h"), "content", "ext").collect()
+    assert len(rows) == 12 and all(r.uid == r.h for r in rows)
+    assert ONE in {bytes(r.content) for r in rows}
+
+
+def test_attachments_lie_beside_their_mail(spark, done, tmp_path):
+    ledger = done[0]
+    (mail,) = ledger.manifest().filter("has_attachments").collect()
+    assert mail.attachment_dir == mail.output_path.replace(".eml", "_attachments")
+    rows = export.mail_files(ledger.emails()).unionByName(
+        export.attachment_files(ledger.attachments(), ledger.manifest())
+    )
+    assert export.write_files(rows, str(tmp_path)).count() == 13
+    assert (tmp_path / mail.attachment_dir / "report.pdf").read_bytes() == b"%PDF-1.4 x"
+    for row in ledger.manifest().collect():
+        assert (tmp_path / row.output_path).exists()
+
+
+def test_json_lines_keep_nulls(done):
+    out = Path(done[2]) / "json"
+    lines = [
+        json.loads(line)
+        for file in (out / "manifest" / "run_id=first").glob("part-*")
+        for line in file.read_text().splitlines()
+    ]
+    assert len(lines) == 12
+    assert set(lines[0]) == {
+        "uid",
+        "source_lineage",
+        "format",
+        "content_hash",
+        "output_path",
+        "has_attachments",
+        "attachment_dir",
+        "processed_at",
+    }
+    skips = [x for f in (out / "skipped" / "run_id=first").glob("part-*") for x in f.read_text().splitlines()]
+    assert len(skips) == 5
+
+
+def test_metrics_by_run(spark, done):
+    (row,) = run_metrics(spark, done[2]).collect()
+    assert (row.namespace, row.discovered, row.processed, row.skipped) == ("acme", 16, 12, 5)
+
+
+def test_replaced_new_and_copied_files(spark, tmp_path, out):
+    root = tmp_path / "in"
+    write_tree(root)
+    ingest(spark, str(root), out)
+    day = root / "acme" / "timestamp=2024-07-15"
+    (day / "email.eml").write_bytes(eml("replaced"))  # new bytes, known path
+    (day / "again.eml").write_bytes(ONE)  # known bytes, new path
+    (day / "late.zip").write_bytes(zipped(("x.eml", eml("late")), ("y.eml", ONE)))
+    assert counters(ingest(spark, str(root), out, "incremental")) == (3, 2, 2, 0)
+
+
+def test_scope_of_a_run(spark, tmp_path, out):
+    root = tmp_path / "in"
+    write_tree(root)
+    write_tree(root, "beta")
+    scoped = ingest(spark, str(root), out, namespaces=["beta"], dates=["2024-07-16"])
+    assert counters(scoped) == (3, 4, 0, 0)
+
+
+def test_listing_sees_what_a_directory_shows(spark, tmp_path):
+    day = tmp_path / "ns one" / "timestamp=2024-07-15"
+    (day / "sub").mkdir(parents=True)
+    for name in ("a b%20c.eml", "_under.eml", ".hidden.eml", "zero.eml", "é.eml"):
+        (day / name).write_bytes(b"" if name == "zero.eml" else b"x")
+    (day / "sub" / "deep.eml").write_bytes(b"x")
+    (tmp_path / ".secret" / "timestamp=2024-07-15").mkdir(parents=True)
+    (tmp_path / ".secret" / "timestamp=2024-07-15" / "s.eml").write_bytes(b"x")
+    (tmp_path / "ns one" / "date=2024-07-15").mkdir()
+    (tmp_path / "ns one" / "timestamp=2024-7-15").mkdir()
+    (tmp_path / "file.eml").write_bytes(b"x")
+    got = buckets.list_files(spark, str(tmp_path)).collect()
+    assert sorted(r.source_file for r in got) == sorted(["a b%20c.eml", "_under.eml", "zero.eml", "é.eml"])
+    assert {(r.namespace, r.date_partition) for r in got} == {("ns one", "2024-07-15")}
+    assert buckets.list_date_partitions(spark, str(tmp_path), ["none"]).count() == 0
+    assert buckets.file_exists(spark, str(tmp_path), "ns one", "2024-07-15", "é.eml").first()[0]
+    seen = buckets.scan_binary(spark, str(tmp_path)).select("source_file").collect()
+    assert sorted(r[0] for r in seen) == sorted(["a b%20c.eml", "é.eml"])
+
+
+def test_zero_byte_mail_counts(spark, tmp_path, out):
+    day = tmp_path / "n" / "timestamp=2024-07-15"
+    day.mkdir(parents=True)
+    (day / "none.eml").write_bytes(b"")
+    assert counters(ingest(spark, str(tmp_path), out)) == (1, 1, 0, 0)
+
+
+def test_large_containers_in_parts_equal_whole_ones(spark, tmp_path):
+    root = tmp_path / "in"
+    write_tree(root)
+    day = root / "acme" / "timestamp=2024-07-18"
+    day.mkdir()
+    many = [eml(f"m{n}", "line\n" * (n % 7)) for n in range(60)]
+    (day / "big.mbox").write_bytes(mbox(*many, *[b"S: x\n\nno id %d\n" % n for n in range(9)]))
+    (day / "big.zip").write_bytes(
+        zipped(*((f"{n}.eml", eml(f"z{n}")) for n in range(40)), ("in.mbox", mbox(*many)), ("x.png", b"1"))
+    )
+    stored = zipped(*((f"{n}.eml", eml(f"d{n}")) for n in range(30)), method=0)
+    (day / "torn.zip").write_bytes(damaged(stored, "11.eml"))
+
+    def result(name, **options):
+        out = str(tmp_path / name)
+        run = counters(ingest(spark, str(root), out, options=Options(**options)))
+        ledger = Ledger(spark, out)
+        mails = ledger.manifest().select("uid", "source_lineage").collect()
+        skips = ledger.skipped().select("path", "reason").collect()
+        return run, sorted(map(str, mails)), sorted(map(str, skips))
+
+    whole, parts = result("whole"), result("parts", inline_bytes=600)
+    assert whole == parts
+    assert whole[0] == (19, 12 + 60 + 9 + 40 + 11, 61, 7)
+
+
+def test_a_failed_run_leaves_nothing_and_can_be_repeated(spark, bucket, out, monkeypatch):
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(plan._Run, "_write_json", fail)  # all tables written, no commit
+        with pytest.raises(RuntimeError):
+            ingest(spark, bucket, out, "incremental", run_id="one")
+    ledger = Ledger(spark, out)
+    assert ledger.runs().first().status == "failed"
+    assert ledger.processed().isEmpty() and ledger.discovered().isEmpty()
+    assert status(spark, out).first().total_processed == 0
+    assert counters(ingest(spark, bucket, out, "incremental", run_id="one")) == (16, 12, 1, 5)
+    assert ledger.emails().count() == 12
+    # Once completed, the id stands for what it did.
+    assert counters(ingest(spark, bucket, out, "backfill", run_id="one")) == (16, 12, 1, 5)
+    assert ledger.emails().count() == 12 and ledger.runs().count() == 1
+
+
+def test_winners_do_not_depend_on_partitioning(spark):
+    rows = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 40).cast("string")).alias("uid"),
+        (F.col("id") % 7).cast("string").alias("namespace"),
+        F.lit("2024-07-15").alias("date_partition"),
+        (F.hash("id") % 11).cast("string").alias("source_file"),
+        F.array(F.lit(0), F.col("id")).alias("entry_ord"),
+    )
+    from mailsift.operators.first_wins import first_wins
+
+    want = sorted(first_wins(rows).collect())
+    for n in (1, 3, 16):
+        assert sorted(first_wins(rows.repartition(n)).collect()) == want
+    best = {}
+    for r in rows.collect():
+        key = (r.namespace, r.date_partition, r.source_file, r.entry_ord)
+        best[r.uid] = min(best.get(r.uid, key), key)
+    assert {r.uid: tuple(r)[1:] for r in want} == best
+
+
+def test_archive_that_contains_itself_ends(spark, tmp_path, out):
+    inner = zipped(("a.eml", eml("a")))
+    for _ in range(5):
+        inner = zipped(("again.zip", inner))
+    files = spark.createDataFrame(
+        [("n/timestamp=2024-07-15/q.zip", "n", "2024-07-15", "q.zip", inner)],
+        "path string, namespace string, date_partition string, source_file string, content binary",
+    )
+    assert counters(ingest_frame(files, out, options=Options(max_depth=3))) == (1, 0, 0, 1)
+    assert Ledger(spark, out).skipped().first().reason == "too_deep"
+
+
+def test_own_formats(spark, tmp_path, out):
+    own = DEFAULT.register(".note", "single_email").register(
+        ".pairs", "container", lambda content: ((f"{n}.note", p) for n, p in enumerate(content.split(b"|")))
+    )
+    day = tmp_path / "n" / "timestamp=2024-07-15"
+    day.mkdir(parents=True)
+    (day / "x.pairs").write_bytes(b"one|two|one")
+    assert counters(ingest(spark, str(tmp_path), out, options=Options(formats=own))) == (1, 2, 1, 0)
+    assert {r.ext for r in Ledger(spark, out).emails().collect()} == {".note"}
+
+
+def test_bad_mode_is_refused(spark, bucket, out):
+    with pytest.raises(ValueError):
+        ingest(spark, bucket, out, "sometimes")
+
+
+def test_attachment_test_by_value(spark, tmp_path, out):
+    day = tmp_path / "n" / "timestamp=2024-07-15"
+    day.mkdir(parents=True)
+    (day / "m.eml").write_bytes(
+        eml_with([('inline; filename="attachment.png"', b"I"), ('Attachment; filename="b"', b"U")])
+    )
+    ingest(spark, str(tmp_path), out, options=Options(attachment_test="value"))
+    assert [r.name for r in Ledger(spark, out).attachments().collect()] == ["b"]
+
+
+def test_plans_move_keys_not_bytes(spark, bucket, tmp_path):
+    found = unpack.Found(spark, str(tmp_path / "found"))
+    found.add_level(unpack.open_stored(buckets.list_files(spark, bucket), DEFAULT, unpack.Limits()))
+    from mailsift.operators.first_wins import first_wins
+
+    plan_text = first_wins(found.leaves())._jdf.queryExecution().executedPlan().toString()
+    assert "mail" not in plan_text.split("ReadSchema")[1] and "box" not in plan_text.split("ReadSchema")[1]
