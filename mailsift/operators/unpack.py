@@ -323,24 +323,27 @@ class Found:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self.levels: list[str] = []
+        self.boxes = self.spilled = 0  # containers the last level has found
         self._cuts: list[DataFrame] = []
 
     def add_level(self, rows: DataFrame) -> None:
         target = f"{self.folder}/level-{len(self.levels)}"
         rows.write.mode("overwrite").option("maxRecordsPerFile", MAX_FILE_ROWS).parquet(target)
         self.levels.append(target)
-        self._note_cuts(target)
-
-    def _note_cuts(self, target: str) -> None:
-        """An archive read in parts ends at its first damage, like one read whole."""
-        broken = self.spark.read.schema(FOUND).parquet(target).filter(F.col("cut").isNotNull())
-        if broken.isEmpty():
-            return
-        self._cuts.append(
-            broken.groupBy(
-                "path", F.expr("slice(entry_ord, 1, size(entry_ord) - 1)").alias("archive_ord")
-            ).agg(F.min("cut").alias("cut"))
-        )
+        staged = self.spark.read.schema(FOUND).parquet(target)
+        cut, box = F.col("cut").isNotNull(), F.col("kind") == "box"
+        seen = staged.agg(
+            F.count_if(box).alias("boxes"),
+            F.count_if(box & F.col("spill").isNotNull()).alias("spilled"),
+            F.count_if(cut).alias("cuts"),
+        ).first()
+        self.boxes, self.spilled = seen["boxes"], seen["spilled"]
+        if seen["cuts"]:
+            # An archive read in parts ends at its first damage, like one read whole.
+            archive = F.expr("slice(entry_ord, 1, size(entry_ord) - 1)").alias("archive_ord")
+            self._cuts.append(
+                staged.filter(cut).groupBy("path", archive).agg(F.min("cut").alias("cut"))
+            )
 
     def _read(self, *levels: str) -> DataFrame:
         rows = (
@@ -367,6 +370,10 @@ class Found:
     def last(self) -> DataFrame:
         return self._read(self.levels[-1]).filter(F.col("kind") == "box")
 
+    def counts(self) -> dict[str, int]:
+        rows = self._read(*self.levels).groupBy("kind").count().collect()
+        return {"source": 0, "leaf": 0, "skip": 0} | {r["kind"]: r["count"] for r in rows}
+
     def sources(self) -> DataFrame:
         return self.rows("source").select(
             "path",
@@ -409,12 +416,9 @@ def unpack_all(
     """
     spark = found.spark
     while True:
-        boxes = found.last()
-        counts = boxes.agg(
-            F.count("spill").alias("spilled"), F.count(F.lit(1)).alias("boxes")
-        ).first()
-        if not counts["boxes"]:
+        if not found.boxes:
             return found
+        boxes = found.last()
         if len(found.levels) > max_depth:
             found.add_level(
                 boxes.drop("stage_file", "stage_row")
@@ -425,7 +429,7 @@ def unpack_all(
             )
             return found
         below = open_boxes(boxes.filter(F.col("box").isNotNull()), formats, limits)
-        if counts["spilled"]:
+        if found.spilled:
             large = boxes.filter(F.col("spill").isNotNull()).select(
                 *PLACE, F.col("spill").alias("location"), "format", "size"
             )

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -135,7 +136,7 @@ class _Run:
             raise ValueError(f"mode must be {BACKFILL} or {INCREMENTAL}, not {mode}")
         self.spark, self.mode, self.options = spark, mode, options
         self.ledger = Ledger(spark, output_root)
-        self.run_id = run_id or str(uuid.uuid4())
+        self.named, self.run_id = run_id is not None, run_id or str(uuid.uuid4())
         self.work = new_work_dir(spark, f"{self.ledger.root}/_work")
         self.limits = _limits(options, self.work)
         self.found = Found(spark, f"{self.work}/found")
@@ -200,49 +201,52 @@ class _Run:
     # -- the common rest ---------------------------------------------------
 
     def finish(self) -> dict:
-        options, ledger, run_id = self.options, self.ledger, self.run_id
+        options, ledger = self.options, self.ledger
         unpack_all(self.found, options.formats, self.limits, options.max_depth)
+        found = self.found.counts()
 
-        leaves = self.found.leaves()
-        best = self.staged(first_wins(leaves), "best")
-        n_leaves = leaves.count()
+        best = self.staged(first_wins(self.found.leaves()), "best")
         winners = self.staged(
-            without_known(
-                best,
-                ledger.processed().select("uid"),
-                "uid",
-                self.is_small(best),
-            ),
+            without_known(best, ledger.processed().select("uid"), "uid", self.is_small(best)),
             "winners",
         )
-        size = winners.agg(
-            F.count(F.lit(1)).alias("mails"),
-            F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"),
-        ).first()
-        self._write_mails(winners, size["bytes"])
-        self._write_attachments()
-        self._write_manifest(winners)
+        # Two chains of jobs that do not need each other.
+        with ThreadPoolExecutor(2) as chains:
+            records = chains.submit(self._write_records, found["source"])
+            mails = chains.submit(self._write_all_of, winners)
+            processed = mails.result()
+            records.result()
+        return {
+            "discovered": found["source"],
+            "processed": processed,
+            "skipped": found["skip"],
+            "deduplicated": found["leaf"] - processed,
+        }
 
-        skips = self.found.skips().withColumn("discovered_at", now())
-        ledger.write("skipped", run_id, skips)
+    def _write_records(self, n_sources: int) -> None:
+        """Skips and sources. A source counts as discovered with the run's commit,
+        so what a broken run has seen is seen again."""
+        ledger, run_id = self.ledger, self.run_id
+        ledger.write("skipped", run_id, self.found.skips().withColumn("discovered_at", now()))
+        if self.options.write_json:
+            self._write_json("skipped")
         sources = self.found.sources()
         if self.mode == INCREMENTAL:  # the known ones were dropped at the start
             fresh = sources.dropDuplicates(SOURCE_KEY)
         else:
-            fresh = newly_discovered(sources, ledger.discovered(), self.is_small(sources))
-        # The discovered ledger comes last: a run that breaks off has
-        # discovered nothing.
+            small = n_sources <= self.options.broadcast_keys
+            fresh = newly_discovered(sources, ledger.discovered(), small)
         ledger.write("discovered", run_id, fresh.withColumn("discovered_at", now()))
-        if options.write_json:
-            self._write_json()
-        return {
-            "discovered": sources.count(),
-            "processed": size["mails"],
-            "skipped": ledger.read_own("skipped", run_id).count(),
-            "deduplicated": n_leaves - size["mails"],
-        }
 
-    def _write_mails(self, winners: DataFrame, size: int) -> None:
+    def _write_all_of(self, winners: DataFrame) -> int:
+        count = self._write_mails(winners)
+        self._write_attachments()
+        self._write_manifest(winners)
+        if self.options.write_json:
+            self._write_json("manifest")
+        return count
+
+    def _write_mails(self, winners: DataFrame) -> int:
         """Winners' bytes, laid out by folder.
 
         A bucket's files were opened folder by folder, so the staged files are
@@ -252,22 +256,25 @@ class _Run:
         the bytes shuffled, once, into evenly sized pieces per folder. So is a
         result too small to keep all cores at work.
         """
-        pieces = winners.groupBy("stage_file").agg(
-            F.count_distinct("namespace", "date_partition").alias("folders")
+        pieces = winners.groupBy("stage_file", "namespace", "date_partition").agg(
+            F.count(F.lit(1)).alias("mails"), F.sum("size").alias("bytes")
         )
-        layout = pieces.agg(
-            F.count(F.lit(1)).alias("files"),
-            F.coalesce(F.sum("folders"), F.lit(0)).alias("pieces"),
+        total = pieces.agg(
+            F.coalesce(F.sum("mails"), F.lit(0)).alias("mails"),
+            F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+            F.count(F.lit(1)).alias("pieces"),
+            F.count_distinct("stage_file").alias("files"),
+            F.count_distinct("namespace", "date_partition").alias("folders"),
         ).first()
-        tasks = max(1, layout["files"], -(-size // self.options.task_bytes))
+        task_bytes = self.options.task_bytes
+        tasks = max(1, total["files"], -(-total["bytes"] // task_bytes))
         columns = ["uid", "namespace", "date_partition", "name", "format", "mail"]
         fetched = fetch_rows(
             winners, self.found.folder, FOUND, columns, min(tasks, MAX_TASKS)
         )
-        evenly = max(1, size // self.options.task_bytes)
-        folders = winners.select("namespace", "date_partition").distinct().count()
-        few = size < self.spark.sparkContext.defaultParallelism * self.options.task_bytes
-        if few or layout["pieces"] > 2 * (folders + evenly):
+        few = total["bytes"] < self.spark.sparkContext.defaultParallelism * task_bytes
+        even_pieces = total["folders"] + total["bytes"] // task_bytes
+        if few or total["pieces"] > 2 * even_pieces:
             fetched = fetched.hint("rebalance", "namespace", "date_partition")
         self.ledger.write(
             "emails",
@@ -281,6 +288,7 @@ class _Run:
                 "date_partition",
             ),
         )
+        return total["mails"]
 
     def _write_attachments(self) -> None:
         mails = self.ledger.read_own("emails", self.run_id).filter(F.col("format") == "eml")
@@ -309,12 +317,11 @@ class _Run:
             ),
         )
 
-    def _write_json(self) -> None:
-        for table, name in (("manifest", "manifest"), ("skipped", "skipped")):
-            rows = self.ledger.read_own(table, self.run_id)
-            json_lines(rows).write.mode("overwrite").text(
-                f"{self.ledger.root}/json/{name}/run_id={self.run_id}"
-            )
+    def _write_json(self, table: str) -> None:
+        rows = self.ledger.read_own(table, self.run_id)
+        json_lines(rows).write.mode("overwrite").text(
+            f"{self.ledger.root}/json/{table}/run_id={self.run_id}"
+        )
 
 
 def _source_rows(surveyed: DataFrame, formats: Formats) -> DataFrame:
@@ -357,7 +364,7 @@ def manifest_rows(winners: DataFrame, attachment_count: DataFrame) -> DataFrame:
 
 
 def _ingest(run: _Run, open_sources) -> DataFrame:
-    if run.ledger.is_completed(run.run_id):
+    if run.named and run.ledger.is_completed(run.run_id):
         return run.row()  # done: repeating it would overwrite what it staged
     started = run.ledger.start_run(run.run_id, run.mode)
     try:
@@ -366,9 +373,11 @@ def _ingest(run: _Run, open_sources) -> DataFrame:
     except Exception:
         run.ledger.fail_run(run.run_id, run.mode, started)
         raise
-    run.ledger.complete_run(run.run_id, run.mode, started, counts)
-    if not run.options.keep_work:
-        remove_tree(run.work)
+    else:
+        run.ledger.complete_run(run.run_id, run.mode, started, counts)
+    finally:
+        if not run.options.keep_work:
+            remove_tree(run.work)
     return run.row()
 
 

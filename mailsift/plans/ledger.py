@@ -85,10 +85,10 @@ class Ledger:
         return latest_state(self.run_events(), _last_try()).drop("event_no")
 
     def _log(self, **event) -> None:
-        row = tuple(event.get(name) for name in schemas.RUN_EVENTS.names)
-        self.spark.createDataFrame([row], schemas.RUN_EVENTS).coalesce(1).write.mode(
-            "append"
-        ).parquet(f"{self.root}/ledger/runs")
+        row = [F.lit(event.get(f.name)).cast(f.dataType).alias(f.name) for f in schemas.RUN_EVENTS]
+        self.spark.range(0, 1, 1, 1).select(*row).write.mode("append").parquet(
+            f"{self.root}/ledger/runs"
+        )
 
     def start_run(self, run_id: str, mode: str) -> datetime:
         started = datetime.now(UTC)

@@ -39,7 +39,7 @@ def test_a_batch_that_broke_off_is_done_again_once(spark, tmp_path, monkeypatch)
     write_tree(root)
     whole = plan._Run._write_json
 
-    def fail(self):
+    def fail(*_):
         raise RuntimeError("lost")
 
     monkeypatch.setattr(plan._Run, "_write_json", fail)
