@@ -54,17 +54,17 @@ def mail_text() -> Column:
     return F.concat(F.lit("Subject: "), F.col("lang"), F.lit("\n\n"), F.col("text"))
 
 
-def document_mails(spark: SparkSession, folder: str) -> DataFrame:
+def document_mails(spark: SparkSession, folder: str, read=table) -> DataFrame:
     name = F.concat(F.col("doc_id").cast("string"), F.lit(".eml"))
     return files(
-        table(spark, folder, "documents"), F.col("source"), F.col("doc_id"), name, bytes_of(mail_text())
+        read(spark, folder, "documents"), F.col("source"), F.col("doc_id"), name, bytes_of(mail_text())
     )
 
 
-def page_files(spark: SparkSession, folder: str) -> DataFrame:
+def page_files(spark: SparkSession, folder: str, read=table) -> DataFrame:
     name = F.concat(F.lit("page-"), F.col("page_id").cast("string"), F.lit(".HTML"))
     return files(
-        table(spark, folder, "pages"), F.lit("web"), F.col("page_id"), name, bytes_of(F.col("html"))
+        read(spark, folder, "pages"), F.lit("web"), F.col("page_id"), name, bytes_of(F.col("html"))
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from mailsift.functions import naming
 
 _FLUSH_BYTES = 16 << 20
+_SEARCHED = 256 << 20
 # How a part is told to be an attachment: by the word anywhere in its
 # Content-Disposition header, or by the header's parsed value alone.
 BY_TEXT, BY_VALUE = "text", "value"
@@ -23,9 +24,12 @@ def may_have_attachments(content: Column) -> Column:
     """A cheap test on the raw bytes that no mail with an attachment fails.
 
     The disposition must be spelled out somewhere, or hidden in an encoded word.
+    Very large mails are not searched, since their text may not fit a cell.
     """
     text = F.lower(F.decode(content, "ISO-8859-1"))
-    return text.contains("attachment") | text.contains("=?")
+    return (
+        (F.length(content) > _SEARCHED) | text.contains("attachment") | text.contains("=?")
+    )
 
 
 def _attachments_of(content: bytes, test: str) -> Iterator[tuple[str, bytes]]:

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from mailsift.functions import naming
 from mailsift.functions.formats import CONTAINER, DEFAULT, Formats
-from mailsift.functions.records import json_lines, now
+from mailsift.functions.records import content_hash, json_lines, now
 from mailsift.operators.attachments import BY_TEXT, attachment_counts, extract_attachments
 from mailsift.operators.capture import (
     BACKFILL,
@@ -47,7 +47,7 @@ from mailsift.operators.unpack import (
 )
 from mailsift.plans.ledger import Ledger
 from mailsift.schemas import FOUND
-from mailsift.session import new_work_dir, spread
+from mailsift.session import new_work_dir
 from mailsift.sources.bucket import list_files
 from mailsift.sources.storage import remove_tree
 
@@ -195,9 +195,27 @@ class _Run:
         source_file, content."""
         files = files.select("path", "namespace", "date_partition", "source_file", "content")
         if self.mode == INCREMENTAL:
-            files = files.withColumn("content_hash", F.sha2("content", 256))
-            files = changed(files, self.ledger.discovered(), self.mode)
-        self.found.add_level(open_inline(spread(files), self.options.formats, self.limits))
+            files = self._drop_known(files)
+        self.found.add_level(open_inline(files, self.options.formats, self.limits))
+
+    def _drop_known(self, files: DataFrame) -> DataFrame:
+        """Change capture for rows with bytes. Keys are compared first, so the
+        bytes meet only the few rows that are known already, or no join at all."""
+        hashed = files.withColumn("content_hash", content_hash(F.col("content")))
+        keys = self.staged(hashed.select(*SOURCE_KEY), "keys")
+        discovered = self.ledger.discovered().select(*SOURCE_KEY)
+        n_keys = keys.count()
+        at_hand = F.broadcast(keys) if n_keys <= self.options.broadcast_keys else keys
+        known = self.staged(
+            discovered.join(at_hand, SOURCE_KEY, "left_semi").distinct(), "known"
+        )
+        n_known = known.count()
+        if n_known == 0:
+            return files
+        if n_known <= self.options.broadcast_keys:
+            known = F.broadcast(known)
+        return hashed.join(known, SOURCE_KEY, "left_anti")
+
     # -- the common rest ---------------------------------------------------
 
     def finish(self) -> dict:

@@ -811,8 +811,8 @@ def _mixed_files(spark: SparkSession, folder: str) -> DataFrame:
         docs, F.lit("archive"), F.col("doc_id"), F.concat(number, F.lit(".zip")), archive
     )
     return (
-        corpus.document_mails(spark, folder)
-        .unionByName(corpus.page_files(spark, folder))
+        corpus.document_mails(spark, folder, wide_table)
+        .unionByName(corpus.page_files(spark, folder, wide_table))
         .unionByName(zips)
     )
 
@@ -883,7 +883,7 @@ UNION ALL SELECT 3, 'incremental', 0, 0, 0, 0 FROM n""")
 def ingest_again(spark, folder):
     """A second backfill adds nothing, an incremental run finds nothing"""
     out = session.new_work_dir(spark)
-    files = corpus.document_mails(spark, folder)
+    files = corpus.document_mails(spark, folder, wide_table)
     for number, mode in enumerate(("backfill", "backfill", "incremental"), 1):
         ingest_frame(files, out, mode, run_id=str(number))
     return Ledger(spark, out).runs().select(
@@ -904,7 +904,7 @@ FROM mails""")
 def ingest_status(spark, folder):
     """X2, A3, S8, S9, O2"""
     out = session.new_work_dir(spark)
-    ingest_frame(corpus.document_mails(spark, folder), out, "backfill", run_id="first")
+    ingest_frame(corpus.document_mails(spark, folder, wide_table), out, "backfill", run_id="first")
     return status(spark, out).select("total_processed", "total_skipped", "run_id", "mode", "status")
 
 
@@ -915,7 +915,7 @@ FROM mails AS m LEFT JOIN firsts AS f ON m.doc_id = f.doc_id GROUP BY m.namespac
 def ingest_metrics(spark, folder):
     """X3 from the ledgers"""
     out = session.new_work_dir(spark)
-    ingest_frame(corpus.document_mails(spark, folder), out, "backfill")
+    ingest_frame(corpus.document_mails(spark, folder, wide_table), out, "backfill")
     return run_metrics(spark, out).drop("run_id")
 
 
@@ -948,7 +948,7 @@ FROM firsts""")
 def export_mail_files(spark, folder):
     """Staged mails as loose files"""
     out = session.new_work_dir(spark)
-    ingest_frame(corpus.document_mails(spark, folder), out, "backfill")
+    ingest_frame(corpus.document_mails(spark, folder, wide_table), out, "backfill")
     return export.write_files(export.mail_files(Ledger(spark, out).emails()), f"{out}/files")
 
 

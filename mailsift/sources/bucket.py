@@ -188,7 +188,8 @@ def scan_binary(
     listed; without ``content`` in the query no bytes are read. Zero-byte files
     and names starting with ``_`` are not seen by this source.
     """
-    files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{namespace}/timestamp={date}/*")
+    # The glob ends at the folders: expanding it to files is the driver's work.
+    files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{namespace}/timestamp={date}")
     return with_bucket_columns(files, root, formats)
 
 

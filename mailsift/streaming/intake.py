@@ -30,7 +30,7 @@ def watch_bucket(
         spark.readStream.format("binaryFile")
         .schema(_BINARY_FILE)
         .option("maxFilesPerTrigger", files_per_batch)
-        .load(f"{root.rstrip('/')}/*/timestamp=*/*")
+        .load(f"{root.rstrip('/')}/*/timestamp=*")
     )
     return with_bucket_columns(files, root, options.formats)
 
