@@ -14,22 +14,18 @@ from pyspark.sql import types as T
 from mailsift.functions import naming
 
 _FLUSH_BYTES = 16 << 20
-_SEARCHED = 256 << 20
+_SEARCHED = 512 << 20
 # How a part is told to be an attachment: by the word anywhere in its
 # Content-Disposition header, or by the header's parsed value alone.
 BY_TEXT, BY_VALUE = "text", "value"
 
 
 def may_have_attachments(content: Column) -> Column:
-    """A cheap test on the raw bytes that no mail with an attachment fails.
-
-    The disposition must be spelled out somewhere, or hidden in an encoded word.
-    Very large mails are not searched, since their text may not fit a cell.
-    """
-    text = F.lower(F.decode(content, "ISO-8859-1"))
-    return (
-        (F.length(content) > _SEARCHED) | text.contains("attachment") | text.contains("=?")
-    )
+    """A cheap test on the raw bytes that no mail with an attachment fails: the
+    name of the header that makes one must stand somewhere. Header names are
+    never encoded or folded. Very large mails are not searched."""
+    text = F.lower(content.cast("string"))
+    return (F.length(content) > _SEARCHED) | text.contains("content-disposition")
 
 
 def _attachments_of(content: bytes, test: str) -> Iterator[tuple[str, bytes]]:
@@ -58,10 +54,12 @@ def extract_attachments(
     content: str = "content",
     key: str = "uid",
     test: str = BY_TEXT,
+    searched: bool = False,
 ) -> DataFrame:
     """``(key, ord, name, safe_name, content)``, one row per attachment.
 
-    Mails that cannot have one are left out before any byte goes to Python.
+    Mails that cannot have one are left out before any byte goes to Python,
+    unless that has been done (``searched``).
     """
     key_field = mails.schema[key]
     schema = T.StructType(
@@ -92,8 +90,8 @@ def extract_attachments(
             if rows:
                 yield _batch(keys, parents, rows, schema.names)
 
-    likely = mails.filter(may_have_attachments(F.col(content))).select(key, content)
-    return likely.mapInArrow(run, schema).select(
+    likely = mails if searched else mails.filter(may_have_attachments(F.col(content)))
+    return likely.select(key, content).mapInArrow(run, schema).select(
         key,
         "ord",
         "name",

@@ -17,7 +17,7 @@ import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
-from mailsift.functions.formats import CONTAINER, SINGLE, Formats, Refused
+from mailsift.functions.formats import CONTAINER, SINGLE, Format, Formats, Refused
 from mailsift.sources import storage
 
 try:
@@ -55,16 +55,36 @@ class Item(NamedTuple):
     payload: bytes | None = None
     spill: str | None = None
     cut: int | None = None
+    may_attach: bool | None = None
 
 
 def _digest(content: bytes) -> str:
     return hashlib.sha256(content).hexdigest()
 
 
+def may_attach(content: bytes) -> bool:
+    """Whether a mail can have attachments: the name of the header that makes
+    one must stand somewhere. Header names are never encoded or folded."""
+    return b"content-disposition" in content.lower()
+
+
 def _bz2_damage(error: OSError) -> bool:
     return error.errno is None and "Invalid data stream" in str(error)
 
 
+def _entry(ord: int, name: str, payload: bytes, known: Format) -> Item:
+    single = known.file_type == SINGLE
+    return Item(
+        "entry",
+        ord,
+        name,
+        uid=_digest(payload) if single else None,
+        size=len(payload),
+        payload=payload,
+        may_attach=may_attach(payload) if single else None,
+    )
+
+
 def _pieces(entry) -> Iterator[bytes]:
     while piece := entry.read(1 << 20):
         yield piece
@@ -77,10 +97,7 @@ def _zip_item(archive, info, ord: int, formats: Formats, limits: Limits) -> Item
     with archive.open(info) as entry:
         if single and info.file_size <= MAX_CELL or box and info.file_size <= limits.inline:
             payload = entry.read()
-            uid = _digest(payload) if single else None
-            return Item(
-                "entry", ord, info.filename, uid=uid, size=len(payload), payload=payload
-            )
+            return _entry(ord, info.filename, payload, known)
         if box and limits.spill_dir:
             target = f"{limits.spill_dir}/{uuid.uuid4().hex}"
             size = storage.write_all(target, _pieces(entry))
@@ -132,17 +149,41 @@ def zip_items(
 _FROM_LINE = re.compile(rb"^From ", re.M)
 
 
+def _read_message(raw: bytes) -> tuple[str, bytes]:
+    """Message-ID of a message, and its bytes as the ``email`` package writes them.
+
+    Writing folds long headers anew and ends every line with LF. That touches
+    a plain body only in its line ends, so of most messages just the headers
+    are parsed. Structured bodies (multipart, message) and anything odd about
+    the headers take the whole way.
+    """
+    end = b"\r\n" if b"\r" in raw else b"\n"
+    at = raw.find(end * 2)
+    if at > 0 and raw.count(b"\r") == raw.count(b"\r\n"):
+        at += 2 * len(end)
+        message = email.message_from_bytes(raw[:at])
+        plain = message.get_content_maintype() not in ("multipart", "message")
+        if plain and not message.defects and not message.get_payload():
+            return _message_id(message), message.as_bytes() + raw[at:].replace(b"\r\n", b"\n")
+    message = email.message_from_bytes(raw)
+    return _message_id(message), message.as_bytes()
+
+
+def _message_id(message) -> str:
+    found = message.get("Message-ID", "")
+    if not isinstance(found, str):
+        raise ValueError("undecodable Message-ID")
+    return found
+
+
 def _mbox_item(ord: int, index: int, record: bytes, raw_mbox: bool) -> Item:
     if record.endswith(b"\n\n"):  # the blank line before the next message
         record = record[:-1]
     from_line, _, body = record.partition(b"\n")
     try:
         from_line.decode("ascii")
-        message = email.message_from_bytes(body)
-        message_id = message.get("Message-ID", "")
-        if not isinstance(message_id, str):
-            raise ValueError("undecodable Message-ID")
-        payload = body if raw_mbox else message.as_bytes()
+        message_id, payload = _read_message(body)
+        payload = body if raw_mbox else payload
     except Exception:
         return Item("refused", ord, None, index=index, reason="unreadable", size=len(body))
     return Item(
@@ -154,6 +195,7 @@ def _mbox_item(ord: int, index: int, record: bytes, raw_mbox: bool) -> Item:
         uid=_digest(payload),
         size=len(payload),
         payload=payload,
+        may_attach=may_attach(payload),
     )
 
 
@@ -224,8 +266,7 @@ def own_reader_items(content: bytes, reader, formats: Formats) -> Iterator[Item]
         if known is None or not known.supported:
             yield Item("entry", ord, name, size=len(payload))
             continue
-        uid = _digest(payload) if known.file_type == SINGLE else None
-        yield Item("entry", ord, name, uid=uid, size=len(payload), payload=payload)
+        yield _entry(ord, name, payload, known)
 
 
 def box_items(content: bytes, fmt: str, formats: Formats, limits: Limits) -> Iterator[Item]:
@@ -273,7 +314,9 @@ def file_items(
     if not readable:
         yield Item("self", size=len(content))
     elif known.file_type == SINGLE:
-        yield Item("self", uid=digest, size=len(content), payload=content)
+        yield Item(
+            "self", uid=digest, size=len(content), payload=content, may_attach=may_attach(content)
+        )
     else:
         yield from box_items(content, known.name, formats, limits)
 

@@ -40,9 +40,9 @@ def fetch_rows(
                 yield from _rows_of(f"{folder}/{name}", positions, columns, arrow)
 
     return (
-        chosen.repartition(tasks, "stage_file")
-        .groupBy("stage_file")
+        chosen.groupBy("stage_file")
         .agg(F.collect_list("stage_row").alias("positions"))
+        .repartition(tasks)  # files go out in turn; the rows are tiny, the work is not
         .mapInArrow(run, wanted)
     )
 

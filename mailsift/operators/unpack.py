@@ -35,6 +35,7 @@ _ITEM = T.StructType(
         T.StructField("payload", T.BinaryType()),
         T.StructField("spill", T.StringType()),
         T.StructField("cut", T.LongType()),
+        T.StructField("may_attach", T.BooleanType()),
     ]
 )
 _ITEM_ARROW = [(f.name, to_arrow_type(f.dataType)) for f in _ITEM]
@@ -190,6 +191,7 @@ def _shape(found: DataFrame, formats: Formats) -> DataFrame:
             ).alias("reason"),
             "uid",
             "size",
+            (F.col("may_attach") & (F.col("format") == "eml")).alias("may_attach"),
             F.when(F.col("routed") == "leaf", F.col("payload")).alias("mail"),
             F.when(F.col("routed") == "box", F.col("payload")).alias("box"),
             "spill",
@@ -292,7 +294,7 @@ def open_parts(surveyed: DataFrame, formats: Formats, limits: Limits) -> DataFra
         *PLACE, "location", "format", F.explode("parts").alias("part")
     ).select(*PLACE, "location", "format", "part.*")
     found = expand(
-        parts.repartition(tasks, "path", "entry_ord", "start"),
+        parts.repartition(tasks),  # in turn, so that every task gets its share
         PLACE,
         ["location", "format", "start", "end", "base"],
         lambda where, fmt, start, end, base: entries.part_items(

@@ -258,7 +258,7 @@ class _Run:
 
     def _write_all_of(self, winners: DataFrame) -> int:
         count = self._write_mails(winners)
-        self._write_attachments()
+        self._write_attachments(winners)
         self._write_manifest(winners)
         if self.options.write_json:
             self._write_json("manifest")
@@ -308,12 +308,21 @@ class _Run:
         )
         return total["mails"]
 
-    def _write_attachments(self) -> None:
-        mails = self.ledger.read_own("emails", self.run_id).filter(F.col("format") == "eml")
+    def _write_attachments(self, winners: DataFrame) -> None:
+        """Only mails marked while unpacking can have any; only those are read."""
+        likely = winners.filter("may_attach")
+        total = likely.agg(
+            F.count_distinct("stage_file").alias("files"),
+            F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"),
+        ).first()
+        tasks = max(1, total["files"], -(-total["bytes"] // self.options.task_bytes))
+        mails = fetch_rows(
+            likely, self.found.folder, FOUND, ["uid", "mail"], min(tasks, MAX_TASKS)
+        )
         self.ledger.write(
             "attachments",
             self.run_id,
-            extract_attachments(mails, test=self.options.attachment_test),
+            extract_attachments(mails, "mail", test=self.options.attachment_test, searched=True),
         )
 
     def _write_manifest(self, winners: DataFrame) -> None:

@@ -34,6 +34,7 @@ FOUND = _struct(
     reason=_S,
     uid=_S,
     size=_L,
+    may_attach=T.BooleanType(),
     mail=_B,
     box=_B,
     spill=_S,

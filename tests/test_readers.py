@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import email
 import io
 import mailbox
 import random
@@ -13,6 +14,7 @@ from mailsift.functions.formats import DEFAULT
 from mailsift.operators.attachments import BY_TEXT, BY_VALUE, _attachments_of
 from mailsift.operators.entries import (
     Limits,
+    _read_message,
     box_items,
     mbox_items,
     mbox_part_items,
@@ -146,6 +148,26 @@ class TestMailbox:
             got = [(i.message_id, i.payload) for i in mbox_items(content)]
             assert got == by_stdlib(content, tmp_path), content
 
+    def test_any_message_is_written_as_by_the_standard_library(self):
+        rng = random.Random(5)
+        heads = [b"Subject: s", b"Message-ID: <i@x>", b"X-Long: " + b"w " * 70, b" folded", b"Bad header line",
+                 b"Content-Type: text/html; charset=utf-8", b"Content-Type: multipart/mixed; boundary=b",
+                 b"Content-Type: message/rfc822", b"Content-Transfer-Encoding: base64", b"X: caf\xe9", b"From x",
+                 b"Content-Type: multipart/mixed", b"Content-Type: image/png", b"Content-Type: junk", b":", b""]
+        bodies = [b"text", b"--b", b"--b--", b"", b"From y", b"\xff\xfe", b"caf\xc3\xa9", b"Subject: inner", b" "]
+        for _ in range(4000):
+            end = rng.choice([b"\n", b"\n", b"\r\n", b"\r\n", b"\r"])
+            lines = rng.choices(heads, k=rng.randrange(5)) + [b""] + rng.choices(bodies, k=rng.randrange(6))
+            raw = end.join(lines) + rng.choice([b"", end, b"\n"])
+            message = email.message_from_bytes(raw)
+            try:
+                want = (message.get("Message-ID", ""), message.as_bytes())
+            except Exception:
+                with pytest.raises(Exception):
+                    _read_message(raw)
+                continue
+            assert _read_message(raw) == want, raw
+
     def test_any_cut_gives_the_same_messages(self, tmp_path, monkeypatch):
         monkeypatch.setattr(storage, "CHUNK", 16)
         rng = random.Random(11)
@@ -164,6 +186,22 @@ class TestMailbox:
 
 
 class TestAttachments:
+    def test_the_raw_test_fails_no_mail_with_attachments(self, spark):
+        mails = [
+            eml_with([('attachment; filename="a"', b"A")]),
+            eml_with([('attachment; filename="a"', b"A")]).replace(b"Content-Disp", b"CONTENT-disp"),
+            eml_with([("=?utf-8?q?attachment?=; filename=a", b"A")]),
+            b"\xff\xfe" + eml_with([('attachment; filename="a"', b"A")]),
+            eml("none"),
+        ]
+        from pyspark.sql import functions as F
+
+        from mailsift.operators.attachments import may_have_attachments
+
+        rows = spark.createDataFrame([(m,) for m in mails], "c binary")
+        got = [r.t for r in rows.select(may_have_attachments(F.col("c")).alias("t")).collect()]
+        assert got == [True, True, True, True, False]
+
     def test_names_and_bytes(self):
         mail = eml_with([('attachment; filename="a.pdf"', b"A"), ('attachment; filename="a.pdf"', b"B")])
         assert list(_attachments_of(mail, BY_TEXT)) == [("a.pdf", b"A"), ("a.pdf", b"B")]
