@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailsift.llm import bpe, mixing, sharding
+from mailsift.llm import bpe, minhash, mixing, sharding, suffix_dedup
 from mailsift.llm.common import table
 
 
@@ -29,6 +29,14 @@ def query(sql: str | None = None):
     return add
 
 
+@query()
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup.Repeats(table(spark, folder, "documents").select("doc_id", "text")).result()
+    return found.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 # The shards take turns in a recursion of one step per slot.
 @query(
     f"""
@@ -109,3 +117,8 @@ def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
