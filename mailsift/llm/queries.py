@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailsift.llm import bpe, minhash, mixing, sharding, suffix_dedup
+from mailsift.llm import bpe, minhash, mixing, sharding, suffix_dedup, toxicity
 from mailsift.llm.common import table
 
 
@@ -122,3 +122,8 @@ def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query()
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
