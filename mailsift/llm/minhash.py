@@ -12,10 +12,11 @@ in one of 24 bands are candidates: a pair of similarity 0.8 is missed with
 probability 0.0007.
 
 Candidates are compared exactly on their whole weighted sets. Within a bucket
-every text is first compared with the bucket's smallest; texts that this does
-not link are compared with the others of the bucket from which they are still
-apart. So a group of near copies costs its size, not its square, and no link
-that joins two groups is lost.
+every text is first compared with one other, then, where this leaves it in
+another component, with the text that has been found alike to others most
+often, and last with all of the bucket from which it is still apart. So a group
+of near copies costs its size, not its square, and no link that joins two
+groups is lost.
 
 Copies are one node: texts are grouped by their md5 before any bucket forms.
 
@@ -197,6 +198,34 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _pair(x: str, y: str) -> list:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _spokes(entries: DataFrame, other: str = "key") -> DataFrame:
+    """Pairs of each bucket's text of highest rank and its others (of another component)."""
+    hub = F.max_by(F.struct(F.col("key").alias("hub"), F.col(other).alias("hub_other")), "rank").alias("at")
+    hubs = entries.groupBy("bucket").agg(hub).select("bucket", "at.hub", "at.hub_other")
+    joined = entries.join(hubs, "bucket").where(F.col(other) != F.col("hub_other"))
+    return joined.select(*_pair("key", "hub")).distinct()
+
+
+def _across(entries: DataFrame) -> DataFrame:
+    """Pairs of texts of one bucket in different components."""
+    x, y = entries.alias("x"), entries.alias("y")
+    return (
+        x.join(y, F.col("x.bucket") == F.col("y.bucket")).where(F.col("x.root") < F.col("y.root"))
+        .select(*_pair("x.key", "y.key")).distinct()
+    )
+
+
+def _standing(checked: DataFrame, similar: float) -> DataFrame:
+    """How often a text was found similar to those it was compared with."""
+    hit = (F.col("similarity") >= similar).cast("double").alias("hit")
+    both = checked.select(F.col("a").alias("key"), hit).unionByName(checked.select(F.col("b").alias("key"), hit))
+    return both.groupBy("key").agg(((F.sum("hit") + 1) / (F.count("*") + 2)).alias("standing"))
+
+
 class NearDuplicates:
     """One search over a table of documents; its tables stay in the work folder."""
 
@@ -215,43 +244,47 @@ class NearDuplicates:
         keep = self.work.keep
         nodes = self.signed.groupBy("key").agg(F.first("bands").alias("bands"))
         entries = keep(nodes.select("key", F.explode("bands").alias("bucket")))
-        pivots = (
-            entries.groupBy("bucket").agg(F.min("key").alias("pivot"), F.max("key").alias("last"))
-            .where(F.col("pivot") != F.col("last")).drop("last")
+        several = (
+            entries.groupBy("bucket").agg(F.min("key").alias("first"), F.max("key").alias("last"))
+            .where(F.col("first") != F.col("last")).select("bucket")
         )
-        shared = keep(entries.join(pivots, "bucket"))  # buckets of several texts
-        spokes = shared.where(F.col("key") != F.col("pivot"))
-        pairs = keep(spokes.select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct())
-        wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+        shared = keep(entries.join(several, "bucket"))  # buckets of several texts
+        fields = StructType().add("key", BinaryType()).add("cells", BinaryType())
+        wanted = shared.select("key").distinct()
         # One row of each text that is a candidate; copies have gone by then.
         firsts = self.signed.groupBy("key").agg(F.min("id").alias("id")).join(wanted, "key", "left_semi")
-        fields = StructType().add("key", BinaryType()).add("cells", BinaryType())
         self.cells = keep(
             self.texts.join(firsts, (self.texts.key == firsts.key) & self.texts.id.eqNullSafe(firsts.id), "left_semi")
             .select("key", "text").mapInArrow(_cells, fields)
         )
-        checked = keep(self._verify(pairs))
-        links = checked.where(F.col("similarity") >= self.similar).select("a", "b")
-        apart = checked.where(F.col("similarity") < self.similar)
-        if apart.isEmpty():
-            return links
-        roots = components(links, self.work)
-        labelled = keep(
-            shared.join(roots.withColumnRenamed("node", "key"), "key", "left")
-            .select("bucket", "key", "pivot", F.coalesce("root", "key").alias("root"))
-        )
-        lone = labelled.join(apart.select(F.col("a").alias("pivot"), F.col("b").alias("key")), ["pivot", "key"], "left_semi")
-        x, y = labelled.alias("x"), lone.alias("y")
-        more = (
-            y.join(x, F.col("x.bucket") == F.col("y.bucket"))
-            .where((F.col("x.root") != F.col("y.root")) & (F.col("x.key") != F.col("x.pivot")))
-            .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"))
-            .distinct()
-            .join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        # First every text with a random one of each of its buckets, then with the
+        # one that has proved most alike to others, then with all that are still apart.
+        checked = keep(self._verify(_spokes(shared.withColumn("rank", F.xxhash64("bucket", "key")))))
+        for last in (False, False, True):
+            links = checked.where(F.col("similarity") >= self.similar).select("a", "b")
+            labelled = self._labelled(shared, links)
+            if labelled.isEmpty():
+                return links
+            if last:
+                pairs = _across(labelled)
+            else:
+                pairs = _spokes(labelled.join(_standing(checked, self.similar), "key", "left").withColumn(
+                    "rank", F.struct(F.coalesce("standing", F.lit(0.0)), F.xxhash64("bucket", "key"))), "root")
+            more = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
+            checked = keep(checked.unionByName(self._verify(more)))
+        return checked.where(F.col("similarity") >= self.similar).select("a", "b")
+
+    def _labelled(self, shared: DataFrame, links: DataFrame) -> DataFrame:
+        """Entries with the component of their text, of buckets that still hold several components."""
+        roots = components(links, self.work).withColumnRenamed("node", "key")
+        rows = self.work.keep(
+            shared.join(roots, "key", "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
         )
-        return links.unionByName(
-            keep(self._verify(more)).where(F.col("similarity") >= self.similar).select("a", "b")
+        apart = (
+            rows.groupBy("bucket").agg(F.min("root").alias("first"), F.max("root").alias("last"))
+            .where(F.col("first") != F.col("last")).select("bucket")
         )
+        return self.work.keep(rows.join(apart, "bucket", "left_semi"))
 
     def _verify(self, pairs: DataFrame) -> DataFrame:
         left = self.cells.select(F.col("key").alias("a"), F.col("cells").alias("left_cells"))
