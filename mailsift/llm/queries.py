@@ -8,7 +8,18 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailsift.llm import bpe, minhash, mixing, sharding, suffix_dedup, toxicity
+from mailsift.llm import (
+    ann,
+    bpe,
+    embedding_dedup,
+    html_extract,
+    minhash,
+    mixing,
+    sharding,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+)
 from mailsift.llm.common import table
 
 
@@ -127,3 +138,44 @@ def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op2_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query()
+def op3_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.Index(table(spark, folder, "embeddings")).search(F.col("id") % 100 == 0)
+
+
+@query(
+    r"""
+WITH rest AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r FROM pages),
+parts AS (
+  SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rest),
+rules(rule, site, prefix, said) AS (
+  VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+         ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
+best AS (
+  SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(said, length(rule)) AS said
+  FROM parts JOIN rules ON (host = site OR ends_with(host, '.' || site)) AND starts_with(path, prefix)
+  GROUP BY page_id)
+SELECT p.page_id, host, path, rule,
+       coalesce(said, CASE WHEN regexp_matches(host, '(^|\.)(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\.')
+                           THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts p LEFT JOIN best USING (page_id)
+"""
+)
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query()
+def op10_html(spark: SparkSession, folder: str) -> DataFrame:
+    pages = html_extract.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))

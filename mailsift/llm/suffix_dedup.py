@@ -42,7 +42,7 @@ from mailsift.llm.minhash import _INVERSE, _PRIME, _power
 
 LENGTH, GRAM = 50, 24
 _WIDTH = LENGTH - GRAM + 1  # anchors to choose from in a string
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 BLOCK_BYTES = 1 << 20  # of text in one vectorised step
 MANY = 500  # contexts of one anchor; above, its strings are dealt out one by one
 _LAST = 2**63 - 1  # stands for a null id
