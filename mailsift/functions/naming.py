@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,6 +42,14 @@ def mbox_entry_name(message_id: Column, index: Column) -> Column:
     ).otherwise(F.format_string("msg_%04d.eml", index))
 
 
+def message_name(message_id: str | None, index: int) -> str:
+    """``mbox_entry_name`` of one message, for readers that give rows themselves."""
+    if not message_id:
+        return f"msg_{index:04d}.eml"
+    kept = (c if c in "_.@-" or unicodedata.category(c)[0] in "LN" else "_" for c in message_id.strip("<>"))
+    return "".join(kept)[:100] + ".eml"
+
+
 def suffix_of(name: Column, default: str = ".eml") -> Column:
     """Last suffix of a file name with its case kept, or the default."""
     base = F.regexp_extract(name, r"([^/]*)/*$", 1)

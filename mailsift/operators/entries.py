@@ -31,6 +31,7 @@ except ImportError:  # a Python built without lzma
 # as too large instead of being lost.
 MAX_CELL = 1_900_000_000
 
+_LOCKED = 0x1  # fixed value: the flag of an encrypted entry
 _BROKEN = (zipfile.BadZipFile, zlib.error, EOFError, LZMAError, struct.error)
 
 
@@ -78,7 +79,7 @@ def _entry(ord: int, name: str, payload: bytes, known: Format) -> Item:
         "entry",
         ord,
         name,
-        uid=_digest(payload) if single else None,
+        uid=_digest(payload),
         size=len(payload),
         payload=payload,
         may_attach=may_attach(payload) if single else None,
@@ -90,6 +91,12 @@ def _pieces(entry) -> Iterator[bytes]:
         yield piece
 
 
+def _hashed(pieces: Iterator[bytes], digest) -> Iterator[bytes]:
+    for piece in pieces:
+        digest.update(piece)
+        yield piece
+
+
 def _zip_item(archive, info, ord: int, formats: Formats, limits: Limits) -> Item:
     known = formats.of(info.filename)
     single = known is not None and known.supported and known.file_type == SINGLE
@@ -100,8 +107,9 @@ def _zip_item(archive, info, ord: int, formats: Formats, limits: Limits) -> Item
             return _entry(ord, info.filename, payload, known)
         if box and limits.spill_dir:
             target = f"{limits.spill_dir}/{uuid.uuid4().hex}"
-            size = storage.write_all(target, _pieces(entry))
-            return Item("entry", ord, info.filename, size=size, spill=target)
+            digest = hashlib.sha256()
+            size = storage.write_all(target, _hashed(_pieces(entry), digest))
+            return Item("entry", ord, info.filename, uid=digest.hexdigest(), size=size, spill=target)
         # Nobody reads this entry, but damage and encryption must still show.
         size = sum(len(piece) for piece in _pieces(entry))
         if single or box:
@@ -130,10 +138,8 @@ def zip_items(
                     item = _zip_item(archive, info, at, formats, limits)
                 except NotImplementedError:
                     item = Item("refused", at, info.filename, reason="unreadable")
-                except RuntimeError as error:
-                    text = str(error).lower()
-                    locked = "password" in text or "encrypted" in text
-                    reason = "password_protected" if locked else "unreadable"
+                except RuntimeError:
+                    reason = "password_protected" if info.flag_bits & _LOCKED else "unreadable"
                     item = Item("refused", at, info.filename, reason=reason)
                 yield item
     except _BROKEN:

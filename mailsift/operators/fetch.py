@@ -18,7 +18,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from mailsift.sources import storage
 
-_BATCH_ROWS = 64
+_BATCH_BYTES = 16 << 20
 
 
 def fetch_rows(
@@ -55,13 +55,15 @@ def _rows_of(path: str, positions, columns: list[str], arrow: pa.Schema):
         table = pq.ParquetFile(file, pre_buffer=False)
         start = 0
         for group in range(table.num_row_groups):
-            rows = table.metadata.row_group(group).num_rows
+            meta = table.metadata.row_group(group)
+            rows = meta.num_rows
+            batch_rows = max(1, min(4096, _BATCH_BYTES * rows // max(meta.total_byte_size, 1)))
             lo, hi = np.searchsorted(positions, [start, start + rows])
             if lo == hi:  # nothing chosen from this row group: not read
                 start += rows
                 continue
             at = start
-            for batch in table.iter_batches(_BATCH_ROWS, row_groups=[group], columns=columns):
+            for batch in table.iter_batches(batch_rows, row_groups=[group], columns=columns):
                 lo, hi = np.searchsorted(positions, [at, at + batch.num_rows])
                 if hi > lo:
                     picked = batch.select(columns)

@@ -3,49 +3,74 @@
 from __future__ import annotations
 
 import io
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
-from pyspark.sql.functions import udtf
+from pyspark.sql.functions import arrow_udtf
 
+from mailsift.functions import naming
 from mailsift.functions.formats import SINGLE, Format, Formats
 from mailsift.operators import entries
-from mailsift.operators.entries import Limits
-
-_SHAPE = "kind string, ord bigint, entry_name string, message_id string, reason string, payload binary"
+from mailsift.operators.entries import Item, Limits
+
+_SHAPE = (
+    "kind string, ord bigint, entry_name string, message_index bigint, message_id string, reason string, payload binary"
+)
+_ARROW = pa.schema(
+    [
+        ("kind", pa.string()),
+        ("ord", pa.int64()),
+        ("entry_name", pa.string()),
+        ("message_index", pa.int64()),
+        ("message_id", pa.string()),
+        ("reason", pa.string()),
+        ("payload", pa.binary()),
+    ]
+)
 _EVERY = Formats((Format("any", ("",), SINGLE, True),))
+_FLUSH_BYTES, _FLUSH_ROWS = 16 << 20, 1024
 
 
-def _rows(items):
+def _tables(items: Iterator[Item]) -> Iterator[pa.Table]:
+    """Items in Arrow tables of bounded size."""
+    rows: list[tuple] = []
+    filled = 0
     for item in items:
         kind = "entry" if item.kind == "entry" else "skip"
-        yield kind, item.ord, item.name, item.message_id, item.reason, item.payload
+        name = item.name
+        if name is None and item.index is not None:
+            name = naming.message_name(item.message_id, item.index)
+        rows.append((kind, item.ord, name, item.index, item.message_id, item.reason, item.payload))
+        filled += len(item.payload or b"")
+        if filled >= _FLUSH_BYTES or len(rows) >= _FLUSH_ROWS:
+            yield _table(rows)
+            rows, filled = [], 0
+    if rows:
+        yield _table(rows)
+
 
+def _table(rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
 
-class _Unzip:
-    def eval(self, content: bytes):
-        if content is not None:
-            yield from _rows(entries.zip_items(io.BytesIO(content), _EVERY, Limits()))
 
+def _register(spark: SparkSession, name: str, items: Callable[[bytes], Iterator[Item]]) -> None:
+    class Unpack:
+        def eval(self, content: pa.Array) -> Iterator[pa.Table]:
+            for value in content:
+                if value.is_valid:
+                    yield from _tables(items(value.as_py()))
 
-class _SplitMbox:
-    def eval(self, content: bytes):
-        if content is not None:
-            yield from _rows(entries.mbox_items(bytes(content)))
+    spark.udtf.register(name, arrow_udtf(Unpack, returnType=_SHAPE))
 
 
 def register_table_functions(spark: SparkSession) -> None:
     """``SELECT ... FROM files, LATERAL unpack_zip(content)``, and ``unpack_mbox``."""
-    spark.udtf.register("unpack_zip", udtf(_Unzip, returnType=_SHAPE))
-    spark.udtf.register("unpack_mbox", udtf(_SplitMbox, returnType=_SHAPE))
+    _register(spark, "unpack_zip", lambda content: entries.zip_items(io.BytesIO(content), _EVERY, Limits()))
+    _register(spark, "unpack_mbox", entries.mbox_items)
 
 
 def register_reader(spark: SparkSession, fmt: Format) -> None:
     """A registered container format as ``unpack_<name>``."""
     reader = fmt.reader
-
-    class Unpack:
-        def eval(self, content: bytes):
-            if content is not None:
-                yield from _rows(entries.own_reader_items(bytes(content), reader, _EVERY))
-
-    spark.udtf.register(f"unpack_{fmt.name}", udtf(Unpack, returnType=_SHAPE))
+    _register(spark, f"unpack_{fmt.name}", lambda content: entries.own_reader_items(content, reader, _EVERY))

@@ -47,7 +47,7 @@ MAX_TASKS = 100_000
 _TASK_BYTES = 64 << 20
 
 # Columns that place a row in the corpus; they pass through unpacking.
-PLACE = ["path", "namespace", "date_partition", "source_file", "entry_ord", "container_path"]
+PLACE = ["path", "namespace", "date_partition", "source_file", "entry_ord", "container_path", "ancestors"]
 
 
 def expand(
@@ -165,6 +165,7 @@ def _shape(found: DataFrame, formats: Formats) -> DataFrame:
         F.when(kind == "source", "source")
         .when(kind.isin("refused", "broken"), "skip")
         .when(readable & (file_type == SINGLE), "leaf")
+        .when(readable & F.array_contains("ancestors", F.col("uid")), "skip")
         .when(readable & (file_type == CONTAINER), "box")
         .otherwise("skip")
     )
@@ -183,11 +184,16 @@ def _shape(found: DataFrame, formats: Formats) -> DataFrame:
             F.when(below, F.array_append("container_path", F.col("name")))
             .otherwise(F.col("container_path"))
             .alias("container_path"),
+            # Digests of the containers around what a box holds, itself included.
+            F.when(F.col("routed") == "box", F.array_append("ancestors", F.col("uid")))
+            .otherwise(F.col("ancestors"))
+            .alias("ancestors"),
             "name",
             "format",
             F.col("routed").alias("kind"),
             F.when(
-                F.col("routed") == "skip", F.coalesce("reason", skip_reason(F.col("format")))
+                F.col("routed") == "skip",
+                F.coalesce("reason", F.when(readable, "contains_itself"), skip_reason(F.col("format"))),
             ).alias("reason"),
             "uid",
             "size",
@@ -205,8 +211,11 @@ def _empty(kind: T.DataType) -> Column:
 
 
 def _placed(files: DataFrame) -> DataFrame:
-    return files.withColumn("entry_ord", _empty(ORD)).withColumn(
-        "container_path", _empty(T.ArrayType(T.StringType()))
+    texts = T.ArrayType(T.StringType())
+    return (
+        files.withColumn("entry_ord", _empty(ORD))
+        .withColumn("container_path", _empty(texts))
+        .withColumn("ancestors", _empty(texts))
     )
 
 
@@ -389,7 +398,7 @@ class Found:
 
     def leaves(self) -> DataFrame:
         """Mails without their bytes."""
-        return self.rows("leaf").drop("mail", "box", "kind", "reason", "spill", "cut")
+        return self.rows("leaf").drop("mail", "box", "kind", "reason", "spill", "cut", "ancestors")
 
     def skips(self) -> DataFrame:
         return self.rows("skip").select(
@@ -409,27 +418,16 @@ def unpack_all(
     found: Found,
     formats: Formats,
     limits: Limits,
-    max_depth: int = 64,
 ) -> Found:
-    """Open nested containers below the levels already found, until none is left.
-
-    An archive can contain itself, so the depth is bounded; what lies deeper is
-    recorded as ``too_deep``.
+    """Open nested containers below the levels already found, until none is left,
+    however deep they lie. A container with the bytes of one around it would never
+    end; it is recorded as ``contains_itself``.
     """
     spark = found.spark
     while True:
         if not found.boxes:
             return found
         boxes = found.last()
-        if len(found.levels) > max_depth:
-            found.add_level(
-                boxes.drop("stage_file", "stage_row")
-                .withColumn("kind", F.lit("skip"))
-                .withColumn("reason", F.lit("too_deep"))
-                .withColumn("box", F.lit(None).cast("binary"))
-                .withColumn("spill", F.lit(None).cast("string"))
-            )
-            return found
         below = open_boxes(boxes.filter(F.col("box").isNotNull()), formats, limits)
         if found.spilled:
             large = boxes.filter(F.col("spill").isNotNull()).select(

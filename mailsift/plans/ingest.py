@@ -5,9 +5,10 @@
     -> ledgers -> commit row
 
 A file's bytes are read once in a backfill (in an incremental run, once to hash
-all and once more for the new ones, which are the only ones unpacked). Bytes
-are never shuffled: they go from the bucket to the staged level and from there
-to the mail table; only keys, positions and paths move between tasks.
+all and once more for the new ones, which are the only ones unpacked). No join
+or aggregate moves bytes: they go from the bucket to the staged level and from
+there to the mail table, with one rebalance by folder where the staged files are
+not laid out so, or are too few for the cores; see ``_write_mails``.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ from mailsift.operators.entries import Limits, hash_in_storage
 from mailsift.operators.fetch import fetch_rows
 from mailsift.operators.first_wins import first_wins, without_known
 from mailsift.operators.unpack import (
+    MAX_FILE_ROWS,
     MAX_TASKS,
     Found,
     _placed,
@@ -52,6 +54,9 @@ from mailsift.sources.bucket import list_files
 from mailsift.sources.storage import remove_tree
 
 
+_FILE_COLUMNS = ["path", "namespace", "date_partition", "source_file", "content"]
+
+
 @dataclass(frozen=True)
 class Options:
     formats: Formats = DEFAULT
@@ -60,7 +65,6 @@ class Options:
     inline_bytes: int = 64 << 20  # larger containers are read in parts
     raw_mbox: bool = False
     attachment_test: str = BY_TEXT
-    max_depth: int = 64
     # Keys up to this many are sent to the ledger; beyond it both are shuffled.
     broadcast_keys: int = 200_000
     write_json: bool = True
@@ -157,10 +161,12 @@ class _Run:
     def open_bucket(
         self, root: str, namespaces: Iterable[str] | None, dates: Iterable[str] | None
     ) -> None:
+        self.open_listing(list_files(self.spark, root, namespaces, dates, self.options.formats))
+
+    def open_listing(self, files: DataFrame) -> None:
+        """Files by their location."""
         options, formats = self.options, self.options.formats
-        listing = self.staged(
-            list_files(self.spark, root, namespaces, dates, formats), "listing"
-        )
+        listing = self.staged(files, "listing")
         boxes = F.col("format").isin(formats.names_of(CONTAINER))
         by_parts = boxes & F.col("format").isin("zip", "mbox") & (
             F.col("size") > options.inline_bytes
@@ -193,34 +199,39 @@ class _Run:
     def open_frame(self, files: DataFrame) -> None:
         """Files that come with their bytes: path, namespace, date_partition,
         source_file, content."""
-        files = files.select("path", "namespace", "date_partition", "source_file", "content")
+        files = files.select(*_FILE_COLUMNS)
         if self.mode == INCREMENTAL:
             files = self._drop_known(files)
         self.found.add_level(open_inline(files, self.options.formats, self.limits))
 
     def _drop_known(self, files: DataFrame) -> DataFrame:
-        """Change capture for rows with bytes. Keys are compared first, so the
-        bytes meet only the few rows that are known already, or no join at all."""
+        """Change capture for rows with bytes. They are read, hashed and staged once;
+        keys are compared alone, and the new rows come out of the staged files by position."""
+        schema = T.StructType([*files.schema.fields, T.StructField("content_hash", T.StringType())])
+        folder = f"{self.work}/arrived"
         hashed = files.withColumn("content_hash", content_hash(F.col("content")))
-        keys = self.staged(hashed.select(*SOURCE_KEY), "keys")
-        discovered = self.ledger.discovered().select(*SOURCE_KEY)
-        n_keys = keys.count()
-        at_hand = F.broadcast(keys) if n_keys <= self.options.broadcast_keys else keys
-        known = self.staged(
-            discovered.join(at_hand, SOURCE_KEY, "left_semi").distinct(), "known"
+        hashed.write.mode("overwrite").option("maxRecordsPerFile", MAX_FILE_ROWS).parquet(folder)
+        keys = self.spark.read.schema(schema).parquet(folder).select(
+            *SOURCE_KEY,
+            F.regexp_extract("_metadata.file_path", "([^/]+)$", 1).alias("stage_file"),
+            F.col("_metadata.row_index").alias("stage_row"),
+            F.length("content").alias("size"),
+        )
+        keys = self.staged(keys, "keys")
+        fresh = self.staged(
+            changed(keys, self.ledger.discovered(), self.mode, self.is_small(keys)), "fresh"
         )
-        n_known = known.count()
-        if n_known == 0:
-            return files
-        if n_known <= self.options.broadcast_keys:
-            known = F.broadcast(known)
-        return hashed.join(known, SOURCE_KEY, "left_anti")
+        total = fresh.agg(
+            F.count_distinct("stage_file").alias("files"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")
+        ).first()
+        tasks = max(1, total["files"], -(-total["bytes"] // self.options.task_bytes))
+        return fetch_rows(fresh, folder, schema, _FILE_COLUMNS, min(tasks, MAX_TASKS))
 
     # -- the common rest ---------------------------------------------------
 
     def finish(self) -> dict:
         options, ledger = self.options, self.ledger
-        unpack_all(self.found, options.formats, self.limits, options.max_depth)
+        unpack_all(self.found, options.formats, self.limits)
         found = self.found.counts()
 
         best = self.staged(first_wins(self.found.leaves()), "best")
@@ -428,6 +439,19 @@ def ingest(
     return _ingest(run, lambda r: r.open_bucket(input_root, namespaces, dates))
 
 
+def ingest_listing(
+    files: DataFrame,
+    output_root: str,
+    mode: str = BACKFILL,
+    *,
+    options: Options = Options(),
+    run_id: str | None = None,
+) -> DataFrame:
+    """Ingest files given by their locations, with the columns of a listing."""
+    run = _Run(files.sparkSession, output_root, mode, options, run_id)
+    return _ingest(run, lambda r: r.open_listing(files))
+
+
 def ingest_frame(
     files: DataFrame,
     output_root: str,

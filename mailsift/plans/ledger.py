@@ -142,7 +142,8 @@ class Ledger:
         """Write a run's rows of a table, in place of an earlier try's."""
         _, schema, parts = TABLES[table]
         columns = [c for c in schema.names if c != "run_id"]
-        writer = rows.select(*columns).write.mode("overwrite")
+        # A whole folder is replaced, whatever the session says about partitions.
+        writer = rows.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "static")
         if parts:
             writer = writer.partitionBy(*parts)
         writer.parquet(f"{self.path(table)}/run_id={run_id}")

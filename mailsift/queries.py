@@ -550,16 +550,16 @@ def own_format(spark, folder):
 
 @query(f"""
 WITH {lines_cte('documents', _DOC)}
-SELECT CAST(doc_id AS VARCHAR) || '.mbox' AS source_file,
+SELECT CAST(doc_id AS VARCHAR) || '.mbox' AS source_file, CAST(place AS BIGINT) AS message_index,
        CASE WHEN place % 2 = 0 THEN '<' || ident || '.' || CAST(place AS VARCHAR) || '@example.org>' ELSE '' END
-         AS message_id, uid
+         AS message_id, entry_name, uid
 FROM messages""")
 def mbox_split_in_sql(spark, folder):
     """The mailbox reader as a table function"""
     register_table_functions(spark)
     boxes = corpus.document_mailboxes(spark, folder)
     return spark.sql(
-        "SELECT source_file, m.message_id, sha2(m.payload, 256) AS uid "
+        "SELECT source_file, m.message_index, m.message_id, m.entry_name, sha2(m.payload, 256) AS uid "
         "FROM {boxes}, LATERAL unpack_mbox(content) AS m",
         boxes=boxes,
     )

@@ -28,6 +28,7 @@ FOUND = _struct(
     source_file=_S,
     entry_ord=ORD,
     container_path=T.ArrayType(_S),
+    ancestors=T.ArrayType(_S),
     name=_S,
     format=_S,
     kind=_S,

@@ -134,6 +134,15 @@ def list_files(
     return found.withColumn("format", formats.detect(F.col("source_file")))
 
 
+def list_unseen(files: DataFrame, formats: Formats = DEFAULT) -> DataFrame:
+    """Files that Spark's file index leaves out, in the folders of the given files."""
+    root = F.expr("substring(location, 1, length(location) - length(path) - 1)").alias("root")
+    folders = files.select(root, "namespace", "date_partition").distinct()
+    found = folders.mapInArrow(_files_below, LISTING)
+    unseen = (F.col("size") == 0) | F.startswith("source_file", F.lit("_"))
+    return found.where(unseen).withColumn("format", formats.detect(F.col("source_file")))
+
+
 def file_stat(listing: DataFrame) -> DataFrame:
     return listing.select("path", "size", "modified_at")
 

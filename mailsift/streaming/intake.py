@@ -1,5 +1,8 @@
 """Files as a stream: every micro-batch is one incremental run.
 
+The stream carries locations; the bytes are read by the tasks that unpack them,
+as in a run over the bucket, so files of any size pass.
+
 The set of known mails is exact and never ends, so it lives in the ledgers and
 not in streaming state, and there is no watermark: a file may land in a folder
 of any date at any time.
@@ -8,20 +11,23 @@ of any date at any time.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from mailsift.operators.capture import INCREMENTAL
-from mailsift.plans.ingest import Options, ingest_frame
-from mailsift.sources.bucket import with_bucket_columns
+from mailsift.plans.ingest import Options, ingest_frame, ingest_listing
+from mailsift.sources.bucket import list_unseen, with_bucket_columns
 
 # The columns of Spark's binaryFile source; a stream wants them declared.
 _BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+# Spark's file source leaves out files much older than the newest one; no file is too old here.
+_ANY_AGE = "36500d"
 
 
 def watch_bucket(
     spark: SparkSession, root: str, options: Options = Options(), files_per_batch: int = 10_000
 ) -> DataFrame:
-    """Stream of the bucket's files with their bytes, as they land.
+    """Stream of the bucket's files as they land: where they are, their size and time.
 
     A file replaced under a known path is not delivered again by Spark's file
     source; a periodic incremental run over the bucket picks it up.
@@ -30,9 +36,11 @@ def watch_bucket(
         spark.readStream.format("binaryFile")
         .schema(_BINARY_FILE)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", _ANY_AGE)
         .load(f"{root.rstrip('/')}/*/timestamp=*")
     )
-    return with_bucket_columns(files, root, options.formats)
+    located = with_bucket_columns(files.drop("content"), root, options.formats)
+    return located.withColumn("location", F.concat(F.lit(f"{root.rstrip('/')}/"), "path"))
 
 
 def ingest_stream(
@@ -44,16 +52,27 @@ def ingest_stream(
     name: str = "intake",
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Ingest a stream of files (path, namespace, date_partition, source_file, content).
+    """Ingest a stream of files: path, namespace, date_partition, source_file, and
+    either ``location`` and ``size`` or ``content``.
+
+    A run is named by the identity that the checkpoint keeps and the batch number:
+    a batch that is delivered again after a restart is either known as completed or
+    overwrites its own first try, and another checkpoint's batches are other runs.
 
-    The batch number names the run, so a batch that is delivered again after a
-    restart is either known as completed or overwrites its own first try.
+    Spark's file source does not show zero-byte files and names starting with
+    ``_``. Those in the folders of a batch are listed and join it; change capture
+    drops the ones already known.
     """
 
     def one_batch(batch: DataFrame, number: int) -> None:
-        ingest_frame(
-            batch, output_root, INCREMENTAL, options=options, run_id=f"{name}-{number}"
-        )
+        context = batch.sparkSession.sparkContext
+        run_id = f"{name}-{context.getLocalProperty('sql.streaming.queryId')}-{number}"
+        if "location" not in batch.columns:
+            ingest_frame(batch, output_root, INCREMENTAL, options=options, run_id=run_id)
+            return
+        known = batch.select("path", "namespace", "date_partition", "source_file", "location", "size", "modified_at", "format")
+        files = known.unionByName(list_unseen(known, options.formats))
+        ingest_listing(files, output_root, INCREMENTAL, options=options, run_id=run_id)
 
     return (
         files.writeStream.foreachBatch(one_batch)
