@@ -22,13 +22,18 @@ def components(links: DataFrame, work: Work) -> DataFrame:
         .select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root"))
         .distinct()
     )
-    seen = None
-    while True:
-        state = stars.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("node", "root").cast("decimal(38,0)")), F.lit(0))).first()
-        if tuple(state) == seen or not state[0]:
-            return stars
-        seen = tuple(state)
+    while not _settled(stars):
         stars = work.keep(_small_star(_large_star(stars)))
+    return stars
+
+
+def _settled(stars: DataFrame) -> bool:
+    """Every node has one root, and no root hangs on another."""
+    total = stars.agg(F.count("*"), F.count_distinct("node")).first()
+    if total[0] != total[1]:
+        return False
+    roots = stars.select(F.col("root").alias("node")).distinct()
+    return stars.join(roots, "node", "left_semi").isEmpty()
 
 
 def _large_star(stars: DataFrame) -> DataFrame:

@@ -42,6 +42,7 @@ from mailsift.llm.components import components
 WORDS = 5
 SIMILAR = 0.8
 BANDS, ROWS = 24, 6
+BLOCK = 256  # texts of a bucket that meet others at once
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
@@ -181,23 +182,80 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = (regions(hashes, counts) >> np.uint64(32)).astype(np.uint32)
         ends = np.cumsum(counts)
         blobs = [np.sort(cells[e - c : e]).tobytes() for c, e in zip(counts, ends)]
-        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(blobs, pa.binary())], ["key", "cells"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("key"), batch.column("bands"), pa.array(blobs, pa.binary())], ["key", "bands", "cells"])
+
+
+def _similarity(x: np.ndarray, y: np.ndarray) -> float:
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    shared = int((both[1:] == both[:-1]).sum())
+    return shared / (len(both) - shared) if len(both) else 0.0
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        similar = []
-        for left, right in zip(batch.column("left_cells"), batch.column("right_cells")):
-            x = np.frombuffer(left.as_buffer(), np.uint32)
-            y = np.frombuffer(right.as_buffer(), np.uint32)
-            both = np.sort(np.concatenate([x, y]), kind="stable")
-            shared = int((both[1:] == both[:-1]).sum())
-            similar.append(shared / (len(both) - shared) if len(both) else 0.0)
+        similar = [
+            _similarity(np.frombuffer(left.as_buffer(), np.uint32), np.frombuffer(right.as_buffer(), np.uint32))
+            for left, right in zip(batch.column("left_cells"), batch.column("right_cells"))
+        ]
         yield pa.RecordBatch.from_arrays(
             [batch.column("a"), batch.column("b"), pa.array(similar, pa.float64())], ["a", "b", "similarity"]
         )
 
 
+def _pack(table: pa.Table) -> pa.Table:
+    """The texts of a bucket's block in one row."""
+    out = {name: table.column(name).slice(0, 1) for name in ("bucket", "block")}
+    for name in ("key", "root", "cells"):
+        values = table.column(name).combine_chunks()
+        out[f"{name}s"] = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+    bands = np.asarray(table.column("bands").combine_chunks().flatten(), np.int64)
+    return pa.table(out | {"bands": pa.array([bands.tobytes()], pa.binary())})
+
+
+def _meet(similar: float):
+    """Compare the texts of two blocks of a bucket; give a forest of their links."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[tuple[bytes, bytes]] = []
+            for i in range(batch.num_rows):
+                found += _tile({name: batch.column(name)[i].as_py() for name in batch.schema.names}, similar)
+            a, b = zip(*found) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    return run
+
+
+def _tile(tile: dict, similar: float) -> list[tuple[bytes, bytes]]:
+    x, y = (np.frombuffer(tile[f"{side}_bands"], np.int64).reshape(-1, BANDS) for side in ("left", "right"))
+    band = int((x[0] == tile["bucket"]).argmax())
+    # Each pair is met in the first band that its texts share.
+    met = np.zeros((len(x), len(y)), bool)
+    for n in range(band):
+        met |= x[:, n][:, None] == y[:, n]
+    sets = [[np.frombuffer(c, np.uint32) for c in tile[f"{side}_cells"]] for side in ("left", "right")]
+    size_x, size_y = (np.array([len(s) for s in side], float) for side in sets)
+    low, high = np.minimum(size_x[:, None], size_y), np.maximum(size_x[:, None], size_y)
+    open_ = ~met & (low >= similar * high)
+    if tile["same"]:
+        open_ &= np.arange(len(x))[:, None] < np.arange(len(y))
+    home: dict[bytes, bytes] = {}
+
+    def top(root: bytes) -> bytes:
+        while (up := home.get(root, root)) != root:
+            root = up
+        return root
+
+    links = []
+    for i, j in zip(*np.nonzero(open_)):
+        a, b = top(tile["left_roots"][i]), top(tile["right_roots"][j])
+        if a != b and _similarity(sets[0][i], sets[1][j]) >= similar:
+            home[max(a, b)] = min(a, b)
+            links.append((tile["left_keys"][i], tile["right_keys"][j]))
+    return links
+
+
 def _pair(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -210,15 +268,6 @@ def _spokes(entries: DataFrame, other: str = "key") -> DataFrame:
     return joined.select(*_pair("key", "hub")).distinct()
 
 
-def _across(entries: DataFrame) -> DataFrame:
-    """Pairs of texts of one bucket in different components."""
-    x, y = entries.alias("x"), entries.alias("y")
-    return (
-        x.join(y, F.col("x.bucket") == F.col("y.bucket")).where(F.col("x.root") < F.col("y.root"))
-        .select(*_pair("x.key", "y.key")).distinct()
-    )
-
-
 def _standing(checked: DataFrame, similar: float) -> DataFrame:
     """How often a text was found similar to those it was compared with."""
     hit = (F.col("similarity") >= similar).cast("double").alias("hit")
@@ -242,38 +291,53 @@ class NearDuplicates:
 
     def _links(self) -> DataFrame:
         keep = self.work.keep
-        nodes = self.signed.groupBy("key").agg(F.first("bands").alias("bands"))
+        nodes = self.signed.groupBy("key").agg(F.first("bands").alias("bands"), F.min("id").alias("first"))
         entries = keep(nodes.select("key", F.explode("bands").alias("bucket")))
         several = (
             entries.groupBy("bucket").agg(F.min("key").alias("first"), F.max("key").alias("last"))
             .where(F.col("first") != F.col("last")).select("bucket")
         )
         shared = keep(entries.join(several, "bucket"))  # buckets of several texts
-        fields = StructType().add("key", BinaryType()).add("cells", BinaryType())
+        fields = StructType().add("key", BinaryType()).add("bands", ArrayType(LongType())).add("cells", BinaryType())
         wanted = shared.select("key").distinct()
         # One row of each text that is a candidate; copies have gone by then.
-        firsts = self.signed.groupBy("key").agg(F.min("id").alias("id")).join(wanted, "key", "left_semi")
+        firsts = nodes.join(wanted, "key", "left_semi").select(F.col("key").alias("own_key"), "first", "bands")
+        same = (F.col("key") == F.col("own_key")) & F.col("id").eqNullSafe(F.col("first"))
         self.cells = keep(
-            self.texts.join(firsts, (self.texts.key == firsts.key) & self.texts.id.eqNullSafe(firsts.id), "left_semi")
-            .select("key", "text").mapInArrow(_cells, fields)
+            self.texts.join(firsts, same).dropDuplicates(["key"]).select("key", "bands", "text").mapInArrow(_cells, fields)
         )
         # First every text with a random one of each of its buckets, then with the
         # one that has proved most alike to others, then with all that are still apart.
         checked = keep(self._verify(_spokes(shared.withColumn("rank", F.xxhash64("bucket", "key")))))
-        for last in (False, False, True):
-            links = checked.where(F.col("similarity") >= self.similar).select("a", "b")
-            labelled = self._labelled(shared, links)
-            if labelled.isEmpty():
-                return links
-            if last:
-                pairs = _across(labelled)
-            else:
-                pairs = _spokes(labelled.join(_standing(checked, self.similar), "key", "left").withColumn(
-                    "rank", F.struct(F.coalesce("standing", F.lit(0.0)), F.xxhash64("bucket", "key"))), "root")
-            more = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
-            checked = keep(checked.unionByName(self._verify(more)))
+        links = self._similar(checked)
+        labelled = self._labelled(shared, links)
+        if labelled.isEmpty():
+            return links
+        rank = F.struct(F.coalesce("standing", F.lit(0.0)), F.xxhash64("bucket", "key"))
+        standing = labelled.join(_standing(checked, self.similar), "key", "left").withColumn("rank", rank)
+        more = _spokes(standing, "root").join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        links = keep(links.unionByName(self._similar(self._verify(more))))
+        labelled = self._labelled(labelled.select("bucket", "key"), links)
+        return links if labelled.isEmpty() else links.unionByName(keep(self._rest(labelled)))
+
+    def _similar(self, checked: DataFrame) -> DataFrame:
         return checked.where(F.col("similarity") >= self.similar).select("a", "b")
 
+    def _rest(self, labelled: DataFrame) -> DataFrame:
+        """Links between components within buckets: blocks of texts meet inside a task, pairs are not listed."""
+        sizes = labelled.groupBy("bucket").agg(F.count("*").alias("rows"))
+        block = F.pmod(F.xxhash64("key"), F.ceil(F.col("rows") / F.lit(BLOCK))).cast("int")
+        rows = labelled.join(sizes, "bucket").withColumn("block", block).join(self.cells, "key")
+        blocks = self.work.keep(rows.select("bucket", "block", "key", "root", "bands", "cells").groupBy("bucket", "block").applyInArrow(
+            _pack, "bucket long, block int, keys array<binary>, roots array<binary>, cellss array<binary>, bands binary"))
+
+        def side(name: str) -> DataFrame:
+            parts = {"keys": "keys", "roots": "roots", "cellss": "cells", "bands": "bands"}
+            return blocks.select("bucket", F.col("block").alias(f"{name}_block"), *[F.col(c).alias(f"{name}_{n}") for c, n in parts.items()])
+
+        pairs = side("left").join(side("right"), "bucket").where("left_block <= right_block")
+        return pairs.withColumn("same", F.expr("left_block = right_block")).mapInArrow(_meet(self.similar), "a binary, b binary")
+
     def _labelled(self, shared: DataFrame, links: DataFrame) -> DataFrame:
         """Entries with the component of their text, of buckets that still hold several components."""
         roots = components(links, self.work).withColumnRenamed("node", "key")

@@ -202,7 +202,11 @@ def _joined(table: pa.Table, name: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
 
 
-def _answer_contexts(table: pa.Table) -> pa.Table:
+def _answer_contexts(many: int):
+    return lambda table: _codes_of(table, many)
+
+
+def _codes_of(table: pa.Table, many: int) -> pa.Table:
     """A code for each context that came in."""
     anchor = _joined(table, "anchors", np.uint32).astype(np.uint64)
     six = np.zeros((len(anchor), 8), np.uint8)
@@ -218,7 +222,7 @@ def _answer_contexts(table: pa.Table) -> pa.Table:
     alone = np.repeat(np.minimum.reduceat(d, at_anchor) == np.maximum.reduceat(d, at_anchor), sizes)
     kinds = np.repeat(np.add.reduceat(new_context.astype(np.int64), at_anchor), sizes)
     least = np.repeat(d[at_context], np.diff(np.concatenate([at_context, [len(a)]])))
-    code = np.where(least < d, REMOVED, np.where(alone | (kinds == 1), SETTLED, np.where(kinds > MANY, SPREAD, OPEN)))
+    code = np.where(least < d, REMOVED, np.where(alone | (kinds == 1), SETTLED, np.where(kinds > many, SPREAD, OPEN)))
     codes = np.empty(len(a), np.uint8)
     codes[order] = code
     lengths = np.array([len(x) // 4 for x in table.column("anchors").to_pylist()])
@@ -370,7 +374,7 @@ def _covered(chunk: _Chunk, row: dict, count: int) -> np.ndarray:
 class Repeats:
     """The removal of repeated passages from one table."""
 
-    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
+    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", many: int = MANY):
         self.spark = spark = docs.sparkSession
         self.work = work = Work(spark)
         self.columns, self.id_col, self.text_col = docs.columns, id_col, text_col
@@ -391,7 +395,7 @@ class Repeats:
         self.chunks = spark.table(name)
         read = self.chunks.select("chunk", "ids", "sizes", "data")
         sent = read.mapInArrow(_send_contexts(count), "shard long, chunk long, anchors binary, contexts binary, docs binary")
-        codes = sent.groupBy("shard").applyInArrow(_answer_contexts, "chunk long, shard long, codes binary")
+        codes = sent.groupBy("shard").applyInArrow(_answer_contexts(many), "chunk long, shard long, codes binary")
         # One row per chunk: as many bytes as the chunk has contexts.
         self.answers = work.keep(
             codes.groupBy("chunk").agg(F.collect_list(F.struct("shard", "codes")).alias("answers"))
