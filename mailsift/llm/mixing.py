@@ -144,23 +144,3 @@ def _thresholds(sized: DataFrame, plan: dict) -> None:
             # Only at the first level: the budget is never reached, all go.
             plan[name]["below"] = 1 << _BITS
         open_ = still
-
-
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The documents of the mix, each as often as the mix holds it."""
-    id_col = options.get("id_col", "doc_id")
-    copies = mix(docs, **options).select(F.col("id").alias("_mix_id"), F.col("copies").alias("_mix_copies"))
-    # Rows with one id have one hash, so they agree unless their sources differ.
-    source_col = options.get("source_col", "source")
-    del copies
-    plan = mix(docs, **options).select(
-        F.col("id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("copies").alias("_mix_copies")
-    ).distinct()
-    joined = docs.join(
-        plan,
-        docs[id_col].eqNullSafe(plan["_mix_id"]) & docs[source_col].cast("string").eqNullSafe(plan["_mix_source"]),
-    )
-    repeated = joined.select(
-        *[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))).alias("_mix_copy")
-    )
-    return repeated.drop("_mix_copy")
