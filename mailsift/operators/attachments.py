@@ -55,16 +55,16 @@ def extract_attachments(
     key: str = "uid",
     test: str = BY_TEXT,
     searched: bool = False,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(key, ord, name, safe_name, content)``, one row per attachment.
+    """``(key, ord, name, safe_name, content)`` and the ``keep`` columns, one row per attachment.
 
     Mails that cannot have one are left out before any byte goes to Python,
     unless that has been done (``searched``).
     """
-    key_field = mails.schema[key]
     schema = T.StructType(
         [
-            key_field,
+            *(mails.schema[name] for name in (key, *keep)),
             T.StructField("ord", T.IntegerType()),
             T.StructField("name", T.StringType()),
             T.StructField("content", T.BinaryType()),
@@ -73,7 +73,7 @@ def extract_attachments(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, bodies = batch.column(0), batch.column(1)
+            bodies, kept = batch.column(0), batch.columns[1:]
             parents: list[int] = []
             rows: list[tuple[int, str, bytes]] = []
             filled = 0
@@ -85,18 +85,19 @@ def extract_attachments(
                     rows.append((ord, _clean(name), payload))
                     filled += len(payload)
                     if filled >= _FLUSH_BYTES:
-                        yield _batch(keys, parents, rows, schema.names)
+                        yield _batch(kept, parents, rows, schema.names)
                         parents, rows, filled = [], [], 0
             if rows:
-                yield _batch(keys, parents, rows, schema.names)
+                yield _batch(kept, parents, rows, schema.names)
 
     likely = mails if searched else mails.filter(may_have_attachments(F.col(content)))
-    return likely.select(key, content).mapInArrow(run, schema).select(
+    return likely.select(content, key, *keep).mapInArrow(run, schema).select(
         key,
         "ord",
         "name",
         naming.safe_attachment_name(F.col("name"), F.col("ord")).alias("safe_name"),
         "content",
+        *keep,
     )
 
 
@@ -105,11 +106,12 @@ def _clean(name: str) -> str:
     return name.encode("utf-8", "replace").decode("utf-8")
 
 
-def _batch(keys, parents, rows, names) -> pa.RecordBatch:
+def _batch(kept, parents, rows, names) -> pa.RecordBatch:
     ords, titles, bodies = zip(*rows)
+    index = pa.array(parents, pa.int32())
     return pa.RecordBatch.from_arrays(
         [
-            keys.take(pa.array(parents, pa.int32())),
+            *(column.take(index) for column in kept),
             pa.array(ords, pa.int32()),
             pa.array(titles, pa.string()),
             pa.array(bodies, pa.binary()),

@@ -1,13 +1,16 @@
-"""The readers as table functions, for use in SQL with LATERAL."""
+"""The readers as table functions, for use in SQL with LATERAL.
+
+Spark joins laterally only with functions that are called row by row; values
+still travel in Arrow batches.
+"""
 
 from __future__ import annotations
 
 import io
 from collections.abc import Callable, Iterator
 
-import pyarrow as pa
 from pyspark.sql import SparkSession
-from pyspark.sql.functions import arrow_udtf
+from pyspark.sql.functions import udtf
 
 from mailsift.functions import naming
 from mailsift.functions.formats import SINGLE, Format, Formats
@@ -17,51 +20,24 @@ from mailsift.operators.entries import Item, Limits
 _SHAPE = (
     "kind string, ord bigint, entry_name string, message_index bigint, message_id string, reason string, payload binary"
 )
-_ARROW = pa.schema(
-    [
-        ("kind", pa.string()),
-        ("ord", pa.int64()),
-        ("entry_name", pa.string()),
-        ("message_index", pa.int64()),
-        ("message_id", pa.string()),
-        ("reason", pa.string()),
-        ("payload", pa.binary()),
-    ]
-)
 _EVERY = Formats((Format("any", ("",), SINGLE, True),))
-_FLUSH_BYTES, _FLUSH_ROWS = 16 << 20, 1024
-
-
-def _tables(items: Iterator[Item]) -> Iterator[pa.Table]:
-    """Items in Arrow tables of bounded size."""
-    rows: list[tuple] = []
-    filled = 0
-    for item in items:
-        kind = "entry" if item.kind == "entry" else "skip"
-        name = item.name
-        if name is None and item.index is not None:
-            name = naming.message_name(item.message_id, item.index)
-        rows.append((kind, item.ord, name, item.index, item.message_id, item.reason, item.payload))
-        filled += len(item.payload or b"")
-        if filled >= _FLUSH_BYTES or len(rows) >= _FLUSH_ROWS:
-            yield _table(rows)
-            rows, filled = [], 0
-    if rows:
-        yield _table(rows)
 
 
-def _table(rows: list[tuple]) -> pa.Table:
-    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
+def _row(item: Item) -> tuple:
+    kind = "entry" if item.kind == "entry" else "skip"
+    name = item.name
+    if name is None and item.index is not None:
+        name = naming.message_name(item.message_id, item.index)
+    return kind, item.ord, name, item.index, item.message_id, item.reason, item.payload
 
 
 def _register(spark: SparkSession, name: str, items: Callable[[bytes], Iterator[Item]]) -> None:
     class Unpack:
-        def eval(self, content: pa.Array) -> Iterator[pa.Table]:
-            for value in content:
-                if value.is_valid:
-                    yield from _tables(items(value.as_py()))
+        def eval(self, content: bytes):
+            if content is not None:
+                yield from map(_row, items(bytes(content)))
 
-    spark.udtf.register(name, arrow_udtf(Unpack, returnType=_SHAPE))
+    spark.udtf.register(name, udtf(Unpack, returnType=_SHAPE, useArrow=True))
 
 
 def register_table_functions(spark: SparkSession) -> None:

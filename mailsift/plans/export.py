@@ -44,12 +44,10 @@ def mail_files(emails: DataFrame) -> DataFrame:
     )
 
 
-def attachment_files(attachments: DataFrame, manifest: DataFrame) -> DataFrame:
+def attachment_files(attachments: DataFrame) -> DataFrame:
     """Path and bytes of every attachment, in its mail's folder."""
-    folders = manifest.filter("has_attachments").select("uid", "attachment_dir")
-    return attachments.join(folders, "uid").select(
-        _below(F.col("attachment_dir"), F.col("safe_name")).alias("path"), "content"
-    )
+    folder = naming.attachment_dir(F.col("namespace"), F.col("date_partition"), F.col("uid"), F.lit(1))
+    return attachments.select(_below(folder, F.col("safe_name")).alias("path"), "content")
 
 
 def _below(folder: Column, name: Column) -> Column:

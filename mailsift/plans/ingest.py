@@ -54,6 +54,7 @@ from mailsift.sources.bucket import list_files
 from mailsift.sources.storage import remove_tree
 
 
+_FOLDER = ("namespace", "date_partition")
 _FILE_COLUMNS = ["path", "namespace", "date_partition", "source_file", "content"]
 
 
@@ -328,12 +329,14 @@ class _Run:
         ).first()
         tasks = max(1, total["files"], -(-total["bytes"] // self.options.task_bytes))
         mails = fetch_rows(
-            likely, self.found.folder, FOUND, ["uid", "mail"], min(tasks, MAX_TASKS)
+            likely, self.found.folder, FOUND, ["uid", "mail", *_FOLDER], min(tasks, MAX_TASKS)
         )
         self.ledger.write(
             "attachments",
             self.run_id,
-            extract_attachments(mails, "mail", test=self.options.attachment_test, searched=True),
+            extract_attachments(
+                mails, "mail", test=self.options.attachment_test, searched=True, keep=_FOLDER
+            ),
         )
 
     def _write_manifest(self, winners: DataFrame) -> None:

@@ -961,9 +961,7 @@ def export_attachment_files(spark, folder):
     out = session.new_work_dir(spark)
     ingest_frame(corpus.page_mails(spark, folder), out, "backfill")
     ledger = Ledger(spark, out)
-    written = export.write_files(
-        export.attachment_files(ledger.attachments(), ledger.manifest()), f"{out}/files"
-    )
+    written = export.write_files(export.attachment_files(ledger.attachments()), f"{out}/files")
     parts = ledger.manifest().filter("has_attachments").select(
         "attachment_dir",
         F.regexp_extract("source_lineage.source_file", r"mail-(\d+)", 1).cast("bigint").alias("shown_page"),

@@ -95,7 +95,14 @@ EMAILS = _struct(
 )
 
 ATTACHMENTS = _struct(
-    uid=_S, ord=T.IntegerType(), name=_S, safe_name=_S, content=_B, run_id=_S
+    uid=_S,
+    ord=T.IntegerType(),
+    name=_S,
+    safe_name=_S,
+    content=_B,
+    namespace=_S,
+    date_partition=_S,
+    run_id=_S,
 )
 
 # Append-only events; the state of a run is its latest event.
