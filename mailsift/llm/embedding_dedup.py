@@ -151,11 +151,11 @@ def _tile(tile: dict, width: int, similar: float) -> pa.RecordBatch:
         if tile["same"]:
             keep = i + k < j
             i, j = i[keep], j[keep]
-        linked = _cosines(xa[part], xb, i, j) >= similar
+        linked = _products(xa[part], xb, i, j) >= similar
         i, j = i[linked] + k, j[linked]
         count_a += np.bincount(i, minlength=len(ids_a))
         count_b += np.bincount(j, minlength=len(ids_b))
-        i, j = _forest(i, j, root_a, root_b)
+        i, j = _forest(i, j, len(ids_a), len(ids_b))
         rows.append(i), columns.append(j)
     i, j = np.concatenate(rows), np.concatenate(columns)
     if tile["same"]:
@@ -195,20 +195,17 @@ def _products(x, y, i, j) -> np.ndarray:
     return out
 
 
-def _cosines(xa, xb, i, j) -> np.ndarray:
-    return _products(xa, xb, i, j)
-
-
-def _forest(i, j, root_a, root_b):
-    """Of these links, those that join vectors not yet seen to hang together: at most one a row and one a column."""
+def _forest(i, j, rows: int, columns: int):
+    """Of these links, enough to connect what they connect."""
     if not len(i):
         return i, j
-    best_a = np.full(len(root_a), len(root_b), np.int64)
-    np.minimum.at(best_a, i, j)  # a row's first column
-    first = best_a[i] == j
-    # A column keeps the rows whose first column it is, and one link to each other group it meets.
-    group = best_a[i]
-    key = group * np.int64(len(root_b) + 1) + j
+    best = np.full(rows, columns, np.int64)
+    np.minimum.at(best, i, j)  # a row's first column
+    group = best[i]
+    first = group == j
+    # A row keeps the link to its first column, and the rows of one first column
+    # keep one link between them to each other column they meet.
+    key = group * np.int64(columns + 1) + j
     _, once = np.unique(key, return_index=True)
     keep = first.copy()
     keep[once] = True

@@ -43,6 +43,7 @@ NAMED = frozenset(
     "signup comment comments disqus respond reply replies share sharing social related recommended widget login search "
     "pagination pager toolbar skip masthead topbar gdpr overlay disclaimer".split()
 )
+STEMS = ("advert", "breadcrumb", "comment", "cookie", "newsletter", "promo", "sidebar", "sponsor")
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
@@ -178,7 +179,7 @@ class _Lines(HTMLParser):
                 return True
             if name in ("class", "id") and value:
                 words = set(_WORDS.split(value.lower()))
-                if words & NAMED or "header" in words and not in_article and tag not in ("h1", "h2"):
+                if words & NAMED or any(w.startswith(STEMS) for w in words) or "header" in words and not in_article and tag not in ("h1", "h2"):
                     return True
         return False
 
@@ -222,7 +223,12 @@ def main_text(html: str | None) -> str:
     inside = np.zeros(len(parser.kinds), bool)
     for number, parent in enumerate(parser.parents):
         inside[number] = number == region or parent >= 0 and inside[parent]
-    return " ".join(text for (text, _, at), _ in zip(lines, element) if inside[at])
+    chosen = inside[element]
+    heading = np.array([parser.kinds[at] == "h1" for at in element])
+    if chosen.any() and not (chosen & heading).any():  # the headline stands before its text
+        before = np.flatnonzero(heading[: chosen.argmax()])
+        chosen[before[-1:]] = True
+    return " ".join(text for (text, _, _), here in zip(lines, chosen) if here)
 
 
 def _region(parser: _Lines, element: np.ndarray, weight: np.ndarray) -> int:

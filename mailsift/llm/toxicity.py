@@ -86,7 +86,7 @@ class Model:
     weights: np.ndarray
     constant: float
 
-    def reader(self) -> "_Reader":
+    def reader(self) -> _Reader:
         return _Reader(self)
 
     def score(self, df: DataFrame, text_col: str = "text", score_col: str = "score") -> DataFrame:
@@ -322,7 +322,7 @@ def _train(model: Model, voted: DataFrame, known: DataFrame, labels: LabelModel)
     place = np.concatenate([np.asarray(r.features, np.int64) for r in rows])
     owner = np.repeat(np.arange(len(rows)), [len(r.features) for r in rows])
     n, width = len(rows), len(model.vocabulary)
-    w, b = np.zeros(width + 1), 0.0
+    w = np.zeros(width + 1)  # the last is the constant
     first, second = np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, 501):  # Adam on the mean log loss with a small ridge
         z = np.bincount(owner, w[place], n) + w[-1]
@@ -332,7 +332,7 @@ def _train(model: Model, voted: DataFrame, known: DataFrame, labels: LabelModel)
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
         w -= 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    model.weights, model.constant = w[:-1], float(w[-1] + b)
+    model.weights, model.constant = w[:-1], float(w[-1])
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
