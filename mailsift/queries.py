@@ -31,7 +31,7 @@ from mailsift.plans.ingest import Options, _with_stored_hash, ingest, ingest_fra
 from mailsift.plans.ledger import Ledger, committed_only, last_completed, latest_state
 from mailsift.plans.status import run_metrics, status
 from mailsift.sources import bucket
-from mailsift.streaming.intake import ingest_stream
+from mailsift.streaming.intake import ingest_stream, watch_bucket
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -988,3 +988,105 @@ def manifest_json(spark, folder):
     ingest_frame(_mixed_files(spark, folder), out, "backfill", options=Options(), run_id="one")
     lines = spark.read.text(f"{out}/json/manifest/run_id=one")
     return lines.select(F.regexp_extract("value", r'^(.*),"processed_at":"[^"]*"\}$', 1).alias("line_start"))
+
+
+# -- what is skipped, empty, replaced, late --------------------------------
+
+_ODD = f"""odd AS (
+  SELECT *, {_DAY.format(id='doc_id')} AS date_partition,
+         CASE doc_id % 4 WHEN 1 THEN '.png' WHEN 2 THEN '.MSG' WHEN 3 THEN '.pst' END AS suffix,
+         CASE doc_id % 4 WHEN 1 THEN 'unsupported_format' WHEN 2 THEN 'msg_not_supported'
+                         WHEN 3 THEN 'pst_not_supported' END AS reason
+  FROM documents WHERE doc_id % 4 <> 0)"""
+
+
+def _odd_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as mails, and as files of three kinds that nobody reads."""
+    kind = F.element_at(F.array(*map(F.lit, (".eml", ".png", ".MSG", ".pst"))), (F.col("doc_id") % 4 + 1).cast("int"))
+    name = F.concat(F.col("doc_id").cast("string"), kind)
+    docs = wide_table(spark, folder, "documents")
+    return corpus.files(docs, F.col("source"), F.col("doc_id"), name, bytes_of(corpus.mail_text()))
+
+
+@query(f"""
+WITH {_ODD}
+SELECT source || '/timestamp=' || date_partition || '/' || CAST(doc_id AS VARCHAR) || suffix AS path, reason,
+       source AS namespace, date_partition FROM odd""")
+def skipped_ledger(spark, folder):
+    """The skips that a run leaves in its ledger"""
+    out = session.new_work_dir(spark)
+    ingest_frame(_odd_files(spark, folder), out, "backfill")
+    return Ledger(spark, out).skipped().select("path", "reason", "namespace", "date_partition")
+
+
+@query(f"""
+WITH {_ODD}
+SELECT '{{"path":"' || source || '/timestamp=' || date_partition || '/' || CAST(doc_id AS VARCHAR) || suffix
+       || '","reason":"' || reason || '","namespace":"' || source || '","date_partition":"' || date_partition || '"'
+       AS line_start FROM odd""")
+def skipped_json(spark, folder):
+    """K4: the skips as JSON lines (all but the time stamp)"""
+    out = session.new_work_dir(spark)
+    ingest_frame(_odd_files(spark, folder), out, "backfill", run_id="one")
+    lines = spark.read.text(f"{out}/json/skipped/run_id=one")
+    return lines.select(F.regexp_extract("value", r'^(.*),"discovered_at":"[^"]*"\}$', 1).alias("line_start"))
+
+
+@query("SELECT count(*) AS discovered, CAST(0 AS BIGINT) AS processed, CAST(0 AS BIGINT) AS skipped FROM documents")
+def empty_containers(spark, folder):
+    """P10: mailboxes without a message are known files, and no skips"""
+    out = session.new_work_dir(spark)
+    docs = wide_table(spark, folder, "documents")
+    text = F.regexp_replace("text", "(?m)^From ", ">From ")
+    name = F.concat(F.col("doc_id").cast("string"), F.lit(".mbox"))
+    run = ingest_frame(corpus.files(docs, F.col("source"), F.col("doc_id"), name, bytes_of(text)), out, "backfill")
+    return run.select(
+        F.col("files_discovered").cast("bigint").alias("discovered"),
+        F.col("files_processed").cast("bigint").alias("processed"),
+        F.col("files_skipped").cast("bigint").alias("skipped"),
+    )
+
+
+@query(f"""
+SELECT 'web/timestamp=' || {_DAY.format(id='page_id')} || '/page-' || CAST(page_id AS VARCHAR) || '.HTML' AS path,
+       CAST(strlen(html) AS BIGINT) AS size, true AS dated FROM pages""")
+def file_stats(spark, folder):
+    """Size and time of every file of a bucket"""
+    listing = bucket.list_files(spark, _as_bucket(spark, corpus.page_files(spark, folder)))
+    return bucket.file_stat(listing).select("path", "size", F.col("modified_at").isNotNull().alias("dated"))
+
+
+def _replaced(mails: DataFrame) -> DataFrame:
+    """Every tenth mail with other bytes under its old path."""
+    return mails.where(F.expr("CAST(split(source_file, '[.]')[0] AS BIGINT) % 10 = 0")).withColumn(
+        "content", F.concat("content", F.lit(" again").cast("binary"))
+    )
+
+
+@query(f"""
+WITH {MAILS},
+late AS (
+  SELECT uid FROM mails WHERE doc_id % 2 = 1
+  UNION SELECT sha256(content || ' again') FROM mails WHERE doc_id % 10 = 0)
+SELECT uid FROM late EXCEPT SELECT uid FROM mails WHERE doc_id % 2 = 0""")
+def ingest_bucket_incremental(spark, folder):
+    """A bucket gets new, replaced and copied files between two runs"""
+    mails = corpus.document_mails(spark, folder, wide_table)
+    even = F.expr("CAST(split(source_file, '[.]')[0] AS BIGINT) % 2 = 0")
+    root, out = _as_bucket(spark, mails.where(even)), session.new_work_dir(spark)
+    ingest(spark, root, out, "backfill", run_id="first")
+    export.write_files(mails.where(~even).unionByName(_replaced(mails)), root).write.format("noop").mode("overwrite").save()
+    ingest(spark, root, out, "incremental", run_id="second")
+    return Ledger(spark, out).read("processed", "second").select("uid")
+
+
+@query(f"WITH {MAILS}, {FIRST} SELECT uid FROM firsts")
+def stream_new_checkpoint(spark, folder):
+    """Two drops, the second read under a new checkpoint"""
+    mails = corpus.document_mails(spark, folder, wide_table)
+    even = F.expr("CAST(split(source_file, '[.]')[0] AS BIGINT) % 2 = 0")
+    root, out = _as_bucket(spark, mails.where(even)), session.new_work_dir(spark)
+    for turn in ("one", "two"):
+        ingest_stream(watch_bucket(spark, root), out, f"{out}/checkpoint-{turn}").awaitTermination()
+        export.write_files(mails.where(~even), root).write.format("noop").mode("overwrite").save()
+    return Ledger(spark, out).processed().select("uid")
