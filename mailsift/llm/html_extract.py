@@ -4,8 +4,10 @@ The standard library's parser streams a page's events. Text between block
 boundaries is a line; its ratio is its characters by the tags met since the line
 before. Ratios are smoothed with a Gaussian over neighbouring lines, and a
 threshold between two clusters (two means in one dimension) tells lines of
-content from the rest. The element that holds the content lines, widened to the
-article around it, is the region whose lines are the main text.
+content from the rest; where the clusters lie close together all lines are content,
+and so is a line of some length outside links, whatever its ratio. The innermost
+element that holds all content lines, and all articles they stand in, is the region
+whose lines are the main text.
 
 Lines that belong to no article wherever they stand are left out by structure:
 scripts, styles, menus, footers, sidebars, forms, and elements whose class, id
@@ -56,6 +58,8 @@ _CLOSES = {  # an element of this kind ends open ones of these kinds
     "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"},
     "th": {"td", "th", "p"}, "option": {"option"}, "body": {"head"},
 }
+CLOSE = 4.0  # clusters whose means differ by less are one
+PROSE = 40  # characters outside links that make a line content
 _WORDS = re.compile(r"[^a-z0-9]+")
 
 
@@ -66,7 +70,9 @@ class _Lines(HTMLParser):
         self.stack = [(0, "html", False)]  # number, kind, left out
         self.open = {"html": 1}
         self.lines: list[tuple[str, int, int]] = []  # text, tags, element
+        self.unlinked: list[int] = []  # of each line, characters outside links
         self.text: list[str] = []
+        self.linked: list[bool] = []  # of each piece of text
         self.tags = 0
         self.at = 0
 
@@ -74,8 +80,9 @@ class _Lines(HTMLParser):
         text = " ".join("".join(self.text).split())
         if text:
             self.lines.append((text, self.tags, self.at))
+            self.unlinked.append(len(" ".join("".join(x for x, linked in zip(self.text, self.linked) if not linked).split())))
             self.tags = 0
-        self.text = []
+        self.text, self.linked = [], []
 
     def handle_starttag(self, tag, attrs):
         if tag == "body" and self.open.get("body"):
@@ -83,6 +90,7 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag == "br":
             self.text.append(" ")
+            self.linked.append(False)
             return
         if tag not in INLINE:
             self.end_line()
@@ -128,7 +136,7 @@ class _Lines(HTMLParser):
         _, kind, out = self.stack.pop()
         self.open[kind] -= 1
         if out and not self.stack[-1][2]:
-            self.text = []
+            self.text, self.linked = [], []
 
     def handle_endtag(self, tag):
         self.tags += 1
@@ -161,6 +169,7 @@ class _Lines(HTMLParser):
                 self.end_line()
             self.at = number
             self.text.append(data)
+            self.linked.append(self.open.get("a", 0) > 0)
 
     def _left_out(self, tag: str, attrs) -> bool:
         if tag in OUTSIDE:
@@ -192,7 +201,7 @@ def _smooth(ratios: np.ndarray, sigma: float = 1.0) -> np.ndarray:
 
 
 def _threshold(values: np.ndarray) -> float:
-    """Border between two clusters: midway between their means."""
+    """Border between two clusters: midway between their means; the least value where they lie close together."""
     border = values.mean()
     for _ in range(50):
         low, high = values[values < border], values[values >= border]
@@ -202,7 +211,8 @@ def _threshold(values: np.ndarray) -> float:
         if new == border:
             break
         border = new
-    return border
+    low, high = values[values < border], values[values >= border]
+    return border if len(low) and high.mean() >= CLOSE * low.mean() else values.min()
 
 
 def main_text(html: str | None) -> str:
@@ -216,10 +226,15 @@ def main_text(html: str | None) -> str:
     if not lines:
         return ""
     sizes = np.array([len(text) for text, _, _ in lines], float)
-    smooth = _smooth(sizes / np.maximum([tags for _, tags, _ in lines], 1))
-    content = smooth >= _threshold(smooth)
+    ratios = sizes / np.maximum([tags for _, tags, _ in lines], 1)
+    smooth = _smooth(ratios)
+    border, unlinked = _threshold(smooth), np.array(parser.unlinked)
+    # A link alone in its line is not lifted by a paragraph beside it.
+    content = (smooth >= border) & ((unlinked > 0) | (ratios >= border)) | (unlinked >= PROSE)
+    if not content.any():
+        content[:] = True
     element = np.array([at for _, _, at in lines])
-    region = _region(parser, element, sizes * content)
+    region = _region(parser, element[content])
     inside = np.zeros(len(parser.kinds), bool)
     for number, parent in enumerate(parser.parents):
         inside[number] = number == region or parent >= 0 and inside[parent]
@@ -231,18 +246,19 @@ def main_text(html: str | None) -> str:
     return " ".join(text for (text, _, _), here in zip(lines, chosen) if here)
 
 
-def _region(parser: _Lines, element: np.ndarray, weight: np.ndarray) -> int:
-    """The element that holds the content: an article if there is one with content, else the
-    innermost region with most of it."""
-    mass = np.bincount(element, weight, len(parser.kinds))
-    for number in range(len(mass) - 1, 0, -1):
-        mass[parser.parents[number]] += mass[number]
+def _region(parser: _Lines, content: np.ndarray) -> int:
+    """The innermost region that holds these elements, widened to the article around it."""
+    held = np.bincount(content, minlength=len(parser.kinds))
+    for number in range(len(held) - 1, 0, -1):
+        held[parser.parents[number]] += held[number]
+    inner = max(n for n in range(len(held)) if held[n] == held[0])  # these lie in one another
     for kind in ("article", "main"):
-        found = [n for n, k in enumerate(parser.kinds) if k == kind and mass[n] > 0]
-        if found:
-            return max(found, key=lambda n: (mass[n], -n))
-    most = [n for n, k in enumerate(parser.kinds) if k in REGIONS and mass[n] >= 0.7 * mass[0]]
-    return max(most)
+        around = [n for n, k in enumerate(parser.kinds) if k == kind and held[n] == held[0]]
+        if around:
+            return max(around)
+    while parser.kinds[inner] not in REGIONS:
+        inner = parser.parents[inner]
+    return inner
 
 
 def extract(pages: DataFrame, html_col: str = "html", text_out: str = "text") -> DataFrame:

@@ -86,3 +86,28 @@ def test_odd_pages(spark):
     rows = extract(df).collect()
     assert [r.text for r in rows][1:] == ["", ""] and "x" in rows[0].text and rows[0].key == "own key"
     assert extract(df.limit(0)).count() == 0
+
+
+def _paragraphs(*sizes):
+    return "".join("<p>" + ("word " * n)[:n].strip() + ".</p>" for n in sizes)
+
+
+@pytest.mark.parametrize("tag", ["section", "div", "td", "article"])
+@pytest.mark.parametrize(
+    "parts",
+    [((500, 450, 480), (220, 260, 240)), ((500,), (500,)), ((600,) * 3, (200,) * 2, (200,) * 2), ((2000,), (50, 45), (60,)), ((30, 25), (20, 22))],
+)
+def test_sibling_parts_of_a_text_all_come_out(tag, parts):
+    inner = "".join(f"<{tag}>{_paragraphs(*sizes)}</{tag}>" for sizes in parts)
+    inner = f"<table><tr>{inner}</tr></table>" if tag == "td" else inner
+    menu = "<div><ul>" + "<li><a href=/x>Link</a></li>" * 8 + "</ul></div>"
+    want = " ".join(("word " * n)[:n].strip() + "." for sizes in parts for n in sizes)
+    assert main_text(f"<html><body><div>{inner}</div></body></html>") == want
+    if max(map(max, parts)) > 40:  # then it differs from a menu without a name
+        assert main_text(f"<html><body>{menu}<div>{inner}</div></body></html>") == want
+
+
+def test_text_beside_an_article_comes_along():
+    page = f"<body><article>{_paragraphs(100)}</article><div>{_paragraphs(3000)}</div></body>"
+    assert main_text(page) == main_text(f"<body>{_paragraphs(100, 3000)}</body>")
+    assert main_text(f"<main><h2>Two</h2><article>{_paragraphs(80)}</article><article>{_paragraphs(70)}</article></main>").count("word") == 30
