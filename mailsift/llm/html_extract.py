@@ -10,9 +10,12 @@ element that holds all content lines, and all articles they stand in, is the reg
 whose lines are the main text.
 
 Lines that belong to no article wherever they stand are left out by structure:
-scripts, styles, menus, footers, sidebars, forms, and elements whose class, id
-or role names them as advert, notice, comment and the like; a header counts as
-one unless an article holds it.
+scripts, styles, menus, footers, sidebars, forms, and elements whose role, class
+or id names them as advert, notice, comment and the like; a header counts as
+one unless an article holds it. A class or id only suggests this: it never leaves
+out an article, nor an element that holds most of the page's content lines (as
+``content has-sidebar`` may); a name that stands alone (``sidebar``) must hold
+nearly all of them to be passed over.
 
 Defined cases: null and empty pages give empty text; text without any tag is
 one line and comes back whole; unclosed and crossing tags are closed where their
@@ -60,6 +63,7 @@ _CLOSES = {  # an element of this kind ends open ones of these kinds
 }
 CLOSE = 4.0  # clusters whose means differ by less are one
 PROSE = 40  # characters outside links that make a line content
+MOST, NEARLY_ALL = 0.5, 0.95  # of the content; a named element that holds so much is not left out
 _WORDS = re.compile(r"[^a-z0-9]+")
 
 
@@ -67,6 +71,7 @@ class _Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.kinds, self.parents = ["html"], [-1]  # elements by number
+        self.named: dict[int, tuple[bool, frozenset[str]]] = {}  # by element: does a name stand alone, words
         self.stack = [(0, "html", False)]  # number, kind, left out
         self.open = {"html": 1}
         self.lines: list[tuple[str, int, int]] = []  # text, tags, element
@@ -98,14 +103,17 @@ class _Lines(HTMLParser):
         if tag in VOID:
             return
         out = self.stack[-1][2] or self._left_out(tag, attrs)
-        if out and not self.stack[-1][2]:
+        named = None if out else self._named(tag, attrs)
+        if named or out and not self.stack[-1][2]:
             self.end_line()
-        if tag not in INLINE or out:
+        if tag not in INLINE or out or named:
             self.kinds.append(tag)
             self.parents.append(self.stack[-1][0])
             number = len(self.kinds) - 1
         else:
             number = self.stack[-1][0]
+        if named:
+            self.named[number] = named
         self.stack.append((number, tag, out))
         self.open[tag] = self.open.get(tag, 0) + 1
 
@@ -133,7 +141,10 @@ class _Lines(HTMLParser):
         return False
 
     def _pop(self) -> None:
-        _, kind, out = self.stack.pop()
+        number, kind, out = self.stack[-1]
+        if number in self.named and number != self.stack[-2][0]:
+            self.end_line()
+        self.stack.pop()
         self.open[kind] -= 1
         if out and not self.stack[-1][2]:
             self.text, self.linked = [], []
@@ -186,12 +197,50 @@ class _Lines(HTMLParser):
                 return True
             if name == "role" and value and value.lower() in ROLES:
                 return True
-            if name in ("class", "id") and value:
-                words = set(_WORDS.split(value.lower()))
-                if words & NAMED or any(w.startswith(STEMS) for w in words) or "header" in words and not in_article and tag not in ("h1", "h2"):
-                    return True
         return False
 
+    def _named(self, tag: str, attrs) -> tuple[bool, frozenset[str]] | None:
+        """Do class or id name what is left out? If so, does a name stand alone, and all words."""
+        if tag in ("html", "body", "main", "article"):
+            return None
+        in_article = bool(self.open.get("article") or self.open.get("main"))
+        names = NAMED if in_article or tag in ("h1", "h2") else NAMED | {"header"}
+        values = [value.lower() for name, value in attrs if name in ("class", "id") and value]
+        words = frozenset(w for value in values for w in _WORDS.split(value))
+        if not (words & names or any(w.startswith(STEMS) for w in words)):
+            return None
+        return any(x in names for value in values for x in value.split()), words
+
+    def left_out(self, element: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Which elements go by their names, given the content of each line's element."""
+        parents = self.parents
+        mass = np.bincount(element, weight, len(parents))
+        for number in range(len(mass) - 1, 0, -1):
+            mass[parents[number]] += mass[number]
+        outer = np.full(len(parents), -1)  # the nearest named element around
+        for number in range(1, len(parents)):
+            above = parents[number]
+            outer[number] = above if above in self.named else outer[above]
+        alike: dict[frozenset[str], float] = {}  # content of all elements with the same words
+        for number, (_, words) in self.named.items():
+            above = outer[number]
+            if above < 0 or self.named[above][1] != words:
+                alike[words] = alike.get(words, 0) + mass[number]
+        spared = {n for n, (alone, _) in self.named.items() if not alone and mass[n] >= MOST * mass[0]}
+        out = self._below(spared)
+        gone = {self.named[n][1] for n in self.named if out[n] and n not in spared}
+        best = max(gone, key=lambda words: (alike[words], sorted(words)), default=None)
+        if best and alike[best] >= NEARLY_ALL * (alike[best] + weight[~out[element]].sum()):
+            out = self._below(spared | {n for n, (_, words) in self.named.items() if words == best})
+        return out
+
+    def _below(self, spared: set[int]) -> np.ndarray:
+        """Named elements but for the spared ones, and all that they hold."""
+        out = np.zeros(len(self.parents), bool)
+        for number in range(1, len(out)):
+            out[number] = out[self.parents[number]] or number in self.named and number not in spared
+        return out
+
 
 def _smooth(ratios: np.ndarray, sigma: float = 1.0) -> np.ndarray:
     reach = int(np.ceil(2 * sigma))
@@ -215,6 +264,17 @@ def _threshold(values: np.ndarray) -> float:
     return border if len(low) and high.mean() >= CLOSE * low.mean() else values.min()
 
 
+def _content(lines: list[tuple[str, int, int]], unlinked: list[int]) -> np.ndarray:
+    """Which lines are content."""
+    sizes = np.array([len(text) for text, _, _ in lines], float)
+    ratios = sizes / np.maximum([tags for _, tags, _ in lines], 1)
+    smooth = _smooth(ratios)
+    border, free = _threshold(smooth), np.array(unlinked)
+    # A link alone in its line is not lifted by a paragraph beside it.
+    content = (smooth >= border) & ((free > 0) | (ratios >= border)) | (free >= PROSE)
+    return content if content.any() else np.ones(len(lines), bool)
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
@@ -222,18 +282,16 @@ def main_text(html: str | None) -> str:
     parser.feed(html)
     parser.close()
     parser.end_line()
-    lines = parser.lines
-    if not lines:
+    if not parser.lines:
         return ""
-    sizes = np.array([len(text) for text, _, _ in lines], float)
-    ratios = sizes / np.maximum([tags for _, tags, _ in lines], 1)
-    smooth = _smooth(ratios)
-    border, unlinked = _threshold(smooth), np.array(parser.unlinked)
-    # A link alone in its line is not lifted by a paragraph beside it.
-    content = (smooth >= border) & ((unlinked > 0) | (ratios >= border)) | (unlinked >= PROSE)
-    if not content.any():
-        content[:] = True
-    element = np.array([at for _, _, at in lines])
+    lines, element, content = parser.lines, np.array([at for _, _, at in parser.lines]), _content(parser.lines, parser.unlinked)
+    if parser.named:
+        sizes = np.array([len(text) for text, _, _ in lines], float)
+        stay = np.flatnonzero(~parser.left_out(element, sizes * content)[element])
+        if not len(stay):
+            return ""
+        lines, element = [lines[i] for i in stay], element[stay]
+        content = _content(lines, [parser.unlinked[i] for i in stay])
     region = _region(parser, element[content])
     inside = np.zeros(len(parser.kinds), bool)
     for number, parent in enumerate(parser.parents):

@@ -111,3 +111,27 @@ def test_text_beside_an_article_comes_along():
     page = f"<body><article>{_paragraphs(100)}</article><div>{_paragraphs(3000)}</div></body>"
     assert main_text(page) == main_text(f"<body>{_paragraphs(100, 3000)}</body>")
     assert main_text(f"<main><h2>Two</h2><article>{_paragraphs(80)}</article><article>{_paragraphs(70)}</article></main>").count("word") == 30
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        'div class="content has-sidebar"', 'div class="no-sidebar"', 'article class="post comments-open"', 'div id="search-result"',
+        'div class="commentary"', 'section class="widget"', 'div class="page has-header"', 'p class="commentary"',
+    ],
+)
+def test_names_on_wrappers_leave_the_text_in(wrapper):
+    want = main_text(f"<article><h1>A title</h1>{_paragraphs(400, 90, 300)}</article>")
+    text = f"<h1>A title</h1>{_paragraphs(400, 90, 300)}" if wrapper[0] != "p" else want
+    inner = f"<{wrapper}>{text}<div class=sidebar>{_paragraphs(150)}</div></{wrapper.split()[0]}>"
+    assert main_text(f"<body>{inner}</body>") == want
+    assert main_text(f"<body><div class=layout><nav>menu</nav>{inner}</div><footer>2024</footer></body>") == want
+    assert main_text(PAGE % inner) == want
+
+
+def test_names_on_all_parts_leave_the_text_in():
+    parts = "".join(f'<div class="search-result">{_paragraphs(200, 100)}</div>' for _ in range(9))
+    assert main_text(f"<body>{parts}</body>") == main_text(f"<body>{_paragraphs(*[200, 100] * 9)}</body>")
+    # More comments than text are still comments.
+    page = f'<div class="no-sidebar"><h1>A title</h1>{_paragraphs(300)}<div id=comments>{_paragraphs(500, 500, 500)}</div></div>'
+    assert main_text(f"<body>{page}</body>") == main_text(f"<body><h1>A title</h1>{_paragraphs(300)}</body>")
