@@ -1,4 +1,4 @@
-"""Sorting the suffixes of one shard by induced sorting, on disk where needed.
+"""Sorting the suffixes of one shard by induced sorting.
 
 Suffixes are of type S (smaller than the next suffix) or L. Only the leftmost S
 suffixes of each run are sorted outright: the substrings between them are
@@ -10,9 +10,10 @@ predecessor in.
 
 The queue is keyed by the predecessor's first symbol. It is monotone, so one
 first-in-first-out region per symbol serves it, all regions lying in one array
-of 8 bytes a suffix. Above ``MEMORY`` bytes arrays lie in files in the task's
-scratch folder and are mapped: a shard may be far larger than memory. Of what
-leaves the queue, neighbours get their common-prefix length, up to a limit.
+of 8 bytes a suffix. Above ``MEMORY`` bytes this array lies in a file in the task's
+scratch folder and is mapped. The text and the arrays beside it stay in memory, some
+100 bytes a byte of the shard, so the caller bounds its shards. Neighbours get their
+common-prefix length, up to a limit, from the text once the order is finished.
 """
 
 from __future__ import annotations

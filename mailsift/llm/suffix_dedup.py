@@ -16,6 +16,11 @@ also starts in a document with a smaller id.
    not one shard's burden: its strings go one by one to shards of their own hash.
 4. **Removal.** The answers return to the chunks, which cut their texts.
 
+There are as many shards as the bytes of the table ask for, and for the open
+contexts as many as those do, so that what a task holds of a shard does not grow
+with the table. The contexts of one anchor, and the places of one string of a
+dealt-out anchor, stay together.
+
 Anchor hashes carry 32 bits beside the shard's number; a chance agreement only
 makes a context open. Contexts are told apart by 48 bits more.
 
@@ -43,6 +48,8 @@ from mailsift.llm.minhash import _INVERSE, _PRIME, _power
 LENGTH, GRAM = 50, 24
 _WIDTH = LENGTH - GRAM + 1  # anchors to choose from in a string
 CHUNK_BYTES = 2 << 20
+SHARD_BYTES = 16 << 20  # of text whose contexts go to one shard
+OPEN_BYTES = 4 << 20  # of open contexts that go to one shard
 BLOCK_BYTES = 1 << 20  # of text in one vectorised step
 MANY = 500  # contexts of one anchor; above, its strings are dealt out one by one
 _LAST = 2**63 - 1  # stands for a null id
@@ -227,9 +234,12 @@ def _codes_of(table: pa.Table, many: int) -> pa.Table:
     codes[order] = code
     lengths = np.array([len(x) // 4 for x in table.column("anchors").to_pylist()])
     ends = np.cumsum(lengths)
+    parts = [codes[e - n : e] for e, n in zip(ends, lengths)]
+    # An open context has 76 bytes at most; a dealt-out one at most 27 strings, of 29 bytes as sent.
+    asks = [int((LENGTH + _WIDTH - 1) * (x == OPEN).sum() + 29 * _WIDTH * (x == SPREAD).sum()) for x in parts]
     return pa.table({
         "chunk": table.column("chunk"), "shard": table.column("shard"),
-        "codes": pa.array([codes[e - n : e].tobytes() for e, n in zip(ends, lengths)], pa.binary()),
+        "codes": pa.array([x.tobytes() for x in parts], pa.binary()), "asks": pa.array(asks, pa.int64()),
     })
 
 
@@ -242,13 +252,13 @@ def _codes(chunk: _Chunk, answers: list | None, count: int) -> np.ndarray:
     return code
 
 
-def _send_open(count: int):
+def _send_open(sent: int, count: int):
     """Open contexts as bytes; strings of anchors with very many contexts by their hash."""
 
     def run(batches):
         for batch in batches:
             for row, chunk in _rows(batch):
-                code = _codes(chunk, row["answers"].as_py(), count)
+                code = _codes(chunk, row["answers"].as_py(), sent)
                 number = row["chunk"].as_py()
                 out = []
                 open_ = np.flatnonzero(code == OPEN)
@@ -371,6 +381,11 @@ def _covered(chunk: _Chunk, row: dict, count: int) -> np.ndarray:
     return np.cumsum(depth[:-1]) > 0
 
 
+def _shards(least: int, bytes_: DataFrame, size: int) -> int:
+    """As many as the sum of the one column asks for."""
+    return max(least, -(-(bytes_.agg(F.sum(bytes_.columns[0])).first()[0] or 0) // size))
+
+
 class Repeats:
     """The removal of repeated passages from one table."""
 
@@ -378,7 +393,7 @@ class Repeats:
         self.spark = spark = docs.sparkSession
         self.work = work = Work(spark)
         self.columns, self.id_col, self.text_col = docs.columns, id_col, text_col
-        self.count = count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
         source = docs.select(
             F.col(id_col).cast("long").alias("id"),
@@ -390,19 +405,23 @@ class Repeats:
             .add("rows", ArrayType(source.schema["row"].dataType)).add("data", BinaryType())
         )
         name = f"mailsift_chunks_{uuid.uuid4().hex}"
-        (source.mapInArrow(_pack, fields).write.bucketBy(count, "chunk").format("parquet")
+        (source.mapInArrow(_pack, fields).write.bucketBy(buckets, "chunk").format("parquet")
          .option("path", f"{work.root}/chunks").saveAsTable(name))
         self.chunks = spark.table(name)
+        total = self.chunks.select(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))
+        self.count = count = _shards(buckets, total, SHARD_BYTES)
         read = self.chunks.select("chunk", "ids", "sizes", "data")
         sent = read.mapInArrow(_send_contexts(count), "shard long, chunk long, anchors binary, contexts binary, docs binary")
-        codes = sent.groupBy("shard").applyInArrow(_answer_contexts(many), "chunk long, shard long, codes binary")
+        codes = sent.groupBy("shard").applyInArrow(_answer_contexts(many), "chunk long, shard long, codes binary, asks long")
         # One row per chunk: as many bytes as the chunk has contexts.
         self.answers = work.keep(
-            codes.groupBy("chunk").agg(F.collect_list(F.struct("shard", "codes")).alias("answers"))
+            codes.groupBy("chunk").agg(F.collect_list(F.struct("shard", "codes")).alias("answers"), F.sum("asks").alias("asks"))
         )
+        self.open_count = _shards(buckets, self.answers.select("asks"), OPEN_BYTES)
+        self.answers = self.answers.drop("asks")
         open_ = read.join(self.answers, "chunk", "left").mapInArrow(
-            _send_open(count), "shard long, chunk long, entries binary, sizes binary, docs binary, data binary")
-        hits = open_.groupBy("shard").applyInArrow(_answer_open(count), "chunk long, entries binary, places binary")
+            _send_open(count, self.open_count), "shard long, chunk long, entries binary, sizes binary, docs binary, data binary")
+        hits = open_.groupBy("shard").applyInArrow(_answer_open(self.open_count), "chunk long, entries binary, places binary")
         self.parts = work.keep(hits.groupBy("chunk").agg(F.collect_list(F.struct("entries", "places")).alias("parts")))
         self.rows_type = source.schema["row"].dataType
         spark.sql(f"DROP TABLE {name}")  # the name; the files stay

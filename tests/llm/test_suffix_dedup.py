@@ -57,6 +57,18 @@ def test_equals_brute_force(spark, many):
     assert sorted(got) == sorted(want)
 
 
+def test_shards_stay_small_as_the_table_grows(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 500, raising=False)
+    monkeypatch.setattr(suffix_dedup, "OPEN_BYTES", 300, raising=False)
+    rows = sample()
+    repeats = suffix_dedup.Repeats(docs(spark, rows).repartition(5))
+    total = sum(len((t or "").encode()) for _, t in rows)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert repeats.count == -(-total // 500) > least and repeats.open_count > least
+    want = sorted((str(i), int(mask.sum())) for (i, _), mask in zip(rows, brute(rows)))
+    assert sorted((str(r.id), r.n_removed) for r in repeats.result().collect()) == want
+
+
 def test_texts_stay_texts_and_columns_stay(spark):
     df = clashing(docs(spark, [(1, "é" * 60), (2, "x" + "é" * 60), (3, None), (4, "")]))
     out = suffix_dedup.remove_repeats(df)
