@@ -11,7 +11,7 @@
    agree more than the label explains share their weight by the correlation found.
 4. **Classifier.** A logistic model over the vocabulary is trained on the posterior
    labels of a bounded sample; a row's own label, where the training folds have one,
-   is one more vote. Its score reads the text and nothing else.
+   adds ``KNOWN`` to its log-odds or takes it off. Its score reads the text and nothing else.
 
 Defined cases: null and empty texts are scored by the constant of the model; null
 or missing labels do not count, and of several labels of one id the largest does;
@@ -39,6 +39,7 @@ VOCABULARY = 512
 LEXICON = 48  # lexicon voters
 SUPPORT = 3  # documents that a word of the vocabulary must be in
 FOLDS = 5
+KNOWN = 8  # log-odds of a known label; fixed, not estimated
 PATTERNS = ("several", "dense", "exclaiming", "shouting", "none")
 _WORDS = regex.compile(r"\p{L}+").findall
 _STARTS = (3, 4, 5, 6, 7, 8)
@@ -317,7 +318,7 @@ def _train(model: Model, voted: DataFrame, known: DataFrame, labels: LabelModel)
     rows = lots.where("toxic IS NOT NULL").orderBy("lot").limit(SAMPLE).collect()
     rows += lots.where("toxic IS NULL").orderBy("lot").limit(SAMPLE).collect()
     votes = np.array([r.votes for r in rows], np.int64)
-    odds = labels.posterior(votes) + np.array([0 if r.toxic is None else 16 * r.toxic - 8 for r in rows])
+    odds = labels.posterior(votes) + np.array([0 if r.toxic is None else (2 * r.toxic - 1) * KNOWN for r in rows])
     goal = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
     place = np.concatenate([np.asarray(r.features, np.int64) for r in rows])
     owner = np.repeat(np.arange(len(rows)), [len(r.features) for r in rows])
