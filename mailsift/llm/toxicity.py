@@ -1,8 +1,8 @@
 """Toxicity by weak supervision.
 
 1. **Vocabulary.** Words and word beginnings, met once or repeatedly, that tell toxic
-   from clean documents are found by their log-likelihood ratio in a bounded sample of labelled rows
-   (``SAMPLE``; rows of the held-out fold never enter).
+   from clean documents are found by their log-likelihood ratio in all labelled rows
+   (rows of the held-out fold never enter).
 2. **Voters.** The strongest of them are lexicon voters, one each; patterns (several
    of them, many for the length, exclamations, shouting, none at all) are more.
    Every voter votes or is silent on every document of the corpus.
@@ -34,7 +34,7 @@ from pyspark.sql.types import DoubleType, StructType
 from mailsift import session
 from mailsift.llm.common import Work, text_bytes, unit_hash
 
-SAMPLE = 20_000  # labelled rows that the vocabulary and the classifier are learned from
+SAMPLE = 20_000  # labelled rows that the classifier is trained on
 VOCABULARY = 512
 LEXICON = 48  # lexicon voters
 SUPPORT = 3  # documents that a word of the vocabulary must be in
@@ -174,11 +174,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = (
         labels.where(~held_out(F.col(id_col)) & F.col(label_col).isNotNull())
         .groupBy(F.col(id_col).alias("label_id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("toxic"))
-        .orderBy(unit_hash(F.col("label_id"))).limit(SAMPLE)
     )
-    known = work.keep(known)  # SAMPLE rows at most: small enough to broadcast
+    known = work.keep(known)
     texts = docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"))
-    labelled = texts.join(F.broadcast(known), F.col("id") == F.col("label_id")).select("text", "toxic")
+    labelled = texts.join(known, F.col("id") == F.col("label_id")).select("text", "toxic")
     totals = dict(known.groupBy("toxic").count().collect())
     toxics, cleans = totals.get(1, 0), totals.get(0, 0)
     if not toxics:
@@ -212,7 +211,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     patterns = work.keep(voted.groupBy("votes").agg(F.count("*").alias("rows")))
     labels_of = LabelModel.start(best, lexicon, toxics, cleans)
     labels_of.fit(patterns)
-    _train(model, voted, known, labels_of)
+    # SAMPLE rows at most: small enough to broadcast.
+    sample = work.keep(known.orderBy(unit_hash(F.col("label_id"))).limit(SAMPLE))
+    _train(model, voted, known, sample, labels_of)
     return model
 
 
@@ -311,12 +312,14 @@ def _bits(votes: np.ndarray, n: int) -> np.ndarray:
     return (votes[:, None] >> np.arange(n) & 1).astype(float)
 
 
-def _train(model: Model, voted: DataFrame, known: DataFrame, labels: LabelModel) -> None:
+def _train(model: Model, voted: DataFrame, known: DataFrame, sample: DataFrame, labels: LabelModel) -> None:
     """Logistic regression on posterior labels, over SAMPLE labelled rows and as many others."""
-    own = voted.join(F.broadcast(known), F.col("id") == F.col("label_id"), "left")
-    lots = own.select("features", "votes", "toxic", unit_hash(F.col("id")).alias("lot"))
-    rows = lots.where("toxic IS NOT NULL").orderBy("lot").limit(SAMPLE).collect()
-    rows += lots.where("toxic IS NULL").orderBy("lot").limit(SAMPLE).collect()
+    is_known = F.col("id") == F.col("label_id")
+    mine = voted.join(F.broadcast(sample), is_known).select("features", "votes", "toxic", unit_hash(F.col("id")).alias("lot"))
+    others = voted.join(known, is_known, "left_anti").select(
+        "features", "votes", F.lit(None).cast("int").alias("toxic"), unit_hash(F.col("id")).alias("lot"))
+    rows = mine.orderBy("lot").limit(SAMPLE).collect()
+    rows += others.orderBy("lot").limit(SAMPLE).collect()
     votes = np.array([r.votes for r in rows], np.int64)
     odds = labels.posterior(votes) + np.array([0 if r.toxic is None else (2 * r.toxic - 1) * KNOWN for r in rows])
     goal = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))

@@ -47,6 +47,15 @@ def test_held_out_documents_are_told_apart(spark, labelled):
     assert right > 0.97
 
 
+def test_words_of_all_labelled_rows_count(spark, labelled, monkeypatch):
+    rows, labels = labelled
+    marks = spark.createDataFrame(labels, LABELS)
+    whole = toxicity.fit(docs(spark, rows), marks)
+    monkeypatch.setattr(toxicity, "SAMPLE", 12)
+    few = toxicity.fit(docs(spark, rows), marks)
+    assert len(few.vocabulary) > 3 and few.vocabulary == whole.vocabulary and few.lexicon == whole.lexicon
+
+
 def test_without_labels_nothing_is_toxic(spark):
     df = clashing(docs(spark, [(1, "a b"), (2, None)]))
     none = spark.createDataFrame([], LABELS)
