@@ -192,6 +192,8 @@ def _mbox_item(ord: int, index: int, record: bytes, raw_mbox: bool) -> Item:
         payload = body if raw_mbox else payload
     except Exception:
         return Item("refused", ord, None, index=index, reason="unreadable", size=len(body))
+    if len(payload) > MAX_CELL:
+        return Item("refused", ord, None, index=index, reason="too_large", size=len(payload))
     return Item(
         "entry",
         ord,

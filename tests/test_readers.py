@@ -225,3 +225,13 @@ class TestAttachments:
 
     def test_junk_is_no_error(self):
         assert list(_attachments_of(b"\xff\xfe\x00 attachment", BY_TEXT)) == []
+
+
+def test_a_message_of_a_mailbox_above_a_cell_is_recorded(monkeypatch):
+    monkeypatch.setattr("mailsift.operators.entries.MAX_CELL", 200)
+    box = b"".join(b"From a@b.c Mon Jan  1 00:00:00 2024\nSubject: s\n\n" + b"x" * n + b"\n\n" for n in (10, 500, 20))
+    whole = list(mbox_items(box))
+    assert [(i.kind, i.index, i.reason) for i in whole] == [("entry", 0, None), ("refused", 1, "too_large"), ("entry", 2, None)]
+    assert whole[1].payload is None and whole[1].size > 500
+    parts = list(mbox_part_items(io.BytesIO(box), 0, len(box), 0))
+    assert [(i.kind, i.reason, i.size) for i in parts] == [(i.kind, i.reason, i.size) for i in whole]
