@@ -13,6 +13,7 @@ from mailsift.llm import (
     bpe,
     embedding_dedup,
     html_extract,
+    merkle,
     minhash,
     mixing,
     sharding,
@@ -179,3 +180,77 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 def op10_html(spark: SparkSession, folder: str) -> DataFrame:
     pages = html_extract.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
     return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
+# crc32 of the decimal id, bit by bit; a level of the tree is one step of a recursion.
+@query(
+    r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, lang, n_chars, text, row_number() OVER () AS rid,
+         list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+           string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+           lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END) AS crc
+  FROM documents),
+h AS (
+  SELECT rid, doc_id, source,
+         coalesce(strlen(source) || ':' || source, '-') AS tree,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-')
+           || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+           || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-') AS head,
+         coalesce(strlen(text) || ':' || text, '-') AS whole,
+         CASE WHEN crc % 2 = 1 THEN coalesce(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-')
+              ELSE coalesce(strlen(text) || ':' || text, '-') END AS cut
+  FROM d),
+leaves AS (
+  SELECT rid, doc_id, source, tree, sha256(head || whole) AS leaf, sha256(head || cut) AS now,
+         row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, sha256(head || whole), rid) - 1 AS pos,
+         count(*) OVER (PARTITION BY tree) AS n
+  FROM h),
+up(level, tree, n, pos, hash) AS (
+  SELECT 0, tree, n, pos, leaf FROM leaves
+  UNION ALL
+  SELECT level + 1, tree, (n + 2) // 3, pos // 3, sha256(string_agg(hash, '' ORDER BY pos))
+  FROM up WHERE n > 1 GROUP BY level, tree, n, pos // 3),
+subs AS (SELECT tree, level AS height, hash AS subroot FROM up WHERE n = 1),
+tops AS (
+  SELECT s.tree, s.height, s.subroot, count(*) OVER () AS n,
+         row_number() OVER (ORDER BY g.source NULLS FIRST) - 1 AS pos
+  FROM subs s JOIN (SELECT DISTINCT tree, source FROM leaves) g USING (tree)),
+above(level, n, pos, hash) AS (
+  SELECT 0, n, pos, subroot FROM tops
+  UNION ALL
+  SELECT level + 1, (n + 2) // 3, pos // 3, sha256(string_agg(hash, '' ORDER BY pos))
+  FROM above WHERE n > 1 GROUP BY level, n, pos // 3),
+root AS (SELECT hash AS root, level AS height FROM above WHERE n = 1),
+nodes AS (
+  SELECT tree, level, pos, hash FROM up
+  UNION ALL
+  SELECT NULL, level, pos, hash FROM above),
+way AS (
+  SELECT l.rid, l.now, t.subroot, t.height, t.height + r.height AS steps, r.root, l.tree, l.pos, t.pos AS top
+  FROM leaves l JOIN tops t USING (tree) CROSS JOIN root r),
+trace(rid, step, tree, pos, top, height, steps, node, proof) AS (
+  SELECT rid, 0, CASE WHEN height = 0 THEN NULL ELSE tree END, CASE WHEN height = 0 THEN top ELSE pos END, top, height, steps, now, ''
+  FROM way
+  UNION ALL
+  SELECT w.rid, w.step + 1, any_value(CASE WHEN w.step + 1 >= w.height THEN NULL ELSE w.tree END),
+         any_value(CASE WHEN w.step + 1 = w.height THEN w.top ELSE w.pos // 3 END), any_value(w.top), any_value(w.height), any_value(w.steps),
+         sha256(string_agg(CASE WHEN s.pos = w.pos THEN w.node ELSE s.hash END, '' ORDER BY s.pos)),
+         any_value(w.proof) || coalesce(string_agg(s.hash, '' ORDER BY s.pos) FILTER (s.pos <> w.pos), '')
+  FROM trace w JOIN nodes s ON s.tree IS NOT DISTINCT FROM w.tree AND s.pos // 3 = w.pos // 3
+       AND s.level = CASE WHEN w.step < w.height THEN w.step ELSE w.step - w.height END
+  WHERE w.step < w.steps GROUP BY w.rid, w.step)
+SELECT l.doc_id, l.leaf, y.subroot, y.root, sha256(t.proof) AS proof_sha256, t.node AS folded_root, t.node = y.root AS verified
+FROM leaves l JOIN way y USING (rid) JOIN trace t ON t.rid = l.rid AND t.step = t.steps
+"""
+)
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.when(touched, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    now = merkle.leaf([*[F.col(c) for c in merkle.FIELDS[:-1]], text])
+    manifest = merkle.Manifest(docs, carry={"now": now})
+    return manifest.verify(manifest.proofs(), "now").select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root",
+        F.sha2(merkle.proof_text(F.col("proof")), 256).alias("proof_sha256"), "folded_root", "verified",
+    )
