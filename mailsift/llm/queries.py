@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from mailsift.llm import (
     ann,
     bpe,
+    divergence,
     embedding_dedup,
     html_extract,
     merkle,
@@ -18,10 +19,11 @@ from mailsift.llm import (
     mixing,
     sharding,
     suffix_dedup,
+    token_counts,
     toxicity,
     url_filter,
 )
-from mailsift.llm.common import table
+from mailsift.llm.common import table, text_bytes
 
 
 @dataclass(frozen=True)
@@ -254,3 +256,56 @@ def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
         F.col("key").alias("doc_id"), "leaf", "subroot", "root",
         F.sha2(merkle.proof_text(F.col("proof")), 256).alias("proof_sha256"), "folded_root", "verified",
     )
+
+
+LIMIT = 4096  # tokens
+
+
+@query()
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("n_bytes", F.octet_length(text_bytes("text")).cast("long"))
+    counted = token_counts.prefix_counts(docs, keep=["doc_id", "n_bytes"])
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > LIMIT).alias("over_limit"))
+
+
+@query(
+    r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+t AS (SELECT rid, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT rid) >= 10),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term),
+dense AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n
+  FROM g JOIN kept k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (
+  SELECT lang, source, term, n,
+         1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS p,
+         1 + (1000000000::HUGEINT * (sum(n) OVER (PARTITION BY lang, term) + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * v) AS q
+  FROM dense JOIN v USING (lang)),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value
+  FROM p WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+)
+def op11_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    audit = divergence.Audit(table(spark, folder, "documents"))
+    pairs = audit.pairs().select("lang", "source", F.lit("pair").alias("part"), F.col("other").alias("item"), "value", "rank")
+    terms = audit.telling().select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value", "rank")
+    return pairs.unionByName(terms)
