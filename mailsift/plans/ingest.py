@@ -5,7 +5,9 @@
     -> ledgers -> commit row
 
 A file's bytes are read once in a backfill (in an incremental run, once to hash
-all and once more for the new ones, which are the only ones unpacked). No join
+all and once more for the new ones, which are the only ones unpacked). With
+``by_stat`` an incremental run does not open files whose size and time are those of
+the listing that the last run left in the ledger. No join
 or aggregate moves bytes: they go from the bucket to the staged level and from
 there to the mail table, with one rebalance by folder where the staged files are
 not laid out so, or are too few for the cores; see ``_write_mails``.
@@ -18,7 +20,7 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,9 +50,10 @@ from mailsift.operators.unpack import (
     unpack_all,
 )
 from mailsift.plans.ledger import Ledger
-from mailsift.schemas import FOUND
+from mailsift.schemas import FOUND, LISTING
 from mailsift.session import new_work_dir
 from mailsift.sources.bucket import list_files
+from mailsift.sources.snapshots import merged, settled, unlike
 from mailsift.sources.storage import remove_tree
 
 
@@ -69,6 +72,9 @@ class Options:
     # Keys up to this many are sent to the ledger; beyond it both are shuffled.
     broadcast_keys: int = 200_000
     write_json: bool = True
+    # Leave out files that look as they did at the last run with this option: same place, size and time.
+    by_stat: bool = False
+    settle_seconds: float = 5.0  # files written that shortly before a listing are looked at again
     keep_work: bool = False
 
 
@@ -145,6 +151,7 @@ class _Run:
         self.work = new_work_dir(spark, f"{self.ledger.root}/_work")
         self.limits = _limits(options, self.work)
         self.found = Found(spark, f"{self.work}/found")
+        self.snapshot: DataFrame | None = None  # the listing to keep, for the next run by stat
 
     def row(self) -> DataFrame:
         return self.ledger.runs().filter(F.col("run_id") == self.run_id)
@@ -162,12 +169,29 @@ class _Run:
     def open_bucket(
         self, root: str, namespaces: Iterable[str] | None, dates: Iterable[str] | None
     ) -> None:
-        self.open_listing(list_files(self.spark, root, namespaces, dates, self.options.formats))
-
-    def open_listing(self, files: DataFrame) -> None:
-        """Files by their location."""
+        files = list_files(self.spark, root, namespaces, dates, self.options.formats)
+        covered = F.startswith("location", F.lit(f"{root.rstrip('/')}/"))
+        for column, values in (("namespace", namespaces), ("date_partition", dates)):
+            if values is not None:
+                covered = covered & F.col(column).isin([str(v) for v in values])
+        self.open_listing(self.looked_at(self.staged(files, "listing"), covered))
+
+    def looked_at(self, listing: DataFrame, covered: Column) -> DataFrame:
+        """The files of a listing to look into. By stat, the listing is kept for the next run,
+        and an incremental run leaves out files that look as they did in the last one."""
+        options = self.options
+        if not options.by_stat:
+            return listing
+        before = self.ledger.snapshot()
+        now = settled(listing.select(*LISTING.names), options.settle_seconds)
+        self.snapshot = self.staged(merged(before, now, covered), "snapshot")
+        if self.mode != INCREMENTAL:
+            return listing
+        return self.staged(unlike(listing, before), "unlike")
+
+    def open_listing(self, listing: DataFrame) -> None:
+        """Files by their location, already staged."""
         options, formats = self.options, self.options.formats
-        listing = self.staged(files, "listing")
         boxes = F.col("format").isin(formats.names_of(CONTAINER))
         by_parts = boxes & F.col("format").isin("zip", "mbox") & (
             F.col("size") > options.inline_bytes
@@ -267,6 +291,8 @@ class _Run:
             small = n_sources <= self.options.broadcast_keys
             fresh = newly_discovered(sources, ledger.discovered(), small)
         ledger.write("discovered", run_id, fresh.withColumn("discovered_at", now()))
+        if self.snapshot is not None:
+            ledger.write("listing", run_id, self.snapshot)
 
     def _write_all_of(self, winners: DataFrame) -> int:
         count = self._write_mails(winners)
@@ -416,6 +442,8 @@ def _ingest(run: _Run, open_sources) -> DataFrame:
         raise
     else:
         run.ledger.complete_run(run.run_id, run.mode, started, counts)
+        if run.snapshot is not None:
+            run.ledger.drop_snapshots(keep=2)
     finally:
         if not run.options.keep_work:
             remove_tree(run.work)
@@ -449,10 +477,27 @@ def ingest_listing(
     *,
     options: Options = Options(),
     run_id: str | None = None,
+    root: str | None = None,
 ) -> DataFrame:
-    """Ingest files given by their locations, with the columns of a listing."""
+    """Ingest files given by their locations, with the columns of a listing.
+
+    ``root`` says that they are all files there are below it; without it, files that are
+    not among them stay in the snapshot of a run by stat. A run by stat that finds
+    nothing to look into leaves no trace in the run log, and its result is empty.
+    """
     run = _Run(files.sparkSession, output_root, mode, options, run_id)
-    return _ingest(run, lambda r: r.open_listing(files))
+    if run.named and run.ledger.is_completed(run.run_id):
+        return run.row()
+    listing = run.staged(files, "listing")
+    if root is not None:
+        covered = F.startswith("location", F.lit(f"{root.rstrip('/')}/"))
+    else:
+        covered = F.lit(False)
+    rows = run.looked_at(listing, covered)
+    if options.by_stat and mode == INCREMENTAL and rows.isEmpty():
+        remove_tree(run.work)
+        return run.row()
+    return _ingest(run, lambda r: r.open_listing(rows))
 
 
 def ingest_frame(

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mailsift import schemas
+from mailsift.sources import storage
 
 RUNNING, COMPLETED, FAILED = "running", "completed", "failed"
 
@@ -23,6 +24,7 @@ TABLES: dict[str, tuple[str, T.StructType, tuple[str, ...]]] = {
     "discovered": ("ledger/discovered", schemas.DISCOVERED, ()),
     "processed": ("ledger/processed", schemas.PROCESSED, ()),
     "skipped": ("ledger/skipped", schemas.SKIPPED, ()),
+    "listing": ("ledger/listing", schemas.SNAPSHOT, ()),
     "manifest": ("manifest", schemas.MANIFEST, ()),
     "emails": ("emails", schemas.EMAILS, ("namespace", "date_partition")),
     "attachments": ("attachments", schemas.ATTACHMENTS, ()),
@@ -154,6 +156,26 @@ class Ledger:
         fields = T.StructType([f for f in schema if f.name != "run_id"])
         return self.spark.read.schema(fields).parquet(f"{self.path(table)}/run_id={run_id}")
 
+    def snapshots(self) -> list[str]:
+        """Completed runs that have left a listing, the latest first."""
+        kept = self._read(self.path("listing"), TABLES["listing"][1]).select("run_id").distinct()
+        done = self.runs().filter(F.col("status") == COMPLETED).select("run_id", "completed_at")
+        # One row per kept snapshot, of which there are few: older ones are removed.
+        rows = kept.join(done, "run_id").orderBy(F.desc("completed_at"), F.desc("run_id")).collect()
+        return [row.run_id for row in rows]
+
+    def snapshot(self) -> DataFrame:
+        """The listing that the last run left; empty if none did."""
+        found = self.snapshots()
+        if not found:
+            return self.spark.createDataFrame([], schemas.LISTING)
+        return self.read_own("listing", found[0])
+
+    def drop_snapshots(self, keep: int) -> None:
+        """Remove all listings but the latest; a reader may still be at the one before."""
+        for run_id in self.snapshots()[keep:]:
+            storage.remove_tree(f"{self.path('listing')}/run_id={run_id}")
+
     def last_run(self) -> DataFrame:
         return last_completed(self.runs())
 

@@ -16,6 +16,9 @@ LISTING = _struct(
     path=_S, namespace=_S, date_partition=_S, source_file=_S, location=_S, size=_L, modified_at=_TS
 )
 
+# A listing as the ledger keeps it, to compare the next one with.
+SNAPSHOT = T.StructType([*LISTING.fields, T.StructField("run_id", _S, True)])
+
 # Position of a row in its source: [] for the file itself, one number per nesting level below it.
 ORD = T.ArrayType(_L)
 

@@ -10,37 +10,35 @@ of any date at any time.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from mailsift import session
 from mailsift.operators.capture import INCREMENTAL
 from mailsift.plans.ingest import Options, ingest_frame, ingest_listing
-from mailsift.sources.bucket import list_unseen, with_bucket_columns
-
-# The columns of Spark's binaryFile source; a stream wants them declared.
-_BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
-# Spark's file source leaves out files much older than the newest one; no file is too old here.
-_ANY_AGE = "36500d"
+from mailsift.sources.polls import NAME, BucketSource
 
 
 def watch_bucket(
-    spark: SparkSession, root: str, options: Options = Options(), files_per_batch: int = 10_000
+    spark: SparkSession, root: str, options: Options = Options(), pause_seconds: float = 1.0
 ) -> DataFrame:
-    """Stream of the bucket's files as they land: where they are, their size and time.
-
-    A file replaced under a known path is not delivered again by Spark's file
-    source; a periodic incremental run over the bucket picks it up.
+    """Stream of the bucket's listings: in every micro-batch all its files, where they are, their
+    size and time, as the tasks list them. Names starting with ``_``, empty, old and
+    replaced files are among them. Two listings are ``pause_seconds`` apart at least.
     """
+    session.ship(spark)
+    spark.dataSource.register(BucketSource)
     files = (
-        spark.readStream.format("binaryFile")
-        .schema(_BINARY_FILE)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("maxFileAge", _ANY_AGE)
-        .load(f"{root.rstrip('/')}/*/timestamp=*")
+        spark.readStream.format(NAME)
+        .option("root", root)
+        .option("tasks", str(spark.sparkContext.defaultParallelism * 2))
+        .option("pause_seconds", str(pause_seconds))
+        .load()
     )
-    located = with_bucket_columns(files.drop("content"), root, options.formats)
-    return located.withColumn("location", F.concat(F.lit(f"{root.rstrip('/')}/"), "path"))
+    return files.withColumn("format", options.formats.detect(F.col("source_file")))
 
 
 def ingest_stream(
@@ -59,10 +57,10 @@ def ingest_stream(
     a batch that is delivered again after a restart is either known as completed or
     overwrites its own first try, and another checkpoint's batches are other runs.
 
-    Spark's file source does not show zero-byte files and names starting with
-    ``_``. Those in the folders of a batch are listed and join it; change capture
-    drops the ones already known.
+    Of a stream of listings only files that look other than at the last run
+    (``Options.by_stat``) are opened; a listing without such files leaves no run.
     """
+    by_stat = replace(options, by_stat=True)
 
     def one_batch(batch: DataFrame, number: int) -> None:
         context = batch.sparkSession.sparkContext
@@ -70,9 +68,7 @@ def ingest_stream(
         if "location" not in batch.columns:
             ingest_frame(batch, output_root, INCREMENTAL, options=options, run_id=run_id)
             return
-        known = batch.select("path", "namespace", "date_partition", "source_file", "location", "size", "modified_at", "format")
-        files = known.unionByName(list_unseen(known, options.formats))
-        ingest_listing(files, output_root, INCREMENTAL, options=options, run_id=run_id)
+        ingest_listing(batch, output_root, INCREMENTAL, options=by_stat, run_id=run_id)
 
     return (
         files.writeStream.foreachBatch(one_batch)
