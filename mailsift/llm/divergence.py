@@ -1,20 +1,20 @@
 """How far the sources of a language are apart, and which terms set each of them off.
 
 1. **Chunks.** Texts are cut at ASCII white space, which no term holds. Each document's chunks are
-   counted where it lies; a task sums them by (lang, source, chunk): occurrences, documents, and, while
-   these are fewer than the support asked for, which. Texts are read once and never shuffled.
-2. **Factorisation.** Each globally distinct chunk is cut into terms once, by one expression, and
-   its terms join back to the sums. Occurrences of a term are sums over its chunks.
-3. **Distinct documents.** A chunk counts a document once, but two chunks of one document may
-   hold the same term. The documents of a term are at least those of its commonest chunk and at most those of
-   all its chunks together; where the support lies in between, all its chunks are rare, and
-   the documents kept with them are counted exactly.
+   counted where it lies. A task packs what it knows of a chunk in a lang into one row: a record (document,
+   source, occurrences) per document, or, once as many documents as the support asks for hold it,
+   a record per source. Texts are read once and never shuffled.
+2. **Factorisation.** The rows meet by chunk; each globally distinct chunk is cut into terms once, and
+   its records go on under each of its terms.
+3. **Terms.** The records meet by term. Two chunks of one document may hold the same term, so documents
+   are counted distinctly, unless a chunk had enough of them by itself. Kept terms leave one row each:
+   the sources that have them, and their occurrences there.
 4. **Smoothed shares** of all kept terms in each (lang, source) group and each lang, in whole billionths.
 5. **Divergence of pairs of sources.** A term that a source lacks has the same share there as any other that
    it lacks, so only terms that both have need looking at together: tiles of sources add these up inside
-   tasks, one array of sources per term. Terms of one of the two go through a histogram of its
-   shares; the rest is a product.
+   tasks. Terms of one of the two go through a histogram of its shares; the rest is a product.
 
+Sorted partitions are read as streams, some ten thousand rows at a time, so memory does not grow with them.
 All arithmetic is on whole numbers; the products that could pass 64 bits are decimals.
 
 Defined cases: null text, lang and source are empty ones; a row is a document, whatever its id, so a row met twice is
@@ -37,58 +37,212 @@ from pyspark.sql.window import Window
 from mailsift import session
 from mailsift.llm.common import Work, steps, text_bytes
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 SUPPORT = 10  # documents of a lang that a kept term is in
 TOP = 10
 SCALE = 1_000_000_000
-FLUSH = 300_000  # sums a task holds before it hands them on
+FLUSH = 1_000_000  # records a task holds before it hands them on
+SPAN = 20_000  # rows of a sorted partition that a task looks at together
 TILE = 256  # sources along a side of a tile
 TILES = 64  # tiles a task holds before it hands them on
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
-def _chunk_sums(support: int, flush: int):
-    """Sums by (lang, source, chunk) of a task's documents; a null chunk says that the group is there."""
-
-    def out(groups) -> Iterator[pa.RecordBatch]:
-        for (lang, source), sums in groups.items():
-            chunks = list(sums)
-            for k in range(0, len(chunks), 50_000):
-                part = chunks[k : k + 50_000]
-                found = [sums[c] for c in part]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(part), pa.string()), pa.array([source] * len(part), pa.string()),
-                        pa.array(part, pa.binary()), pa.array([f[0] for f in found], pa.int64()),
-                        pa.array([f[1] for f in found], pa.int64()),
-                        pa.array([f[2:] if f[1] < support else None for f in found], pa.list_(pa.int64())),
-                    ],
-                    ["lang", "source", "chunk", "occurrences", "docs", "rows"],
-                )
+# Terms are what is left between ASCII characters other than letters; only A-Z are lower-cased.
+_LETTERS = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))
+# Occurrences in one document; or, without a document, in as many as were asked for or more.
+_RECORD = np.dtype([("row", "<i8"), ("place", "<i4"), ("occurrences", "<i8")])
+_MANY = -1
 
+
+def terms_of(chunk: bytes) -> Counter:
+    """The terms of a piece of text, and how often each stands in it."""
+    return Counter(chunk.lower().translate(_LETTERS).split())
+
+
+def _offsets(lengths: np.ndarray, kind) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(lengths)]).astype(kind)
+
+
+def _packed(records: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Records of consecutive owners, as one binary value each."""
+    offsets = _offsets(lengths * _RECORD.itemsize, np.int64)
+    data = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(records))]
+    )
+    return data.cast(pa.binary())
+
+
+def _by_source(owner: np.ndarray, records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Records summed by owner and source, without their documents."""
+    order = np.lexsort((records["place"], owner))
+    owner, records = owner[order], records[order]
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (records["place"][1:] != records["place"][:-1])
+    first = np.flatnonzero(new)
+    out = records[first].copy()
+    out["row"] = _MANY
+    out["occurrences"] = np.add.reduceat(records["occurrences"], first) if len(first) else 0
+    return owner[first], out
+
+
+def _shortened(owner: np.ndarray, records: np.ndarray, n: int, support: int) -> tuple[np.ndarray, np.ndarray]:
+    """Records ordered by owner (0 to n - 1); those of owners with enough documents are summed by source."""
+    docs = np.bincount(owner, records["row"] != _MANY, n)
+    many = docs >= support
+    many[owner[records["row"] == _MANY]] = True
+    whole = many[owner]
+    owners, sums = _by_source(owner[whole], records[whole])
+    owner, records = np.concatenate([owner[~whole], owners]), np.concatenate([records[~whole], sums])
+    order = np.argsort(owner, kind="stable")
+    return owner[order], records[order]
+
+
+class _Chunks:
+    """The chunks of one lang that a task has met, and a record for every document and chunk."""
+
+    def __init__(self):
+        self.places: dict[bytes, int] = {}
+        self.chunk: list[int] = []
+        self.occurrences: list[int] = []
+        self.docs: list[tuple[int, int, int]] = []  # row, source, distinct chunks
+
+    def add(self, text: bytes, row: int, place: int) -> int:
+        found, places = Counter(text.split()), self.places
+        self.chunk.extend([places.setdefault(chunk, len(places)) for chunk in found])
+        self.occurrences.extend(found.values())
+        self.docs.append((row, place, len(found)))
+        return len(found)
+
+    def batches(self, lang: int, support: int) -> Iterator[pa.RecordBatch]:
+        docs = np.array(self.docs, np.int64).reshape(-1, 3)
+        records = np.empty(len(self.chunk), _RECORD)
+        records["row"], records["place"] = (np.repeat(docs[:, k], docs[:, 2]) for k in (0, 1))
+        records["occurrences"] = self.occurrences
+        owner, records = _shortened(np.array(self.chunk, np.int64), records, len(self.places), support)
+        lengths = np.bincount(owner, minlength=len(self.places))
+        chunks = list(self.places)
+        at = _offsets(lengths, np.int64)
+        for k in range(0, len(chunks), SPAN):
+            part = chunks[k : k + SPAN]
+            end = k + len(part)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(part), lang, np.int32)), pa.array(part, pa.binary()),
+                 _packed(records[at[k] : at[end]], lengths[k:end])],
+                ["lang_no", "chunk", "records"],
+            )
+
+
+def _count_chunks(support: int, flush: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups, held = {}, 0
+        langs: dict[int, _Chunks] = {}
+        held = 0
         for batch in steps(batches, "text"):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for text, lang, source, row in zip(texts, *(batch.column(c).to_pylist() for c in ("lang", "source", "row"))):
-                sums = groups.get((lang, source))
-                if sums is None:
-                    sums = groups[lang, source] = {None: [0, support]}
-                before = len(sums)
-                for chunk, n in Counter(text.split()).items():
-                    found = sums.get(chunk)
-                    if found is None:
-                        sums[chunk] = [n, 1, row]
-                    else:
-                        found[0] += n
-                        found[1] += 1
-                        if found[1] < support:
-                            found.append(row)
-                held += len(sums) - before
+            for text, lang, place, row in zip(texts, *(batch.column(c).to_pylist() for c in ("lang_no", "place", "row"))):
+                held += langs.setdefault(lang, _Chunks()).add(text, row, place)
                 if held > flush:
-                    yield from out(groups)
-                    groups, held = {}, 0
-        yield from out(groups)
+                    for no, chunks in langs.items():
+                        yield from chunks.batches(no, support)
+                    langs, held = {}, 0
+        for no, chunks in langs.items():
+            yield from chunks.batches(no, support)
+
+    return run
+
+
+def _spans(batches: Iterator[pa.RecordBatch], name: str, size: int) -> Iterator[tuple[list, list, list]]:
+    """Rows (lang_no, ``name``, records) of a sorted partition, about ``size`` at a time; a name's rows stay together."""
+    langs, names, records, held = [], [], [], 0
+    for batch in batches:
+        langs += batch.column("lang_no").to_pylist()
+        names += batch.column(name).cast(pa.binary()).to_pylist()
+        found = batch.column("records").to_pylist()
+        records += found
+        held += sum(map(len, found))
+        if len(names) >= size or held >= 16 << 20:
+            cut = len(names)
+            while cut and names[cut - 1] == names[-1]:
+                cut -= 1
+            if cut:
+                yield langs[:cut], names[:cut], records[:cut]
+                langs, names, records = langs[cut:], names[cut:], records[cut:]
+                held = sum(map(len, records))
+    if names:
+        yield langs, names, records
+
+
+def _owned(langs: list, names: list, records: list) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """First rows of the groups of equal (lang_no, name), and all records with their groups."""
+    first, group = [], np.zeros(len(names), np.int64)
+    for i, (lang, name) in enumerate(zip(langs, names)):
+        if not i or lang != langs[i - 1] or name != names[i - 1]:
+            first.append(i)
+        group[i] = len(first) - 1
+    lengths = np.array([len(r) for r in records], np.int64) // _RECORD.itemsize
+    return first, np.repeat(group, lengths), np.frombuffer(b"".join(records), _RECORD)
+
+
+def _cut_chunks(support: int, span: int):
+    """Rows by chunk to rows by term; each distinct chunk is cut once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for langs, chunks, packed in _spans(batches, "chunk", span):
+            first, owner, records = _owned(langs, chunks, packed)
+            owner, records = _shortened(owner, records, len(first), support)
+            at = _offsets(np.bincount(owner, minlength=len(first)), np.int64)
+            out, held, last, terms = ([], [], []), 0, None, Counter()
+            for group, i in enumerate(first):
+                if chunks[i] != last:
+                    last, terms = chunks[i], terms_of(chunks[i])
+                mine = records[at[group] : at[group + 1]]
+                for term, times in terms.items():
+                    if times > 1:
+                        mine = mine.copy()
+                        mine["occurrences"] = records["occurrences"][at[group] : at[group + 1]] * times
+                        data = mine.tobytes()
+                        mine = records[at[group] : at[group + 1]]
+                    else:
+                        data = mine.tobytes()
+                    for column, value in zip(out, (langs[i], term, data)):
+                        column.append(value)
+                    held += len(data)
+                if held > 8 << 20:
+                    yield _term_rows(out)
+                    out, held = ([], [], []), 0
+            if out[0]:
+                yield _term_rows(out)
+
+    return run
+
+
+def _term_rows(out: tuple[list, list, list]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], ["lang_no", "term", "records"])
+
+
+def _kept_terms(support: int, span: int):
+    """Rows by term to one row per kept term: its sources and its occurrences in each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for langs, terms, packed in _spans(batches, "term", span):
+            first, owner, records = _owned(langs, terms, packed)
+            known = records["row"] != _MANY
+            pairs = np.empty(int(known.sum()), [("owner", np.int64), ("row", np.int64)])
+            pairs["owner"], pairs["row"] = owner[known], records["row"][known]
+            kept = np.bincount(np.unique(pairs)["owner"], minlength=len(first)) >= support
+            kept[owner[~known]] = True
+            mine = kept[owner]
+            owner, records = _by_source(owner[mine], records[mine])
+            lengths = np.bincount(owner, minlength=len(first))[kept]
+            if not len(lengths):
+                continue
+            offsets = _offsets(lengths, np.int32)
+            lists = [
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(records[c])))
+                for c in ("place", "occurrences")
+            ]
+            chosen = [i for i, yes in zip(first, kept) if yes]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([langs[i] for i in chosen], pa.int32()), pa.array([terms[i] for i in chosen], pa.binary()), *lists],
+                ["lang_no", "term", "places", "counts"],
+            )
 
     return run
 
@@ -114,14 +268,15 @@ def _tile_sums(side: int, most: int):
         for (lang, a, b), tile in sums.items():
             i, j = np.nonzero(tile)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(i), pa.string()), pa.array(i + a * side), pa.array(j + b * side), pa.array(tile[i, j])],
-                ["lang", "place", "other_place", "value"],
+                [pa.array(np.full(len(i), lang, np.int32)), pa.array((i + a * side).astype(np.int32)),
+                 pa.array((j + b * side).astype(np.int32)), pa.array(tile[i, j])],
+                ["lang_no", "place", "other_place", "value"],
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple, np.ndarray] = {}
         for batch in batches:
-            for lang, found in zip(batch.column("lang").to_pylist(), batch.column("found")):
+            for lang, found in zip(batch.column("lang_no").to_pylist(), batch.column("found")):
                 place, p, p0 = (found.values.field(k).to_numpy() for k in range(3))
                 order = np.argsort(place)
                 place, p, p0 = place[order], p[order], p0[order]
@@ -144,105 +299,108 @@ def _tile_sums(side: int, most: int):
 
 
 class Audit:
-    """Tables of the audit: ``groups``, ``counts`` and ``terms`` (kept ones), ``pairs()`` and ``telling()``."""
+    """Tables of the audit: ``groups`` and ``terms`` (kept ones), ``pairs()`` and ``telling()``."""
 
     def __init__(self, docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-                 support: int = SUPPORT, flush: int = FLUSH, tile: int = TILE):
+                 support: int = SUPPORT, flush: int = FLUSH, span: int = SPAN, tile: int = TILE):
         if support < 1:
             raise ValueError("support must be 1 at least")
         session.tune(docs.sparkSession)
         self.work = work = Work(docs.sparkSession)
         self.tile = tile
-        rows = docs.select(
-            text_bytes(lang_col).alias("lang"), text_bytes(source_col).alias("source"), text_bytes(text_col).alias("text"),
-            F.monotonically_increasing_id().alias("row"),
-        )
-        sums = work.keep(
-            rows.mapInArrow(
-                _chunk_sums(support, flush), "lang string, source string, chunk binary, occurrences long, docs long, rows array<long>"
-            ).withColumn("chunk", F.col("chunk").cast("string"))
-        )
-        by_source = work.keep(
-            sums.groupBy("chunk", "lang", "source").agg(F.sum("occurrences").alias("occurrences"), F.sum("docs").alias("docs"))
-        )
-        groups = by_source.where("chunk is null").select("lang", "source")
-        by_source = by_source.where("chunk is not null")
-        by_lang = by_source.groupBy("chunk", "lang").agg(F.sum("docs").alias("docs"))
-        # Each distinct chunk is cut once; what it holds joins back.
-        cut = F.explode(F.regexp_extract_all(F.translate("chunk", _UPPER, _LOWER), F.lit(TERM), 0)).alias("term")
-        held = by_source.select("chunk").distinct().select("chunk", cut)
-        held = work.keep(held.groupBy("chunk", "term").agg(F.count("*").alias("times")))
-        per_lang = by_lang.join(held, "chunk").groupBy("lang", "term")
-        per_lang = work.keep(
-            per_lang.agg(F.sum("docs").alias("most"), F.max("docs").alias("least"))
-            .where(F.col("most") >= support)
+        named = docs.select(
+            text_bytes(lang_col).alias("lang"), text_bytes(source_col).alias("source"), text_bytes(text_col).alias("text")
         )
-        unsure = per_lang.where(F.col("least") < support).select("lang", "term")
-        # All chunks of these are in fewer documents than asked for, so all their rows are at hand.
-        places = unsure.join(held, "term").select("lang", "term", "chunk")
-        exact = (
-            sums.select("lang", "chunk", "rows").join(places, ["lang", "chunk"]).select("lang", "term", F.explode("rows").alias("row"))
-            .distinct().groupBy("lang", "term").agg(F.count("*").alias("docs")).where(F.col("docs") >= support)
+        groups = self._numbered(work, named)
+        # Joined by broadcast while Spark finds the groups small; whatever their number, the result is the same.
+        rows = named.join(groups, ["lang", "source"]).select(
+            "lang_no", "place", "text", F.monotonically_increasing_id().alias("row")
         )
-        self.terms = work.keep(
-            per_lang.where(F.col("least") >= support).select("lang", "term").unionByName(exact.select("lang", "term"))
+        by_chunk = (
+            rows.mapInArrow(_count_chunks(support, flush), "lang_no int, chunk binary, records binary")
+            .repartition(F.col("chunk")).sortWithinPartitions("chunk", "lang_no")
         )
-        counts = work.keep(
-            by_source.join(held, "chunk").groupBy("lang", "source", "term")
-            .agg(F.sum(F.col("occurrences") * F.col("times")).alias("count"))
-            .join(self.terms, ["lang", "term"])
-        )
-        sizes = self.terms.groupBy("lang").agg(F.count("*").alias("terms"))
-        totals = counts.groupBy("lang", "source").agg(F.sum("count").alias("total"))
-        in_lang = Window.partitionBy("lang")
-        groups = (
-            groups.join(sizes, "lang", "left").join(totals, ["lang", "source"], "left").na.fill(0, ["terms", "total"])
-            .withColumn("lang_total", F.sum("total").over(in_lang))
-            .withColumn("place", (F.row_number().over(in_lang.orderBy("source")) - 1).cast("long"))
+        by_term = (
+            by_chunk.mapInArrow(_cut_chunks(support, span), "lang_no int, term binary, records binary")
+            .repartition(F.col("term")).sortWithinPartitions("term", "lang_no")
         )
+        kept = by_term.mapInArrow(_kept_terms(support, span), "lang_no int, term binary, places array<int>, counts array<long>")
+        kept = work.keep(kept.withColumn("term", F.col("term").cast("string")))
+        whole = F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)
+        sizes = kept.groupBy("lang_no").agg(F.count("*").alias("terms"), F.sum(whole).alias("lang_total"))
+        each = kept.select("lang_no", F.explode(F.arrays_zip("places", "counts")).alias("x"))
+        totals = each.groupBy("lang_no", F.col("x.places").alias("place")).agg(F.sum("x.counts").alias("total"))
         nothing = F.lit(0).cast("long")
+        groups = groups.join(sizes, "lang_no", "left").join(totals, ["lang_no", "place"], "left")
+        groups = groups.na.fill(0, ["terms", "lang_total", "total"])
         self.groups = work.keep(groups.withColumn("p0", _share(nothing, F.col("total"), F.col("terms"))))
-        whole = counts.groupBy("lang", "term").agg(F.sum("count").alias("lang_count"))
-        here = self.groups.select("lang", "source", "terms", "total", "lang_total", "place", "p0")
-        self.counts = work.keep(
-            counts.join(here, ["lang", "source"]).join(whole, ["lang", "term"])
-            .withColumn("p", _share(F.col("count"), F.col("total"), F.col("terms")))
-            .withColumn("q", _share(F.col("lang_count"), F.col("lang_total"), F.col("terms")))
-            .select("lang", "source", "term", "count", "p", "q", "p0", "place")
+        # One row per lang, its sources in order.
+        langs = self.groups.groupBy("lang_no", "terms", "lang_total").agg(
+            F.array_sort(F.collect_list(F.struct("place", "total", "p0"))).alias("sources")
+        )
+        source = lambda place, field: F.get(F.col("sources"), place)[field]
+        shares = F.transform(
+            F.arrays_zip("places", "counts"),
+            lambda x: F.struct(
+                x["places"].alias("place"), x["counts"].alias("count"),
+                _share(x["counts"], source(x["places"], "total"), F.col("terms")).alias("p"), source(x["places"], "p0").alias("p0"),
+            ),
+        )
+        self.terms = kept.join(langs, "lang_no").select(
+            "lang_no", "term", _share(whole, F.col("lang_total"), F.col("terms")).alias("q"), shares.alias("found")
         )
 
+    @staticmethod
+    def _numbered(work: Work, named: DataFrame) -> DataFrame:
+        """Groups with a number for their lang and their source's place in it."""
+        groups = work.keep(named.select("lang", "source").distinct())
+        langs = groups.select("lang").distinct().withColumn("lang_no", F.row_number().over(Window.orderBy("lang")))
+        place = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
+        return work.keep(groups.join(langs, "lang").withColumn("place", place))
+
     def telling(self, top: int = TOP) -> DataFrame:
         """The terms that set a source off from its lang most: lang, source, term, value, rank."""
-        ranked = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "term")
-        found = self.counts.where("p > q").select("lang", "source", "term", _apart(F.col("p"), F.col("q")).alias("value"))
-        return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= top)
+        each = self.terms.select("lang_no", "term", "q", F.explode("found").alias("x"))
+        value = _apart(F.col("x.p"), F.col("q")).alias("value")
+        found = each.where("x.p > q").select("lang_no", F.col("x.place").alias("place"), "term", value)
+        ranked = Window.partitionBy("lang_no", "place").orderBy(F.desc("value"), "term")
+        best = found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= top)
+        names = self.groups.select("lang_no", "place", "lang", "source")
+        return best.join(names, ["lang_no", "place"]).select("lang", "source", "term", "value", "rank")
 
     def pairs(self) -> DataFrame:
         """Every two sources of a lang: lang, source, other, value, rank of the other for the source."""
-        groups = self.groups.select("lang", "source", "place", "p0", "terms")
-        sources = F.collect_list(F.struct("place", "p", "p0")).alias("found")  # one entry per source of the lang at most
+        groups = self.groups.select("lang_no", "lang", "source", "place", "p0", "terms")
+        keys = ["lang_no", "place", "other_place"]
         both = (
-            self.counts.groupBy("lang", "term").agg(sources).where(F.size("found") > 1).select("lang", "found")
-            .mapInArrow(_tile_sums(self.tile, TILES), "lang string, place long, other_place long, value long")
-            .groupBy("lang", "place", "other_place").agg(F.sum("value").alias("both"))  # place < other_place
+            self.terms.where(F.size("found") > 1)
+            .select("lang_no", F.transform("found", lambda x: F.struct(x["place"], x["p"], x["p0"])).alias("found"))
+            .mapInArrow(_tile_sums(self.tile, TILES), "lang_no int, place int, other_place int, value long")
+            .groupBy(*keys).agg(F.sum("value").alias("both"))  # place < other_place
         )
-        both = both.unionByName(both.select("lang", F.col("other_place").alias("place"), F.col("place").alias("other_place"), "both"))
+        both = both.unionByName(_turned(both, "both", "both"))
         others = groups.select(
-            "lang", F.col("source").alias("other"), F.col("place").alias("other_place"), F.col("p0").alias("other_p0")
+            "lang_no", F.col("source").alias("other"), F.col("place").alias("other_place"), F.col("p0").alias("other_p0")
         )
-        shares = self.counts.groupBy("lang", "place", "p", "p0").agg(F.count("*").alias("times"))
+        shares = self.terms.select("lang_no", F.explode("found").alias("x")).groupBy("lang_no", "x.place", "x.p", "x.p0")
         alone = (
-            shares.join(others, "lang").where("place != other_place")
-            .groupBy("lang", "place", "other_place")
+            shares.agg(F.count("*").alias("times")).join(others, "lang_no").where("place != other_place")
+            .groupBy(*keys)
             .agg(F.sum(F.col("times") * (_apart(F.col("p"), F.col("other_p0")) - _apart(F.col("p0"), F.col("other_p0")))).alias("alone"))
         )
-        back = alone.select("lang", F.col("other_place").alias("place"), F.col("place").alias("other_place"), F.col("alone").alias("back"))
-        keys = ["lang", "place", "other_place"]
+        alone = self.work.keep(alone)
         zero = F.when(F.col("terms") > 0, F.col("terms") * _apart(F.col("p0"), F.col("other_p0"))).otherwise(0)
         found = (
-            groups.join(others, "lang").where("place != other_place")
-            .join(both, keys, "left").join(alone, keys, "left").join(back, keys, "left").na.fill(0, ["both", "alone", "back"])
+            groups.join(others, "lang_no").where("place != other_place")
+            .join(both, keys, "left").join(alone, keys, "left").join(_turned(alone, "alone", "back"), keys, "left")
+            .na.fill(0, ["both", "alone", "back"])
             .select("lang", "source", "other", (zero + F.col("both") + F.col("alone") + F.col("back")).cast("long").alias("value"))
         )
         ranked = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "other")
         return found.withColumn("rank", F.row_number().over(ranked))
+
+
+def _turned(sums: DataFrame, name: str, as_name: str) -> DataFrame:
+    return sums.select(
+        "lang_no", F.col("other_place").alias("place"), F.col("place").alias("other_place"), F.col(name).alias(as_name)
+    )

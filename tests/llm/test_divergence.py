@@ -74,7 +74,7 @@ def test_audit_equals_a_plain_computation(spark, support):
 def test_small_flushes_and_tiles_change_nothing(spark):
     rows = rows_of(7, 200, [f"s{i}" for i in range(23)])
     df = spark.createDataFrame(rows, DOC)
-    assert got(divergence.Audit(df, support=3, flush=5, tile=4), 3) == plain(rows, 3, 3)
+    assert got(divergence.Audit(df, support=3, flush=5, span=3, tile=4), 3) == plain(rows, 3, 3)
 
 
 def test_documents_of_terms_are_counted_once(spark):
