@@ -2,20 +2,24 @@
 
 1. **Vocabulary.** Words and word beginnings, met once or repeatedly, that tell toxic
    from clean documents are found by their log-likelihood ratio in all labelled rows
-   (rows of the held-out fold never enter).
+   (rows of the held-out fold never enter). Only the labels travel to the texts.
 2. **Voters.** The strongest of them are lexicon voters, one each; patterns (several
-   of them, many for the length, exclamations, shouting, none at all) are more.
+   of them, many for the length, exclamations, shouting, none at all) are more, and so is the
+   known label, which speaks for or against where the training folds have one.
    Every voter votes or is silent on every document of the corpus.
 3. **Label model.** Expectation and maximisation over the votes of all documents
-   estimate how often each voter speaks on toxic and on clean documents; voters that
-   agree more than the label explains share their weight by the correlation found.
+   estimate how often each voter speaks on toxic and on clean documents, the known label among
+   them; voters that agree more than the label explains share their weight by the correlation found.
 4. **Classifier.** A logistic model over the vocabulary is trained on the posterior
-   labels of a bounded sample; a row's own label, where the training folds have one,
-   adds ``KNOWN`` to its log-odds or takes it off. Its score reads the text and nothing else.
+   labels of a bounded sample. Its score reads the text and nothing else.
+
+A document is an id. Its rows, if it is there several times, count as one together, so a table that is
+there twice gives the vocabulary and the voters that it gives alone.
 
 Defined cases: null and empty texts are scored by the constant of the model; null
-or missing labels do not count, and of several labels of one id the largest does;
-null ids belong to the held-out fold; without any toxic label all scores are 0.
+or missing labels do not count, nor do labels without a document, and of several labels of one id the largest does;
+null ids belong to the held-out fold; without any toxic label all scores are 0; texts of any length are read whole;
+an empty table gives an empty result; other columns take no part, whatever they are called.
 """
 
 from __future__ import annotations
@@ -39,7 +43,8 @@ VOCABULARY = 512
 LEXICON = 48  # lexicon voters
 SUPPORT = 3  # documents that a word of the vocabulary must be in
 FOLDS = 5
-KNOWN = 8  # log-odds of a known label; fixed, not estimated
+KNOWN_ROWS = 2_000_000  # labels up to this many (16 bytes each) are sent to the texts; beyond it labelled texts move
+COUNT_FLUSH = 1_000_000  # features a task holds before it hands their sums on
 PATTERNS = ("several", "dense", "exclaiming", "shouting", "none")
 _WORDS = regex.compile(r"\p{L}+").findall
 _STARTS = (3, 4, 5, 6, 7, 8)
@@ -64,17 +69,25 @@ def _present(words: Counter) -> list[str]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of either kind that each feature is in, summed over the task."""
-    kinds = (Counter(), Counter())
+    """Documents of either kind that each feature is in, summed over a part of the task."""
+    kinds: tuple[dict[str, float], dict[str, float]] = ({}, {})
+
+    def out():
+        names = list(kinds[0].keys() | kinds[1].keys())
+        for k in range(0, len(names), 20_000):
+            part = names[k : k + 20_000]
+            toxic, clean = ([kinds[i].get(f, 0.0) for f in part] for i in (1, 0))
+            yield pa.RecordBatch.from_pydict({"feature": part, "toxic": toxic, "clean": clean})
+
     for batch in batches:
-        for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            kinds[toxic].update(_present(Counter(_WORDS(text.lower()))))
-    names = list(kinds[0].keys() | kinds[1].keys())
-    for k in range(0, len(names), 20_000):
-        part = names[k : k + 20_000]
-        yield pa.RecordBatch.from_pydict(
-            {"feature": part, "toxic": [kinds[1][f] for f in part], "clean": [kinds[0][f] for f in part]}
-        )
+        for text, toxic, weight in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "weight"))):
+            sums = kinds[toxic]
+            for feature in _present(Counter(_WORDS(text.lower()))):
+                sums[feature] = sums.get(feature, 0.0) + weight
+        if len(kinds[0]) + len(kinds[1]) > COUNT_FLUSH:
+            yield from out()
+            kinds = ({}, {})
+    yield from out()
 
 
 @dataclass
@@ -90,6 +103,11 @@ class Model:
     def reader(self) -> _Reader:
         return _Reader(self)
 
+    def of(self, features: list[list[int]]) -> np.ndarray:
+        """Scores of texts with these features."""
+        z = np.array([self.weights[sorted(f)].sum() for f in features]) + self.constant
+        return 1 / (1 + np.exp(-z))
+
     def score(self, df: DataFrame, text_col: str = "text", score_col: str = "score") -> DataFrame:
         """``df`` with a column of scores between 0 and 1."""
         session.tune(df.sparkSession)
@@ -103,15 +121,24 @@ class Model:
         def run(batches):
             reader = model.reader()
             for batch in batches:
-                found = [reader.features(text) for text in batch.column("text").to_pylist()]
-                z = np.array([model.weights[sorted(f)].sum() for f in found]) + model.constant
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("row"), pa.array(1 / (1 + np.exp(-z)), pa.float64())], ["row", "score"]
-                )
+                scores = model.of([reader.features(text) for text in batch.column("text").to_pylist()])
+                yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(scores, pa.float64())], ["row", "score"])
 
         fields = StructType().add("row", source.schema["row"].dataType).add("score", DoubleType())
         return source.mapInArrow(run, fields).select(*[F.col(f"row.`{c}`") for c in rest], F.col("score").alias(score_col))
 
+    def score_voted(self, voted: DataFrame) -> DataFrame:
+        """Scores of rows whose features have been found already: id, score."""
+        model = self
+
+        def run(batches):
+            for batch in batches:
+                scores = model.of(batch.column("features").to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(scores, pa.float64())], ["id", "score"])
+
+        kind = voted.schema["id"].dataType.simpleString()
+        return voted.select("id", "features").mapInArrow(run, f"id {kind}, score double")
+
 
 class _Reader:
     """Features and votes of texts; remembers what words stand for."""
@@ -170,21 +197,38 @@ def _ratio(toxic: Column, clean: Column, toxics: int, cleans: int) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Learn a model from the documents and the labels of the training folds."""
-    work = Work(docs.sparkSession)
-    known = (
+    return _fit(docs, labels, id_col, text_col, label_col)[0]
+
+
+def _known(work: Work, texts: DataFrame, labels: DataFrame, id_col: str, label_col: str) -> tuple[DataFrame, bool]:
+    """Labels of the training folds that have a document: label_id, toxic, and the share of one row
+    in its document; and whether they may be broadcast."""
+    said = work.keep(
         labels.where(~held_out(F.col(id_col)) & F.col(label_col).isNotNull())
         .groupBy(F.col(id_col).alias("label_id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("toxic"))
     )
-    known = work.keep(known)
+    small = said.count() <= KNOWN_ROWS
+    rows = texts.select("id").join(F.broadcast(said) if small else said, F.col("id") == F.col("label_id"))
+    rows = rows.groupBy("label_id", "toxic").agg(F.count("*").alias("rows"))
+    return work.keep(rows.select("label_id", "toxic", (1 / F.col("rows")).alias("weight"))), small
+
+
+def _fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> tuple[Model, DataFrame | None]:
+    """The model, and what has been found in every row: id, features, votes (None without a toxic label)."""
+    work = Work(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("text"))
-    labelled = texts.join(known, F.col("id") == F.col("label_id")).select("text", "toxic")
+    known, small = _known(work, texts, labels, id_col, label_col)
+    is_known = F.col("id") == F.col("label_id")
+    sent = F.broadcast(known) if small else known
+    labelled = texts.where(~held_out(F.col("id"))).join(sent, is_known).select("text", "toxic", "weight")
     totals = dict(known.groupBy("toxic").count().collect())
     toxics, cleans = totals.get(1, 0), totals.get(0, 0)
     if not toxics:
-        return Model((), (), (), np.zeros(0), -np.inf)
+        return Model((), (), (), np.zeros(0), -np.inf), None
+    # Shares of rows that make up documents add up to whole numbers but for the last digits.
     counts = work.keep(
-        labelled.mapInArrow(_count, "feature string, toxic long, clean long")
-        .groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        labelled.mapInArrow(_count, "feature string, toxic double, clean double")
+        .groupBy("feature").agg(*[F.round(F.sum(c), 6).alias(c) for c in ("toxic", "clean")])
         .where(F.col("toxic") + F.col("clean") >= SUPPORT)
     )
     # Of so many features some look telling by chance; a ratio of ln(features) is beyond that.
@@ -192,7 +236,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     lean = F.col("toxic") / F.lit(toxics) > F.col("clean") / F.lit(max(cleans, 1))
     best = (
         counts.withColumn("ratio", _ratio(F.col("toxic"), F.col("clean"), toxics, cleans)).withColumn("lean", lean)
-        .where(F.col("ratio") > least).orderBy(F.desc("ratio"), "feature").limit(VOCABULARY).collect()
+        .where(F.col("ratio") > least).orderBy(F.desc(F.round("ratio", 6)), "feature").limit(VOCABULARY).collect()
     )
     lexicon = _lexicon(best)
     model = Model(tuple(r.feature for r in best), tuple(lexicon), tuple(bool(r.lean) and _sure(r) for r in best),
@@ -207,14 +251,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                  pa.array([m for _, m in found], pa.int64())], ["id", "features", "votes"])
 
     kind = texts.schema["id"].dataType.simpleString()
-    voted = work.keep(texts.mapInArrow(votes, f"id {kind}, features array<int>, votes long"))
+    voted = texts.mapInArrow(votes, f"id {kind}, features array<int>, votes long")
+    # The known label's two bits: it speaks for toxic, or for clean.
+    bit = len(lexicon) + len(PATTERNS)
+    said = F.when(F.col("toxic") == 1, F.lit(1 << bit)).when(F.col("toxic") == 0, F.lit(2 << bit)).otherwise(F.lit(0))
+    voted = work.keep(
+        voted.join(sent, is_known, "left")
+        .select("id", "features", F.col("votes").bitwiseOR(said.cast("long")).alias("votes"), "toxic")
+    )
     patterns = work.keep(voted.groupBy("votes").agg(F.count("*").alias("rows")))
     labels_of = LabelModel.start(best, lexicon, toxics, cleans)
     labels_of.fit(patterns)
-    # SAMPLE rows at most: small enough to broadcast.
-    sample = work.keep(known.orderBy(unit_hash(F.col("label_id"))).limit(SAMPLE))
-    _train(model, voted, known, sample, labels_of)
-    return model
+    _train(model, voted, labels_of)
+    return model, voted
 
 
 def _sure(row) -> bool:
@@ -244,8 +293,10 @@ class LabelModel:
 
     @classmethod
     def start(cls, best, lexicon, toxics: int, cleans: int) -> "LabelModel":
-        toxic = [(best[i].toxic + 0.5) / (toxics + 1) for i in lexicon] + [0.5, 0.4, 0.1, 0.05, 0.1]
+        toxic = [(best[i].toxic + 0.5) / (toxics + 1) for i in lexicon] + [0.5, 0.4, 0.1, 0.05, 0.1]  # the patterns
         clean = [(best[i].clean + 0.5) / (cleans + 1) for i in lexicon] + [0.02, 0.02, 0.05, 0.02, 0.9]
+        # The known label is there or not whatever the kind; where it is, it is right nearly always.
+        toxic, clean = toxic + [0.5, 0.002], clean + [0.002, 0.5]
         return cls(np.array(toxic), np.array(clean), (toxics + 1) / (toxics + cleans + 2))
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
@@ -312,17 +363,20 @@ def _bits(votes: np.ndarray, n: int) -> np.ndarray:
     return (votes[:, None] >> np.arange(n) & 1).astype(float)
 
 
-def _train(model: Model, voted: DataFrame, known: DataFrame, sample: DataFrame, labels: LabelModel) -> None:
-    """Logistic regression on posterior labels, over SAMPLE labelled rows and as many others."""
-    is_known = F.col("id") == F.col("label_id")
-    mine = voted.join(F.broadcast(sample), is_known).select("features", "votes", "toxic", unit_hash(F.col("id")).alias("lot"))
-    others = voted.join(known, is_known, "left_anti").select(
-        "features", "votes", F.lit(None).cast("int").alias("toxic"), unit_hash(F.col("id")).alias("lot"))
-    rows = mine.orderBy("lot").limit(SAMPLE).collect()
-    rows += others.orderBy("lot").limit(SAMPLE).collect()
+def _sampled(voted: DataFrame) -> list:
+    """SAMPLE documents at most, those first in the order of a hash; one row of each."""
+    lots = voted.where(F.col("id").isNotNull()).select("id").distinct()
+    chosen = lots.orderBy(unit_hash(F.col("id")), "id").limit(SAMPLE).withColumnRenamed("id", "chosen")
+    mine = voted.join(F.broadcast(chosen), F.col("id") == F.col("chosen"))  # SAMPLE ids at most
+    one = mine.groupBy("id").agg(F.min(F.struct("votes", "features")).alias("one"))
+    return one.orderBy(unit_hash(F.col("id")), "id").select("one.votes", "one.features").collect()
+
+
+def _train(model: Model, voted: DataFrame, labels: LabelModel) -> None:
+    """Logistic regression on posterior labels, over SAMPLE labelled documents and as many others."""
+    rows = _sampled(voted.where(F.col("toxic").isNotNull())) + _sampled(voted.where(F.col("toxic").isNull()))
     votes = np.array([r.votes for r in rows], np.int64)
-    odds = labels.posterior(votes) + np.array([0 if r.toxic is None else (2 * r.toxic - 1) * KNOWN for r in rows])
-    goal = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+    goal = 1 / (1 + np.exp(-np.clip(labels.posterior(votes), -30, 30)))
     place = np.concatenate([np.asarray(r.features, np.int64) for r in rows])
     owner = np.repeat(np.arange(len(rows)), [len(r.features) for r in rows])
     n, width = len(rows), len(model.vocabulary)
@@ -341,9 +395,12 @@ def _train(model: Model, voted: DataFrame, known: DataFrame, sample: DataFrame,
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, held_out, score, predicted."""
-    model = fit(docs, labels, id_col, text_col)
-    scored = model.score(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+    model, voted = _fit(docs, labels, id_col, text_col, "toxic")
+    if voted is None:
+        scored = docs.select(F.col(id_col).alias("id"), F.lit(0.0).alias("score"))
+    else:
+        scored = model.score_voted(voted)
+    return scored.select(F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
