@@ -15,17 +15,21 @@ or id names them as advert, notice, comment and the like; a header counts as
 one unless an article holds it. A class or id only suggests this: it never leaves
 out an article, nor an element that holds most of the page's content lines (as
 ``content has-sidebar`` may); a name that stands alone (``sidebar``) must hold
-nearly all of them to be passed over.
+nearly all of them to be passed over. Lines of links alone, or of copyright, that lie before
+or after all other lines of a region without an article are its menu or its footer, named or not.
 
 Defined cases: null and empty pages give empty text; text without any tag is
 one line and comes back whole; unclosed and crossing tags are closed where their
-parents end; a page of any length is read to its end.
+parents end; a tag or comment that the page's end breaks off is left out, with what the comment
+holds; unknown declarations (``<![...``) end at the next ``>``, marked data at ``]]>``; a page of any length is
+read to its end, in time that grows with it; repeated rows give repeated results; an empty table gives an empty one.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import numpy as np
@@ -46,7 +50,7 @@ NAMED = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu nav navbar "
     "navigation breadcrumb breadcrumbs footer cookie cookies consent notice notices popup modal newsletter subscribe "
     "signup comment comments disqus respond reply replies share sharing social related recommended widget login search "
-    "pagination pager toolbar skip masthead topbar gdpr overlay disclaimer".split()
+    "pagination pager toolbar skip masthead topbar gdpr overlay disclaimer response responses discussion discussions".split()
 )
 STEMS = ("advert", "breadcrumb", "comment", "cookie", "newsletter", "promo", "sidebar", "sponsor")
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
@@ -65,6 +69,8 @@ CLOSE = 4.0  # clusters whose means differ by less are one
 PROSE = 40  # characters outside links that make a line content
 MOST, NEARLY_ALL = 0.5, 0.95  # of the content; a named element that holds so much is not left out
 _WORDS = re.compile(r"[^a-z0-9]+")
+_MARKUP = re.compile(r"<[a-zA-Z/!?]")
+_RIGHTS = re.compile(r"\s*(©|\(c\)|copyright\b)|.*\ball rights reserved\b", re.I | re.S)
 
 
 class _Lines(HTMLParser):
@@ -80,6 +86,34 @@ class _Lines(HTMLParser):
         self.linked: list[bool] = []  # of each piece of text
         self.tags = 0
         self.at = 0
+        self.broken_off = self.unmarked = False
+
+    def read(self, html: str) -> None:
+        """The whole page. What follows the last ``>`` is text, up to a tag that is not finished."""
+        last = html.rfind(">") + 1
+        self.feed(html[:last])
+        self.close()
+        begun = _MARKUP.search(html, last)
+        text = html[last : begun.start() if begun else len(html)]
+        if text and not self.cdata_elem and not self.broken_off:
+            self.handle_data(unescape(text))
+        self.end_line()
+
+    def parse_comment(self, i, report=True):
+        end = super().parse_comment(i, report)
+        if end < 0:  # the rest of the page is the comment
+            self.broken_off = True
+            end = len(self.rawdata)
+        return end
+
+    def parse_marked_section(self, i, report=1):
+        if self.rawdata.startswith("<![CDATA[", i) and not self.unmarked:
+            end = self.rawdata.find("]]>", i)
+            if end >= 0:
+                return end + 3
+            self.unmarked = True  # nor will one be found later
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else len(self.rawdata)
 
     def end_line(self) -> None:
         text = " ".join("".join(self.text).split())
@@ -279,24 +313,25 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     parser = _Lines()
-    parser.feed(html)
-    parser.close()
-    parser.end_line()
+    parser.read(html)
     if not parser.lines:
         return ""
-    lines, element, content = parser.lines, np.array([at for _, _, at in parser.lines]), _content(parser.lines, parser.unlinked)
+    lines, element, unlinked = parser.lines, np.array([at for _, _, at in parser.lines]), parser.unlinked
+    content = _content(lines, unlinked)
     if parser.named:
         sizes = np.array([len(text) for text, _, _ in lines], float)
         stay = np.flatnonzero(~parser.left_out(element, sizes * content)[element])
         if not len(stay):
             return ""
-        lines, element = [lines[i] for i in stay], element[stay]
-        content = _content(lines, [parser.unlinked[i] for i in stay])
+        lines, element, unlinked = [lines[i] for i in stay], element[stay], [unlinked[i] for i in stay]
+        content = _content(lines, unlinked)
     region = _region(parser, element[content])
     inside = np.zeros(len(parser.kinds), bool)
     for number, parent in enumerate(parser.parents):
         inside[number] = number == region or parent >= 0 and inside[parent]
     chosen = inside[element]
+    if not _in_article(parser, region):
+        _trim(chosen, content, lines, unlinked, parser, element)
     heading = np.array([parser.kinds[at] == "h1" for at in element])
     if chosen.any() and not (chosen & heading).any():  # the headline stands before its text
         before = np.flatnonzero(heading[: chosen.argmax()])
@@ -304,6 +339,30 @@ def main_text(html: str | None) -> str:
     return " ".join(text for (text, _, _), here in zip(lines, chosen) if here)
 
 
+def _in_article(parser: _Lines, number: int) -> bool:
+    while number >= 0:
+        if parser.kinds[number] in ("article", "main"):
+            return True
+        number = parser.parents[number]
+    return False
+
+
+def _trim(chosen: np.ndarray, content: np.ndarray, lines: list, unlinked: list, parser: _Lines, element: np.ndarray) -> None:
+    """Take away lines at either end that are links alone, and copyright lines at the end."""
+    at = np.flatnonzero(chosen)
+    if not any(unlinked[i] for i in at):
+        return  # nothing but links, which are then the text
+    own = [not _in_article(parser, element[i]) for i in at]
+    link = [mine and unlinked[i] == 0 and not content[i] for mine, i in zip(own, at)]
+    first, last = 0, len(at)
+    while first < last and link[first]:
+        first += 1
+    while last > first and (link[last - 1] or own[last - 1] and _RIGHTS.match(lines[at[last - 1]][0])):
+        last -= 1
+    if first < last:
+        chosen[at[:first]] = chosen[at[last:]] = False
+
+
 def _region(parser: _Lines, content: np.ndarray) -> int:
     """The innermost region that holds these elements, widened to the article around it."""
     held = np.bincount(content, minlength=len(parser.kinds))

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
 import random
+import time
 import zlib
+from collections import Counter
 
 import pytest
 
-from mailsift.llm import toxicity
+from mailsift.llm import queries as catalog
+from mailsift.llm import html_extract, toxicity
 from mailsift.llm.html_extract import extract, main_text
 from tests.llm.helpers import clashing, docs
 
@@ -56,6 +60,60 @@ def test_words_of_all_labelled_rows_count(spark, labelled, monkeypatch):
     assert len(few.vocabulary) > 3 and few.vocabulary == whole.vocabulary and few.lexicon == whole.lexicon
 
 
+def test_repeated_rows_and_labels_without_documents_change_nothing(spark, labelled):
+    rows, labels = labelled
+    marks = spark.createDataFrame(labels + [(i, 1, i % 2) for i in range(5000, 9000)], LABELS)
+    once = toxicity.fit(docs(spark, rows), spark.createDataFrame(labels, LABELS))
+    want = {r.doc_id: r.predicted for r in toxicity.score(docs(spark, rows), marks).collect()}
+    for times in (2, 3):
+        df = docs(spark, rows * times).repartition(7)
+        model = toxicity.fit(df, marks)
+        assert model.vocabulary == once.vocabulary and model.lexicon == once.lexicon
+        got = toxicity.score(df, marks).collect()
+        assert len(got) == times * len(rows) and all(r.predicted == want[r.doc_id] for r in got)
+    held = [i for i, _, t in labels if t and zlib.crc32(str(i).encode()) % 5 == 0]
+    assert sum(want[i] for i in held) >= 0.9 * len(held) > 5
+    # One document a third of all rows.
+    many = docs(spark, rows + [rows[0]] * 300)
+    assert toxicity.fit(many, marks).vocabulary == once.vocabulary
+
+
+def test_features_are_counted_as_by_hand(spark, labelled):
+    rows, labels = labelled
+    truth = {i: t for i, _, t in labels if zlib.crc32(str(i).encode()) % 5}
+    n, counts = [sum(t == k for t in truth.values()) for k in (0, 1)], {}
+    for i, text in rows:
+        if i in truth:
+            for feature in toxicity._present(Counter(text.lower().split())):
+                counts.setdefault(feature, [0, 0])[truth[i]] += 1
+
+    def part(seen, of, rate):
+        missing = (of - seen) * math.log((of - seen + 0.5) / (of * (1 - rate) + 0.5))
+        return seen * math.log((seen + 0.5) / (of * rate + 0.5)) + missing
+
+    kept = {f: c for f, c in counts.items() if sum(c) >= toxicity.SUPPORT}
+    ratios = {f: sum(part(c[k], n[k], sum(c) / sum(n)) for k in (0, 1)) for f, c in kept.items()}
+    best = sorted((f for f in ratios if ratios[f] > math.log(len(kept))), key=lambda f: (-round(ratios[f], 6), f))
+    model = toxicity.fit(docs(spark, rows), spark.createDataFrame(labels, LABELS))
+    assert list(model.vocabulary) == best[: toxicity.VOCABULARY] and len(best) > 20
+
+
+def test_many_labels_go_by_a_join(spark, labelled, monkeypatch):
+    rows, labels = labelled
+    marks = spark.createDataFrame(labels, LABELS)
+    want = {r.doc_id: (r.score, r.predicted) for r in toxicity.score(docs(spark, rows), marks).collect()}
+    monkeypatch.setattr(toxicity, "KNOWN_ROWS", 10)
+    got = {r.doc_id: (r.score, r.predicted) for r in toxicity.score(docs(spark, rows), marks).collect()}
+    assert {i: p for i, (_, p) in got.items()} == {i: p for i, (_, p) in want.items()}
+    assert all(abs(got[i][0] - want[i][0]) < 1e-6 for i in want)
+
+
+def test_query_scores_every_row(spark):
+    found = catalog.op7_toxicity(spark, "/root/testdata/sf0.001").collect()
+    ids = [r.doc_id for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id").collect()]
+    assert sorted(r.doc_id for r in found) == sorted(ids) and {r.predicted for r in found} <= {0, 1}
+
+
 def test_without_labels_nothing_is_toxic(spark):
     df = clashing(docs(spark, [(1, "a b"), (2, None)]))
     none = spark.createDataFrame([], LABELS)
@@ -144,3 +202,81 @@ def test_names_on_all_parts_leave_the_text_in():
     # More comments than text are still comments.
     page = f'<div class="no-sidebar"><h1>A title</h1>{_paragraphs(300)}<div id=comments>{_paragraphs(500, 500, 500)}</div></div>'
     assert main_text(f"<body>{page}</body>") == main_text(f"<body><h1>A title</h1>{_paragraphs(300)}</body>")
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        ("a<![ b", "a"), ("<![>x", "x"), ("<p>q<![1]>z", "qz"), ("<![foo[ x> y", "y"), ("<![CDATA[ a > b ]]>c", "c"),
+        ("<![CDATA[ a > b", "b"), ("<p>a<!-- b", "a"), ("<p>a<!-- b --", "a"), ("x <a href='q", "x"), ("a < b", "a < b"), ("</a", ""),
+        ("<!doctype html", ""), ("5 &lt 6 &amp", "5 < 6 &"), ("<p>a</p>text<b", "a text"), ("<script>x<y", ""), ("x<?php a ?>y", "xy"),
+        ("<p>a<!-->b<p>c", "a"), ("<p>a<!-- x --><p>b", "a b"),
+    ],
+)
+def test_broken_markup(html, want):
+    assert main_text(html) == want
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<!-- ", "<![CDATA[ ", "<![ ", "</a ", "<a '", "<? ", "&", "<b>", "<p><b>", "</i>", "<div class=ad>", "<"])
+@pytest.mark.parametrize("end", ["", ">"])
+def test_time_grows_with_the_page(unit, end):
+    def taken(n):
+        began = time.perf_counter()
+        main_text(unit * n + end)
+        return time.perf_counter() - began
+
+    taken(100)
+    assert min(taken(40_000) for _ in range(2)) < 40 * max(min(taken(4_000) for _ in range(2)), 0.02)
+
+
+def test_menu_footer_and_comments_without_plain_names():
+    menu = "<div><ul>" + "<li><a href=/x>Some link</a></li>" * 6 + "</ul></div>"
+    footer = "<div><p>© 2024 The people who made this, all of them. All rights reserved.</p><a href=/i>Imprint</a></div>"
+    want = main_text(f"<body><div>{_paragraphs(400, 90, 300)}</div></body>")
+    assert main_text(f"<body>{menu}<div>{_paragraphs(400, 90, 300)}</div>{footer}</body>") == want
+    for name in ("responses", "discussion"):
+        said = f'<div class="{name}">{_paragraphs(80, 70)}</div>'
+        assert main_text(f"<body><article>{_paragraphs(400, 90, 300)}{said}</article></body>") == want
+        assert main_text(f"<body>{menu}<div>{_paragraphs(400, 90, 300)}</div>{said}{footer}</body>") == want
+    # Links between paragraphs belong to the text; a page of links alone is one.
+    inner = f"{_paragraphs(300)}<p><a href=/x>a link</a></p>{_paragraphs(300)}"
+    assert "a link" in main_text(f"<body><div>{inner}</div></body>")
+    assert main_text(menu) == " ".join(["Some link"] * 6)
+
+
+def test_ratio_smoothing_and_threshold_as_by_hand():
+    rng = random.Random(4)
+    for _ in range(200):
+        lines = [("x" * rng.choice([3, 8, 30, 200, 500]), rng.randint(0, 9), 0) for _ in range(rng.randint(1, 12))]
+        unlinked = [rng.choice([0, len(text)]) for text, _, _ in lines]
+        ratios = [len(text) / max(tags, 1) for text, tags, _ in lines]
+        smooth = []
+        for i in range(len(ratios)):
+            near = [(math.exp(-0.5 * (i - j) ** 2), ratios[j]) for j in range(len(ratios)) if abs(i - j) <= 2]
+            smooth.append(sum(w * r for w, r in near) / sum(w for w, _ in near))
+        # Two means, from the mean of all.
+        border = sum(smooth) / len(smooth)
+        for _ in range(50):
+            low, high = [v for v in smooth if v < border], [v for v in smooth if v >= border]
+            if not low or not high or border == (sum(low) / len(low) + sum(high) / len(high)) / 2:
+                break
+            border = (sum(low) / len(low) + sum(high) / len(high)) / 2
+        low, high = [v for v in smooth if v < border - 1e-9], [v for v in smooth if v >= border - 1e-9]
+        if not low or sum(high) / len(high) < html_extract.CLOSE * sum(low) / len(low):
+            border = min(smooth)
+        want = [
+            s >= border - 1e-9 and (free > 0 or r >= border - 1e-9) or free >= html_extract.PROSE
+            for s, r, free in zip(smooth, ratios, unlinked)
+        ]
+        got = html_extract._content(lines, unlinked)
+        assert got.tolist() == (want if any(want) else [True] * len(want))
+
+
+def test_query_gives_the_main_text_of_every_page(spark):
+    folder = "/root/testdata/sf0.001"
+    found = {r.page_id: r for r in catalog.op10_html(spark, folder).collect()}
+    pages = spark.read.parquet(f"{folder}/pages.parquet").collect()
+    assert len(found) == len(pages) > 20
+    for page in pages:
+        text = main_text(page.html)
+        assert tuple(found[page.page_id]) == (page.page_id, page.url, text, len(text))
