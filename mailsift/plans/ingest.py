@@ -148,6 +148,7 @@ class _Run:
         self.spark, self.mode, self.options = spark, mode, options
         self.ledger = Ledger(spark, output_root)
         self.named, self.run_id = run_id is not None, run_id or str(uuid.uuid4())
+        self.base = self.ledger.commits.last()  # commits that the ledgers read in this run hold
         self.work = new_work_dir(spark, f"{self.ledger.root}/_work")
         self.limits = _limits(options, self.work)
         self.found = Found(spark, f"{self.work}/found")
@@ -384,6 +385,42 @@ class _Run:
             ),
         )
 
+    def commit(self, started, counts: dict) -> None:
+        """Complete the run. Runs that were completed while this one was at work come first: what
+        they hold too is taken out of this run before it tries for the next number."""
+        ledger = self.ledger
+        while True:
+            last = ledger.commits.last()
+            if last > self.base:
+                counts = self._give_way(ledger.committed_after(self.base), counts)
+                self.base = last
+            if ledger.complete_run(self.run_id, self.mode, started, counts, last + 1):
+                return
+
+    def _give_way(self, others: list[str], counts: dict) -> dict:
+        others = [run_id for run_id in others if run_id != self.run_id]
+        if not others:
+            return counts
+        mails = self._take_out(others, "processed", ["uid"], ["emails", "attachments", "manifest", "processed"])
+        if mails and self.options.write_json:
+            self._write_json("manifest")
+        self._take_out(others, "discovered", SOURCE_KEY, ["discovered"])
+        return counts | {
+            "processed": counts["processed"] - mails, "deduplicated": counts["deduplicated"] + mails
+        }
+
+    def _take_out(self, others: list[str], table: str, key: list[str], tables: list[str]) -> int:
+        """Rows of this run whose keys another run holds, out of the given tables; returns how many keys."""
+        ledger, run_id = self.ledger, self.run_id
+        theirs = ledger.read(table).where(F.col("run_id").isin(others)).select(*key)
+        name = f"taken-{table}-{uuid.uuid4().hex}"
+        taken = self.staged(ledger.read_own(table, run_id).select(*key).join(theirs, key, "left_semi"), name)
+        count = taken.count()
+        for other in tables if count else ():
+            rest = self.staged(ledger.read_own(other, run_id).join(taken, key, "left_anti"), f"{name}-{other}")
+            ledger.write(other, run_id, rest)
+        return count
+
     def _write_json(self, table: str) -> None:
         rows = self.ledger.read_own(table, self.run_id)
         json_lines(rows).write.mode("overwrite").text(
@@ -436,12 +473,11 @@ def _ingest(run: _Run, open_sources) -> DataFrame:
     started = run.ledger.start_run(run.run_id, run.mode)
     try:
         open_sources(run)
-        counts = run.finish()
+        run.commit(started, run.finish())
     except Exception:
         run.ledger.fail_run(run.run_id, run.mode, started)
         raise
     else:
-        run.ledger.complete_run(run.run_id, run.mode, started, counts)
         if run.snapshot is not None:
             run.ledger.drop_snapshots(keep=2)
     finally:

@@ -1,12 +1,14 @@
-"""State between runs: Parquet tables, one folder per run, one commit row.
+"""State between runs: Parquet tables, one folder per run, one commit file.
 
-Every table is written under ``run_id=...``. A run counts once its completed
-event is in the run log; until then nobody sees its rows, and a rerun under the
-same id overwrites them.
+Every table is written under ``run_id=...``. A run counts once its commit file is
+there; until then nobody sees its rows, and a rerun under the
+same id overwrites them. ``compact`` puts the rows of many runs into a few files, sorted by key;
+readers take these for the runs they stand for and the folders of later runs beside them.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import UTC, datetime
 
 from pyspark.errors import AnalysisException
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mailsift import schemas
+from mailsift.plans.commits import COMPACT, RUN, Commits
 from mailsift.sources import storage
 
 RUNNING, COMPLETED, FAILED = "running", "completed", "failed"
@@ -31,6 +34,10 @@ TABLES: dict[str, tuple[str, T.StructType, tuple[str, ...]]] = {
 }
 
 
+# Tables that a compaction rewrites, and the key it sorts each by. Tables with bytes stay as they are.
+COMPACTED = {"discovered": "content_hash", "processed": "content_hash", "skipped": "path", "manifest": "uid"}
+
+
 def latest_state(events: DataFrame, order: Column | str = "event_no") -> DataFrame:
     """Current row of every run: its latest event."""
     fields = [c for c in events.columns if c != "run_id"]
@@ -66,6 +73,7 @@ def committed_only(rows: DataFrame, runs: DataFrame) -> DataFrame:
 class Ledger:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self.commits = Commits(spark, self.root)
 
     def path(self, table: str) -> str:
         return f"{self.root}/{TABLES[table][0]}"
@@ -81,15 +89,32 @@ class Ledger:
     # -- run log -----------------------------------------------------------
 
     def run_events(self) -> DataFrame:
-        return self._read(f"{self.root}/ledger/runs", schemas.RUN_EVENTS)
+        """Starts and failures, and completions with the number of their commit."""
+        try:
+            reader = self.spark.read.schema(schemas.RUN_EVENTS).option("recursiveFileLookup", "true")
+            logged = reader.parquet(f"{self.root}/ledger/runs")
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
+                raise
+            logged = self.spark.createDataFrame([], schemas.RUN_EVENTS)
+        events = logged.withColumn("commit_no", F.lit(None).cast("long"))
+        committed = self.commits.all().where(F.col("kind") == RUN)
+        events = events.unionByName(committed.select(*events.columns))
+        _, place = self.commits.compaction()
+        if place:
+            events = events.unionByName(self.spark.read.schema(events.schema).parquet(f"{place}/runs"))
+        return events
+
+    def _states(self) -> DataFrame:
+        return latest_state(self.run_events(), _last_try())
 
     def runs(self) -> DataFrame:
-        return latest_state(self.run_events(), _last_try()).drop("event_no")
+        return self._states().drop("event_no", "commit_no")
 
     def _log(self, **event) -> None:
         row = [F.lit(event.get(f.name)).cast(f.dataType).alias(f.name) for f in schemas.RUN_EVENTS]
         self.spark.range(0, 1, 1, 1).select(*row).write.mode("append").parquet(
-            f"{self.root}/ledger/runs"
+            f"{self.root}/ledger/runs/{event['run_id']}"
         )
 
     def start_run(self, run_id: str, mode: str) -> datetime:
@@ -107,9 +132,12 @@ class Ledger:
         )
         return started
 
-    def complete_run(self, run_id: str, mode: str, started: datetime, counts: dict) -> None:
-        """The commit: one row, after everything else is written."""
-        self._log(
+    def complete_run(self, run_id: str, mode: str, started: datetime, counts: dict, number: int | None = None) -> bool:
+        """The commit, after everything else is written; false if the number is another commit's.
+
+        Without a number the next free one is taken.
+        """
+        entry = dict(
             run_id=run_id,
             mode=mode,
             started_at=started,
@@ -121,6 +149,16 @@ class Ledger:
             files_deduplicated=counts["deduplicated"],
             event_no=1,
         )
+        if number is not None:
+            return self.commits.take(number, RUN, entry)
+        while not self.commits.take(self.commits.last() + 1, RUN, entry):
+            pass
+        return True
+
+    def committed_after(self, number: int) -> list[str]:
+        """Runs whose commits have a higher number: those that ended while another run was at work."""
+        found = self.commits.all().where((F.col("kind") == RUN) & (F.col("commit_no") > number))
+        return [row.run_id for row in found.select("run_id").collect()]
 
     def fail_run(self, run_id: str, mode: str, started: datetime) -> None:
         self._log(run_id=run_id, mode=mode, started_at=started, status=FAILED, event_no=1)
@@ -135,10 +173,54 @@ class Ledger:
 
     def read(self, table: str, run_id: str | None = None) -> DataFrame:
         """Committed rows of a table, of all runs or of one."""
-        rows = self._read(self.path(table), TABLES[table][1])
+        schema = TABLES[table][1]
+        upto, place = self.commits.compaction() if table in COMPACTED else (-1, None)
+        rows = self._read(self.path(table), schema)
+        compacted = self.spark.read.schema(schema).parquet(f"{place}/{table}") if place else None
         if run_id is not None:
             rows = rows.filter(F.col("run_id") == run_id)
-        return committed_only(rows, self.runs())
+            compacted = compacted and compacted.filter(F.col("run_id") == run_id)
+        rows = committed_only(rows, self._states().where(F.col("commit_no") > upto))
+        return rows.unionByName(compacted) if compacted else rows
+
+    def compact(self, files: int | None = None) -> bool:
+        """Rewrite the ledgers of all runs committed so far into a few files each, sorted by key.
+
+        Nobody sees the new files before their commit, and everybody after it; a compaction that
+        breaks off leaves files that nobody reads. False if another commit came first:
+        the compaction stands for less than all and is not made.
+        """
+        upto = self.commits.last()
+        place = f"{self.root}/ledger/compacted/{uuid.uuid4().hex}"
+        for table, key in COMPACTED.items():
+            rows = self.read(table)
+            spread = rows.repartitionByRange(files, key, "run_id") if files else rows.repartitionByRange(key, "run_id")
+            spread.sortWithinPartitions(key, "run_id").write.parquet(f"{place}/{table}")
+        done = self._states().where(F.col("status") == COMPLETED)
+        done.select(*schemas.RUN_EVENTS.names, "commit_no").repartition(1).write.parquet(f"{place}/runs")
+        done = self.commits.take(upto + 1, COMPACT, {"upto": upto, "place": place})
+        if not done:
+            storage.remove_tree(place)
+        return done
+
+    def vacuum(self) -> None:
+        """Remove what the last compaction stands for. Only while no reader is at work that began before it."""
+        upto, place = self.commits.compaction()
+        if place is None:
+            return
+        covered = self.spark.read.schema(schemas.RUN_EVENTS).parquet(f"{place}/runs").select("run_id")
+        run_ids = {row.run_id for row in covered.collect()}
+        for table in COMPACTED:
+            for entry in list(storage.list_dir(self.path(table))):
+                if entry.name.removeprefix("run_id=") in run_ids:
+                    storage.remove_tree(f"{self.path(table)}/{entry.name}")
+        for run_id in run_ids:  # their starts, and failures of earlier tries
+            storage.remove_tree(f"{self.root}/ledger/runs/{run_id}")
+        # Earlier compactions; a folder without a commit may be one at work, so it stays.
+        before = self.commits.all().where((F.col("kind") == COMPACT) & (F.col("place") != place)).select("place")
+        for row in before.collect():
+            storage.remove_tree(row.place)
+        self.commits.remove(upto)
 
     def write(self, table: str, run_id: str, rows: DataFrame) -> None:
         """Write a run's rows of a table, in place of an earlier try's."""

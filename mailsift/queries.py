@@ -1090,3 +1090,76 @@ def stream_new_checkpoint(spark, folder):
         ingest_stream(watch_bucket(spark, root), out, f"{out}/checkpoint-{turn}").awaitTermination()
         export.write_files(mails.where(~even), root).write.format("noop").mode("overwrite").save()
     return Ledger(spark, out).processed().select("uid")
+
+
+def _number_is(rest: int, of: int):
+    return F.expr(f"CAST(split(source_file, '[.]')[0] AS BIGINT) % {of} = {rest}")
+
+
+def _renamed(mails: DataFrame, prefix: str, suffix: str = ".eml") -> DataFrame:
+    """The files under other names in the same folders."""
+    name = F.concat(F.lit(prefix), F.split("source_file", "[.]")[0], F.lit(suffix))
+    return mails.withColumn("source_file", name).withColumn(
+        "path", F.concat("namespace", F.lit("/timestamp="), "date_partition", F.lit("/"), "source_file")
+    )
+
+
+def _dropped(mails: DataFrame, root: str) -> None:
+    export.write_files(mails, root).write.format("noop").mode("overwrite").save()
+
+
+@query(f"""
+WITH {MAILS},
+named AS (SELECT *, namespace || '/timestamp=' || date_partition || '/' AS folder FROM mails)
+SELECT folder || doc_id || '.eml' AS path, uid AS content_hash, CAST(strlen(content) AS BIGINT) AS size_bytes
+FROM named WHERE doc_id % 2 = 0
+UNION ALL SELECT folder || '_' || doc_id || '.eml', uid, strlen(content) FROM named WHERE doc_id % 4 = 1
+UNION ALL SELECT folder || 'empty-' || doc_id || '.mbox', sha256(''), 0 FROM named WHERE doc_id % 4 = 3
+UNION ALL SELECT folder || doc_id || '.eml', sha256(content || ' again'), strlen(content) + 6 FROM named WHERE doc_id % 10 = 0""")
+def stream_three_drops(spark, folder):
+    """A stream gets mails, then files with an underscore and empty ones alone, then replaced ones"""
+    mails = corpus.document_mails(spark, folder, wide_table)
+    root, out = _as_bucket(spark, mails.where(_number_is(0, 2))), session.new_work_dir(spark)
+    nothing = _renamed(mails.where(_number_is(3, 4)), "empty-", ".mbox").withColumn("content", F.lit("").cast("binary"))
+    later = [_renamed(mails.where(_number_is(1, 4)), "_").unionByName(nothing), _replaced(mails)]
+    for drop in (None, *later):
+        if drop is not None:
+            _dropped(drop, root)
+        ingest_stream(watch_bucket(spark, root), out, f"{out}/checkpoint").awaitTermination()
+    return Ledger(spark, out).discovered().select("path", "content_hash", "size_bytes")
+
+
+@query(f"""
+WITH {MAILS},
+named AS (SELECT *, namespace || '/timestamp=' || date_partition || '/' AS folder FROM mails)
+SELECT folder || doc_id || '.eml' AS path, uid AS content_hash FROM named WHERE doc_id % 2 = 1
+UNION ALL SELECT folder || doc_id || '.eml', sha256(content || ' again') FROM named WHERE doc_id % 10 = 0
+UNION ALL SELECT folder || 'copy-' || doc_id || '.eml', uid FROM named WHERE doc_id % 10 = 4""")
+def ingest_bucket_by_stat(spark, folder):
+    """What a run by stat finds among new, replaced, touched and copied files"""
+    mails = corpus.document_mails(spark, folder, wide_table)
+    root, out = _as_bucket(spark, mails.where(_number_is(0, 2))), session.new_work_dir(spark)
+    by_stat = Options(by_stat=True, settle_seconds=0)
+    ingest(spark, root, out, "backfill", run_id="first", options=by_stat)
+    touched = mails.where(_number_is(2, 10))
+    copied = _renamed(mails.where(_number_is(4, 10)), "copy-")
+    _dropped(mails.where(_number_is(1, 2)).unionByName(_replaced(mails)).unionByName(touched).unionByName(copied), root)
+    ingest(spark, root, out, "incremental", run_id="second", options=by_stat)
+    return Ledger(spark, out).read("discovered", "second").select("path", "content_hash")
+
+
+@query(f"""
+WITH {MAILS}
+SELECT uid, CAST(min(doc_id % 4) AS INTEGER) AS run FROM mails GROUP BY uid""")
+def ledger_compacted(spark, folder):
+    """K5 - K8, A5: rows of four runs, two of them compacted and cleared away, read as one ledger"""
+    out = session.new_work_dir(spark)
+    mails = corpus.document_mails(spark, folder, wide_table)
+    ledger = Ledger(spark, out)
+    for number in range(4):
+        ingest_frame(mails.where(_number_is(number, 4)), out, "incremental", run_id=str(number))
+        if number in (1, 2):
+            ledger.compact()
+        if number == 2:
+            ledger.vacuum()
+    return ledger.processed().select("uid", F.col("run_id").cast("int").alias("run"))

@@ -121,3 +121,9 @@ RUN_EVENTS = _struct(
     files_deduplicated=_L,
     event_no=T.IntegerType(),
 )
+
+# One file each; a run's carries its row of the run log, a compaction's what it stands for.
+COMMIT = T.StructType(
+    [T.StructField("kind", _S), *RUN_EVENTS.fields, T.StructField("upto", _L), T.StructField("place", _S)]
+)
+COMMIT_NO = T.StructField("commit_no", _L)
