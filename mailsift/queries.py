@@ -1163,3 +1163,58 @@ def ledger_compacted(spark, folder):
         if number == 2:
             ledger.vacuum()
     return ledger.processed().select("uid", F.col("run_id").cast("int").alias("run"))
+
+
+# -- a bucket that holds everything ----------------------------------------
+
+
+def _all_kinds(spark: SparkSession, folder: str) -> DataFrame:
+    """Mails and unread files, mailboxes, and archives in archives with a mailbox and a page."""
+    mails = corpus.document_mails(spark, folder, wide_table)
+    boxes = corpus.document_mailboxes(spark, folder).select(*mails.columns)
+    odd = _odd_files(spark, folder).where(~F.endswith("source_file", F.lit(".eml")))
+    return mails.unionByName(boxes).unionByName(odd).unionByName(_nested_files(spark, folder))
+
+
+_ALL_KINDS = f"""{MAILS}, {_ODD},
+leaves AS (
+  SELECT namespace, date_partition, source_file, [0] AS place, '' AS chain, 'eml' AS format, uid FROM mails
+  UNION ALL
+  SELECT source, {_DAY.format(id='doc_id')}, CAST(doc_id AS VARCHAR) || '.mbox', [place], entry_name, 'eml', uid
+  FROM (WITH {lines_cte('documents', _DOC)} SELECT * FROM messages)
+  UNION ALL
+  SELECT 'chat', {_DAY.format(id='conv_id')}, ident || '.zip', [0, 0, place],
+         'inner.zip/' || ident || '.mbox/' || entry_name, 'eml', uid
+  FROM (WITH {lines_cte('conversations', _TURN)} SELECT * FROM messages)
+  UNION ALL
+  SELECT 'chat', {_DAY.format(id='conv_id')}, {_TURN} || '.zip', [1], 'cover.htm', 'html', sha256({_TURN})
+  FROM conversations),
+winners AS (
+  SELECT * FROM (SELECT *, row_number() OVER (
+    PARTITION BY uid ORDER BY namespace, date_partition, source_file, place) AS rn FROM leaves) AS r WHERE rn = 1)"""
+
+
+@query(f"""
+WITH {_ALL_KINDS}
+SELECT uid, namespace, date_partition, source_file, chain, format FROM winners""")
+def ingest_all_kinds(spark, folder):
+    """A whole run over a bucket of mails, mailboxes, nested archives and unread files"""
+    root, out = _as_bucket(spark, _all_kinds(spark, folder)), session.new_work_dir(spark)
+    ingest(spark, root, out, "backfill")
+    return _flat_manifest(Ledger(spark, out)).drop("original_filename", "output_path")
+
+
+@query(f"""
+WITH {_ALL_KINDS},
+n AS (
+  SELECT (SELECT 2 * count(*) FROM documents) + (SELECT count(*) FROM odd) + (SELECT count(*) FROM conversations) AS discovered,
+         (SELECT count(*) FROM leaves) AS leaves, (SELECT count(*) FROM winners) AS processed,
+         (SELECT count(*) FROM odd) AS skipped)
+SELECT CAST(discovered AS BIGINT) AS discovered, processed, skipped, leaves - processed AS deduplicated FROM n""")
+def ingest_all_counters(spark, folder):
+    """The counters of such a run, with containers above 256 bytes read in parts"""
+    root, out = _as_bucket(spark, _all_kinds(spark, folder)), session.new_work_dir(spark)
+    run = ingest(spark, root, out, "backfill", options=Options(inline_bytes=256))
+    return run.select(*[
+        F.col(f"files_{name}").alias(name) for name in ("discovered", "processed", "skipped", "deduplicated")
+    ])
