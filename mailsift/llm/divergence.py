@@ -30,30 +30,34 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from mailsift import session
-from mailsift.llm.common import Work, steps, text_bytes
+from mailsift.llm.common import Work, flat_text, steps, text_bytes
 
 SUPPORT = 10  # documents of a lang that a kept term is in
 TOP = 10
 SCALE = 1_000_000_000
-FLUSH = 1_000_000  # records a task holds before it hands them on
+FLUSH = 2_500_000  # records a task holds before it hands them on
 SPAN = 20_000  # rows of a sorted partition that a task looks at together
 TILE = 256  # sources along a side of a tile
 TILES = 64  # tiles a task holds before it hands them on
+CELLS = 1 << 18  # cells of the terms and pairs that are added up at a time
 # Terms are what is left between ASCII characters other than letters; only A-Z are lower-cased.
-_LETTERS = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))
+_LETTERS = bytes(b if b >= 0x80 or chr(b).isalpha() or b == 0x0A else 0x20 for b in range(256))
 # Occurrences in one document; or, without a document, in as many as were asked for or more.
 _RECORD = np.dtype([("row", "<i8"), ("place", "<i4"), ("occurrences", "<i8")])
 _MANY = -1
 
 
-def terms_of(chunk: bytes) -> Counter:
-    """The terms of a piece of text, and how often each stands in it."""
-    return Counter(chunk.lower().translate(_LETTERS).split())
+def terms_of(chunks: list[bytes]) -> list[list[bytes]]:
+    """The terms of every chunk; chunks hold no white space."""
+    if not chunks:
+        return []
+    return [line.split() for line in b"\n".join(chunks).lower().translate(_LETTERS).split(b"\n")]
 
 
 def _offsets(lengths: np.ndarray, kind) -> np.ndarray:
@@ -147,82 +151,88 @@ def _count_chunks(support: int, flush: int):
     return run
 
 
-def _spans(batches: Iterator[pa.RecordBatch], name: str, size: int) -> Iterator[tuple[list, list, list]]:
-    """Rows (lang_no, ``name``, records) of a sorted partition, about ``size`` at a time; a name's rows stay together."""
-    langs, names, records, held = [], [], [], 0
+def _spans(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Rows (lang_no, name, records) of a sorted partition, about ``size`` at a time; a name's rows stay together."""
+    held: list[pa.RecordBatch] = []
+    rows = used = 0
     for batch in batches:
-        langs += batch.column("lang_no").to_pylist()
-        names += batch.column(name).cast(pa.binary()).to_pylist()
-        found = batch.column("records").to_pylist()
-        records += found
-        held += sum(map(len, found))
-        if len(names) >= size or held >= 16 << 20:
-            cut = len(names)
-            while cut and names[cut - 1] == names[-1]:
-                cut -= 1
+        held.append(batch)
+        rows, used = rows + batch.num_rows, used + batch.nbytes
+        if rows >= size or used >= 32 << 20:
+            names = batch.column(1)
+            # A name that fills the whole last batch may have begun before it.
+            same = pc.equal(names, names[len(names) - 1]).to_numpy(zero_copy_only=False)
+            cut = len(names) - int(same[::-1].argmin()) if not same.all() else 0
             if cut:
-                yield langs[:cut], names[:cut], records[:cut]
-                langs, names, records = langs[cut:], names[cut:], records[cut:]
-                held = sum(map(len, records))
-    if names:
-        yield langs, names, records
+                yield pa.concat_batches([*held[:-1], batch.slice(0, cut)])
+                held = [batch.slice(cut)]
+                rows, used = held[0].num_rows, held[0].nbytes
+    if held:
+        yield pa.concat_batches(held)
 
 
-def _owned(langs: list, names: list, records: list) -> tuple[list[int], np.ndarray, np.ndarray]:
+def _changes(column: pa.Array) -> np.ndarray:
+    """Where a value is not the one before it; true for the first."""
+    new = np.ones(len(column), bool)
+    new[1:] = pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+    return new
+
+
+def _owned(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First rows of the groups of equal (lang_no, name), and all records with their groups."""
-    first, group = [], np.zeros(len(names), np.int64)
-    for i, (lang, name) in enumerate(zip(langs, names)):
-        if not i or lang != langs[i - 1] or name != names[i - 1]:
-            first.append(i)
-        group[i] = len(first) - 1
-    lengths = np.array([len(r) for r in records], np.int64) // _RECORD.itemsize
-    return first, np.repeat(group, lengths), np.frombuffer(b"".join(records), _RECORD)
+    new = _changes(rows.column(0)) | _changes(rows.column(1))
+    flat, at = flat_text(rows.column(2))
+    lengths = np.diff(at) // _RECORD.itemsize
+    return np.flatnonzero(new), np.repeat(np.cumsum(new) - 1, lengths), np.frombuffer(flat.tobytes(), _RECORD)
 
 
 def _cut_chunks(support: int, span: int):
     """Rows by chunk to rows by term; each distinct chunk is cut once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for langs, chunks, packed in _spans(batches, "chunk", span):
-            first, owner, records = _owned(langs, chunks, packed)
+        for rows in _spans(batches, span):
+            first, owner, records = _owned(rows)
             owner, records = _shortened(owner, records, len(first), support)
-            at = _offsets(np.bincount(owner, minlength=len(first)), np.int64)
-            out, held, last, terms = ([], [], []), 0, None, Counter()
-            for group, i in enumerate(first):
-                if chunks[i] != last:
-                    last, terms = chunks[i], terms_of(chunks[i])
-                mine = records[at[group] : at[group + 1]]
-                for term, times in terms.items():
-                    if times > 1:
-                        mine = mine.copy()
-                        mine["occurrences"] = records["occurrences"][at[group] : at[group + 1]] * times
-                        data = mine.tobytes()
-                        mine = records[at[group] : at[group + 1]]
-                    else:
-                        data = mine.tobytes()
-                    for column, value in zip(out, (langs[i], term, data)):
-                        column.append(value)
-                    held += len(data)
-                if held > 8 << 20:
-                    yield _term_rows(out)
-                    out, held = ([], [], []), 0
-            if out[0]:
-                yield _term_rows(out)
+            lengths = np.bincount(owner, minlength=len(first))
+            chunks = rows.column(1).take(pa.array(first))
+            new = _changes(chunks)
+            cut = terms_of(chunks.filter(pa.array(new)).cast(pa.binary()).to_pylist())
+            of = (np.cumsum(new) - 1).tolist()  # of every group, its chunk among the distinct ones
+            groups, terms, often = [], [], []
+            for group, i in enumerate(of):
+                mine = cut[i]
+                if len(mine) == 1:
+                    groups.append(group)
+                    terms.append(mine[0])
+                elif mine:
+                    found = Counter(mine)
+                    groups += [group] * len(found)
+                    if len(found) < len(mine):
+                        often += [(len(terms) + k, n) for k, n in enumerate(found.values()) if n > 1]
+                    terms += found
+            if not terms:
+                continue
+            packed = _packed(records, lengths).take(pa.array(groups))
+            if often:
+                changed = dict(often)
+                values = packed.to_pylist()
+                for k, n in changed.items():
+                    more = np.frombuffer(values[k], _RECORD).copy()
+                    more["occurrences"] *= n
+                    values[k] = more.tobytes()
+                packed = pa.array(values, pa.binary())
+            langs = rows.column(0).take(pa.array(first[groups]))
+            yield pa.RecordBatch.from_arrays([langs, pa.array(terms, pa.binary()), packed], ["lang_no", "term", "records"])
 
     return run
 
 
-def _term_rows(out: tuple[list, list, list]) -> pa.RecordBatch:
-    kinds = (pa.int32(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], ["lang_no", "term", "records"])
-
-
 def _kept_terms(support: int, span: int):
     """Rows by term to one row per kept term: its sources and its occurrences in each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for langs, terms, packed in _spans(batches, "term", span):
-            first, owner, records = _owned(langs, terms, packed)
+        for rows in _spans(batches, span):
+            first, owner, records = _owned(rows)
             known = records["row"] != _MANY
             pairs = np.empty(int(known.sum()), [("owner", np.int64), ("row", np.int64)])
             pairs["owner"], pairs["row"] = owner[known], records["row"][known]
@@ -238,10 +248,9 @@ def _kept_terms(support: int, span: int):
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(records[c])))
                 for c in ("place", "occurrences")
             ]
-            chosen = [i for i, yes in zip(first, kept) if yes]
+            chosen = pa.array(first[kept])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([langs[i] for i in chosen], pa.int32()), pa.array([terms[i] for i in chosen], pa.binary()), *lists],
-                ["lang_no", "term", "places", "counts"],
+                [rows.column(0).take(chosen), rows.column(1).take(chosen), *lists], ["lang_no", "term", "places", "counts"]
             )
 
     return run
@@ -276,25 +285,47 @@ def _tile_sums(side: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple, np.ndarray] = {}
         for batch in batches:
-            for lang, found in zip(batch.column("lang_no").to_pylist(), batch.column("found")):
-                place, p, p0 = (found.values.field(k).to_numpy() for k in range(3))
-                order = np.argsort(place)
-                place, p, p0 = place[order], p[order], p0[order]
-                blocks = np.unique(place // side)
-                spans = [slice(*np.searchsorted(place, [b * side, (b + 1) * side])) for b in blocks]
-                for x, (a, mine) in enumerate(zip(blocks, spans)):
-                    for b, other in zip(blocks[x:], spans[x:]):
-                        pa_, qa, pb, qb = p[mine, None], p0[mine, None], p[None, other], p0[None, other]
-                        more = f(pa_, pb) - f(pa_, qb) - f(qa, pb) + f(qa, qb)
-                        if (lang, a, b) not in sums:
-                            if len(sums) >= most:
-                                yield from out(sums)
-                                sums.clear()
-                            sums[lang, a, b] = np.zeros((side, side), np.int64)
-                        more = np.triu(more, 1) if a == b else more
-                        sums[lang, a, b][np.ix_(place[mine] - a * side, place[other] - b * side)] += more
+            langs = batch.column("lang_no").to_numpy(zero_copy_only=False)
+            found = batch.column("found")
+            lengths = found.value_lengths().to_numpy(zero_copy_only=False)
+            entries = found.flatten()
+            place, p, p0 = (entries.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3))
+            term = np.repeat(np.arange(len(langs)), lengths)
+            for lang in np.unique(langs):
+                here = langs[term] == lang
+                for key, tile in tiles(term[here], place[here], p[here], p0[here]):
+                    if (lang, *key) not in sums:
+                        if len(sums) >= most:
+                            yield from out(sums)
+                            sums.clear()
+                        sums[lang, *key] = np.zeros((side, side), np.int64)
+                    sums[lang, *key] += tile
         yield from out(sums)
 
+    def tiles(term, place, p, p0):
+        """Tiles (block, block), each summed over these terms. A source without a term gets the same
+        share with and without it, any, and so adds nothing."""
+        block = place // side
+        for a in np.unique(block):
+            for b in np.unique(block[block >= a]):
+                tile = np.zeros((side, side), np.int64)
+                both = np.intersect1d(term[block == a], term[block == b])
+                rows = {x: (np.isin(term, both) & (block == x)) for x in {a, b}}
+                width = {x: np.unique(place[rows[x]] - x * side) for x in rows}
+                step = max(1, CELLS // max(1, len(width[a]) * len(width[b])))
+                for k in range(0, len(both), step):
+                    part = both[k : k + step]
+                    dense = {}
+                    for x in rows:
+                        mine = rows[x] & (term >= part[0]) & (term <= part[-1])
+                        cells = np.searchsorted(part, term[mine]), np.searchsorted(width[x], place[mine] - x * side)
+                        dense[x] = np.ones((2, len(part), len(width[x])), np.int64)
+                        dense[x][0][cells], dense[x][1][cells] = p[mine], p0[mine]
+                    (pa_, qa), (pb, qb) = dense[a][:, :, :, None], dense[b][:, :, None, :]
+                    more = (f(pa_, pb) - f(pa_, qb) - f(qa, pb) + f(qa, qb)).sum(0)
+                    tile[np.ix_(width[a], width[b])] += more
+                yield (a, b), np.triu(tile, 1) if a == b else tile
+
     return run
 
 
