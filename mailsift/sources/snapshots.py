@@ -51,5 +51,6 @@ def settled(listing: DataFrame, seconds: float) -> DataFrame:
 
 
 def merged(before: DataFrame, now: DataFrame, covered: Column) -> DataFrame:
-    """The next snapshot: what was listed now, and of before what was out of its sight."""
-    return before.where(~covered).select(*now.columns).unionByName(now)
+    """The next snapshot, one row per file: what was listed now, and of before what was out of its sight."""
+    rest = before.where(~covered).select(*now.columns).join(now.select("location"), "location", "left_anti")
+    return rest.select(*now.columns).unionByName(now)

@@ -119,6 +119,8 @@ def test_a_stream_sees_late_empty_and_replaced_files_alone_in_their_folder(spark
     assert round_() == (sizes := sorted([*sizes, ("none.mbox", 0)]))
     _write(root, "a.eml", eml("a") + b"more", 1_700_000_009)
     assert round_() == sorted([*sizes, ("a.eml", len(eml("a")) + 4)])
+    kept = sorted((r.source_file, r.size) for r in ledger.snapshot().collect())
+    assert kept == [("_b.eml", len(eml("b"))), ("a.eml", len(eml("a")) + 4), ("none.mbox", 0)]
     runs = ledger.runs().count()
     round_()  # nothing new leaves no run
     assert ledger.runs().count() == runs == 4
