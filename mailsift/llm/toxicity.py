@@ -44,7 +44,7 @@ LEXICON = 48  # lexicon voters
 SUPPORT = 3  # documents that a word of the vocabulary must be in
 FOLDS = 5
 KNOWN_ROWS = 2_000_000  # labels up to this many (16 bytes each) are sent to the texts; beyond it labelled texts move
-COUNT_FLUSH = 1_000_000  # features a task holds before it hands their sums on
+COUNT_FLUSH = 200_000  # features a task holds before it hands their sums on
 PATTERNS = ("several", "dense", "exclaiming", "shouting", "none")
 _WORDS = regex.compile(r"\p{L}+").findall
 _STARTS = (3, 4, 5, 6, 7, 8)
