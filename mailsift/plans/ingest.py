@@ -162,8 +162,12 @@ class _Run:
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
-    def is_small(self, rows: DataFrame) -> bool:
-        return rows.count() <= self.options.broadcast_keys
+    def known(self, table: str, rows: DataFrame, key: str = "content_hash") -> tuple[DataFrame, bool]:
+        """Ledger rows to compare with, and whether the rows at hand are few. For few keys, what
+        cannot hold one of them is not read."""
+        if rows.count() > self.options.broadcast_keys:
+            return self.ledger.read(table), False
+        return self.ledger.may_hold(table, rows.select(key)), True
 
     # -- front ends --------------------------------------------------------
 
@@ -206,15 +210,12 @@ class _Run:
 
         if self.mode == INCREMENTAL:
             hashed = self.staged(_with_stored_hash(sized), "hashed")
-            known = self.ledger.discovered()
-            fresh = self.staged(
-                changed(hashed, known, self.mode, self.is_small(hashed)), "fresh"
-            ).select(*listing.columns)
+            known, few = self.known("discovered", hashed)
+            fresh = self.staged(changed(hashed, known, self.mode, few), "fresh").select(*listing.columns)
             sized = _spread(fresh, options)
             if surveyed is not None:
-                surveyed = self.staged(
-                    changed(surveyed, known, self.mode, self.is_small(surveyed)), "survey-fresh"
-                )
+                known, few = self.known("discovered", surveyed)
+                surveyed = self.staged(changed(surveyed, known, self.mode, few), "survey-fresh")
 
         rows = open_stored(sized, formats, self.limits)
         if surveyed is not None:
@@ -244,9 +245,8 @@ class _Run:
             F.length("content").alias("size"),
         )
         keys = self.staged(keys, "keys")
-        fresh = self.staged(
-            changed(keys, self.ledger.discovered(), self.mode, self.is_small(keys)), "fresh"
-        )
+        known, few = self.known("discovered", keys)
+        fresh = self.staged(changed(keys, known, self.mode, few), "fresh")
         total = fresh.agg(
             F.count_distinct("stage_file").alias("files"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")
         ).first()
@@ -261,10 +261,8 @@ class _Run:
         found = self.found.counts()
 
         best = self.staged(first_wins(self.found.leaves()), "best")
-        winners = self.staged(
-            without_known(best, ledger.processed().select("uid"), "uid", self.is_small(best)),
-            "winners",
-        )
+        known, few = self.known("processed", best, "uid")
+        winners = self.staged(without_known(best, known, "uid", few), "winners")
         # Two chains of jobs that do not need each other.
         with ThreadPoolExecutor(2) as chains:
             records = chains.submit(self._write_records, found["source"])
@@ -289,8 +287,9 @@ class _Run:
         if self.mode == INCREMENTAL:  # the known ones were dropped at the start
             fresh = sources.dropDuplicates(SOURCE_KEY)
         else:
-            small = n_sources <= self.options.broadcast_keys
-            fresh = newly_discovered(sources, ledger.discovered(), small)
+            few = n_sources <= self.options.broadcast_keys
+            known = ledger.may_hold("discovered", sources.select("content_hash")) if few else ledger.discovered()
+            fresh = newly_discovered(sources, known, few)
         ledger.write("discovered", run_id, fresh.withColumn("discovered_at", now()))
         if self.snapshot is not None:
             ledger.write("listing", run_id, self.snapshot)

@@ -3,7 +3,8 @@
 Every table is written under ``run_id=...``. A run counts once its commit file is
 there; until then nobody sees its rows, and a rerun under the
 same id overwrites them. ``compact`` puts the rows of many runs into a few files, sorted by key;
-readers take these for the runs they stand for and the folders of later runs beside them.
+readers take these for the runs they stand for and the folders of later runs beside them. Whoever
+asks for a few keys (``may_hold``) reads only the files whose filter lets one of them pass.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mailsift import schemas
+from mailsift.plans import known
 from mailsift.plans.commits import COMPACT, RUN, Commits
 from mailsift.sources import storage
 
@@ -36,6 +38,8 @@ TABLES: dict[str, tuple[str, T.StructType, tuple[str, ...]]] = {
 
 # Tables that a compaction rewrites, and the key it sorts each by. Tables with bytes stay as they are.
 COMPACTED = {"discovered": "content_hash", "processed": "content_hash", "skipped": "path", "manifest": "uid"}
+# Those of them that runs ask for keys. A mail's uid is its content hash.
+ASKED = ("discovered", "processed")
 
 
 def latest_state(events: DataFrame, order: Column | str = "event_no") -> DataFrame:
@@ -183,6 +187,25 @@ class Ledger:
         rows = committed_only(rows, self._states().where(F.col("commit_no") > upto))
         return rows.unionByName(compacted) if compacted else rows
 
+    def may_hold(self, table: str, keys: DataFrame) -> DataFrame:
+        """Committed rows of a table of ``ASKED`` among which are all with one of the keys.
+
+        ``keys`` is one column of content hashes, few enough to be broadcast. Of what has been
+        compacted only files are read that can hold one of them, by their Bloom filter; runs since
+        then are read whole. Compactions without a filter, from before there was one, are too.
+        """
+        schema = TABLES[table][1]
+        upto, place = self.commits.compaction()
+        if place is None or not known.has_filter(f"{place}/known/{table}"):
+            return self.read(table)
+        since = self._states().where(F.col("commit_no") > upto)
+        rows = committed_only(self._read(self.path(table), schema), since)
+        files = known.files_with(self.spark, f"{place}/known/{table}", keys)
+        if not files:
+            return rows
+        paths = [f"{place}/{table}/{name}" for name in files]
+        return rows.unionByName(self.spark.read.schema(schema).parquet(*paths))
+
     def compact(self, files: int | None = None) -> bool:
         """Rewrite the ledgers of all runs committed so far into a few files each, sorted by key.
 
@@ -196,6 +219,9 @@ class Ledger:
             rows = self.read(table)
             spread = rows.repartitionByRange(files, key, "run_id") if files else rows.repartitionByRange(key, "run_id")
             spread.sortWithinPartitions(key, "run_id").write.parquet(f"{place}/{table}")
+            if table in ASKED:
+                written = self.spark.read.schema(rows.schema).parquet(f"{place}/{table}")
+                known.write_filter(written, key, f"{place}/known/{table}")
         done = self._states().where(F.col("status") == COMPLETED)
         done.select(*schemas.RUN_EVENTS.names, "commit_no").repartition(1).write.parquet(f"{place}/runs")
         done = self.commits.take(upto + 1, COMPACT, {"upto": upto, "place": place})
