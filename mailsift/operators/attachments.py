@@ -15,6 +15,7 @@ from mailsift.functions import naming
 
 _FLUSH_BYTES = 16 << 20
 _SEARCHED = 512 << 20
+_FAULT_CHARS = 200
 # How a part is told to be an attachment: by the word anywhere in its
 # Content-Disposition header, or by the header's parsed value alone.
 BY_TEXT, BY_VALUE = "text", "value"
@@ -28,7 +29,8 @@ def may_have_attachments(content: Column) -> Column:
     return (F.length(content) > _SEARCHED) | text.contains("content-disposition")
 
 
-def _attachments_of(content: bytes, test: str) -> Iterator[tuple[str, bytes]]:
+def _attachments_of(content: bytes, test: str, faults: list[str] | None = None) -> Iterator[tuple[str, bytes]]:
+    """Names and bytes of a mail's attachments. What breaks the walk off is added to ``faults``."""
     found: list[tuple[str, bytes]] = []
     try:
         for part in email.message_from_bytes(content, policy=modern).walk():
@@ -43,9 +45,10 @@ def _attachments_of(content: bytes, test: str) -> Iterator[tuple[str, bytes]]:
             payload = part.get_payload(decode=True) if name else None
             if payload:
                 found.append((name, payload))
-    except Exception:
-        # Malformed MIME: what was found before the fault is kept.
-        pass
+    except Exception as error:
+        # Malformed MIME, of which the parser raises anything: what was found before the fault is kept.
+        if faults is not None:
+            faults.append(_clean(f"{type(error).__name__}: {error}"[:_FAULT_CHARS]))
     return iter(found)
 
 
@@ -56,11 +59,13 @@ def extract_attachments(
     test: str = BY_TEXT,
     searched: bool = False,
     keep: tuple[str, ...] = (),
+    faults: bool = False,
 ) -> DataFrame:
     """``(key, ord, name, safe_name, content)`` and the ``keep`` columns, one row per attachment.
 
     Mails that cannot have one are left out before any byte goes to Python,
-    unless that has been done (``searched``).
+    unless that has been done (``searched``). With ``faults`` there is a column ``fault`` more,
+    and for each mail whose MIME broke the walk off a row that holds only the reason there.
     """
     schema = T.StructType(
         [
@@ -68,6 +73,7 @@ def extract_attachments(
             T.StructField("ord", T.IntegerType()),
             T.StructField("name", T.StringType()),
             T.StructField("content", T.BinaryType()),
+            T.StructField("fault", T.StringType()),
         ]
     )
 
@@ -75,15 +81,16 @@ def extract_attachments(
         for batch in batches:
             bodies, kept = batch.column(0), batch.columns[1:]
             parents: list[int] = []
-            rows: list[tuple[int, str, bytes]] = []
+            rows: list[tuple[int | None, str | None, bytes | None, str | None]] = []
             filled = 0
             for number in range(batch.num_rows):
-                for ord, (name, payload) in enumerate(
-                    _attachments_of(bodies[number].as_py(), test)
-                ):
+                broken: list[str] = []
+                found = enumerate(_attachments_of(bodies[number].as_py(), test, broken))
+                own = [(ord, _clean(name), payload, None) for ord, (name, payload) in found]
+                for row in own + [(None, None, None, fault) for fault in broken if faults]:
                     parents.append(number)
-                    rows.append((ord, _clean(name), payload))
-                    filled += len(payload)
+                    rows.append(row)
+                    filled += len(row[2] or b"")
                     if filled >= _FLUSH_BYTES:
                         yield _batch(kept, parents, rows, schema.names)
                         parents, rows, filled = [], [], 0
@@ -98,6 +105,7 @@ def extract_attachments(
         naming.safe_attachment_name(F.col("name"), F.col("ord")).alias("safe_name"),
         "content",
         *keep,
+        *(["fault"] if faults else []),
     )
 
 
@@ -107,7 +115,7 @@ def _clean(name: str) -> str:
 
 
 def _batch(kept, parents, rows, names) -> pa.RecordBatch:
-    ords, titles, bodies = zip(*rows)
+    ords, titles, bodies, reasons = zip(*rows)
     index = pa.array(parents, pa.int32())
     return pa.RecordBatch.from_arrays(
         [
@@ -115,6 +123,7 @@ def _batch(kept, parents, rows, names) -> pa.RecordBatch:
             pa.array(ords, pa.int32()),
             pa.array(titles, pa.string()),
             pa.array(bodies, pa.binary()),
+            pa.array(reasons, pa.string()),
         ],
         names=names,
     )

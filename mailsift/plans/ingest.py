@@ -361,13 +361,14 @@ class _Run:
             "attachments",
             self.run_id,
             extract_attachments(
-                mails, "mail", test=self.options.attachment_test, searched=True, keep=_FOLDER
+                mails, "mail", test=self.options.attachment_test, searched=True, keep=_FOLDER, faults=True
             ),
         )
 
     def _write_manifest(self, winners: DataFrame) -> None:
         ledger, run_id = self.ledger, self.run_id
-        counts = attachment_counts(ledger.read_own("attachments", run_id).select("uid"))
+        whole = ledger.read_own("attachments", run_id).where("fault IS NULL")
+        counts = attachment_counts(whole.select("uid"))
         ledger.write("manifest", run_id, manifest_rows(winners, counts))
         ledger.write(
             "processed",

@@ -300,7 +300,12 @@ class Ledger:
         return self.read("emails")
 
     def attachments(self) -> DataFrame:
-        return self.read("attachments")
+        return self.read("attachments").where("fault IS NULL").drop("fault")
+
+    def attachment_faults(self) -> DataFrame:
+        """Mails whose MIME broke off while their attachments were read: what came before is kept."""
+        rows = self.read("attachments").where("fault IS NOT NULL")
+        return rows.select("uid", "namespace", "date_partition", "fault", "run_id")
 
     def manifest(self) -> DataFrame:
         return self.read("manifest")

@@ -97,6 +97,7 @@ EMAILS = _struct(
     uid=_S, ext=_S, format=_S, content=_B, run_id=_S, namespace=_S, date_partition=_S
 )
 
+# A row with a fault is no attachment: it says where the MIME of a mail broke off.
 ATTACHMENTS = _struct(
     uid=_S,
     ord=T.IntegerType(),
@@ -105,6 +106,7 @@ ATTACHMENTS = _struct(
     content=_B,
     namespace=_S,
     date_partition=_S,
+    fault=_S,
     run_id=_S,
 )
 
