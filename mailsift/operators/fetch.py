@@ -18,7 +18,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from mailsift.sources import storage
 
-_BATCH_BYTES = 16 << 20
+_BATCH_BYTES = 4 << 20
+_BUFFER_BYTES = 1 << 20  # of a column read at once; without it a whole column of a row group is
+# Row groups of staged files. Where nothing is chosen from one, it is not read.
+ROW_GROUP_BYTES = 16 << 20
 
 
 def fetch_rows(
@@ -52,7 +55,7 @@ def _rows_of(path: str, positions, columns: list[str], arrow: pa.Schema):
 
     positions = np.sort(positions)
     with storage.open_seekable(path) as file:
-        table = pq.ParquetFile(file, pre_buffer=False)
+        table = pq.ParquetFile(file, pre_buffer=False, buffer_size=_BUFFER_BYTES)
         start = 0
         for group in range(table.num_row_groups):
             meta = table.metadata.row_group(group)

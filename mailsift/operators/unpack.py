@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -20,6 +20,7 @@ from mailsift.functions import naming
 from mailsift.functions.formats import CONTAINER, DEFAULT, SINGLE, Format, Formats, skip_reason
 from mailsift.operators import entries
 from mailsift.operators.entries import Item, Limits
+from mailsift.operators.fetch import ROW_GROUP_BYTES
 from mailsift.schemas import FOUND, ORD
 
 _ITEM = T.StructType(
@@ -328,6 +329,12 @@ def read_mailboxes(listing: DataFrame, work: str, part: int = 64 << 20) -> DataF
 # -- recursion -------------------------------------------------------------
 
 
+def stage_writer(rows: DataFrame) -> DataFrameWriter:
+    """For rows with bytes, of which chosen ones are fetched later."""
+    writer = rows.write.mode("overwrite").option("maxRecordsPerFile", MAX_FILE_ROWS)
+    return writer.option("parquet.block.size", ROW_GROUP_BYTES)
+
+
 class Found:
     """What unpacking found, level by level, in the work folder."""
 
@@ -339,7 +346,7 @@ class Found:
 
     def add_level(self, rows: DataFrame) -> None:
         target = f"{self.folder}/level-{len(self.levels)}"
-        rows.write.mode("overwrite").option("maxRecordsPerFile", MAX_FILE_ROWS).parquet(target)
+        stage_writer(rows).parquet(target)
         self.levels.append(target)
         staged = self.spark.read.schema(FOUND).parquet(target)
         cut, box = F.col("cut").isNotNull(), F.col("kind") == "box"

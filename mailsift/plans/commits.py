@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mailsift import schemas
+from mailsift.session import no_rows
 from mailsift.sources import storage
 
 RUN, COMPACT = "run", "compact"
@@ -48,7 +49,7 @@ class Commits:
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
                 raise
-            return self.spark.createDataFrame([], T.StructType([*schemas.COMMIT.fields, schemas.COMMIT_NO]))
+            return no_rows(self.spark, T.StructType([*schemas.COMMIT.fields, schemas.COMMIT_NO]))
         number = F.regexp_extract("_metadata.file_name", r"^(\d+)[.]json$", 1).cast("long")
         return rows.withColumn("commit_no", number)
 

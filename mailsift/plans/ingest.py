@@ -39,13 +39,13 @@ from mailsift.operators.entries import Limits, hash_in_storage
 from mailsift.operators.fetch import fetch_rows
 from mailsift.operators.first_wins import first_wins, without_known
 from mailsift.operators.unpack import (
-    MAX_FILE_ROWS,
     MAX_TASKS,
     Found,
     _placed,
     open_inline,
     open_parts,
     open_stored,
+    stage_writer,
     survey_large,
     unpack_all,
 )
@@ -237,7 +237,7 @@ class _Run:
         schema = T.StructType([*files.schema.fields, T.StructField("content_hash", T.StringType())])
         folder = f"{self.work}/arrived"
         hashed = files.withColumn("content_hash", content_hash(F.col("content")))
-        hashed.write.mode("overwrite").option("maxRecordsPerFile", MAX_FILE_ROWS).parquet(folder)
+        stage_writer(hashed).parquet(folder)
         keys = self.spark.read.schema(schema).parquet(folder).select(
             *SOURCE_KEY,
             F.regexp_extract("_metadata.file_path", "([^/]+)$", 1).alias("stage_file"),

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from mailsift import schemas
 from mailsift.plans import known
 from mailsift.plans.commits import COMPACT, RUN, Commits
+from mailsift.session import no_rows
 from mailsift.sources import storage
 
 RUNNING, COMPLETED, FAILED = "running", "completed", "failed"
@@ -88,7 +89,7 @@ class Ledger:
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
                 raise
-            return self.spark.createDataFrame([], schema)
+            return no_rows(self.spark, schema)
 
     # -- run log -----------------------------------------------------------
 
@@ -100,7 +101,7 @@ class Ledger:
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
                 raise
-            logged = self.spark.createDataFrame([], schemas.RUN_EVENTS)
+            logged = no_rows(self.spark, schemas.RUN_EVENTS)
         events = logged.withColumn("commit_no", F.lit(None).cast("long"))
         committed = self.commits.all().where(F.col("kind") == RUN)
         events = events.unionByName(committed.select(*events.columns))
@@ -276,7 +277,7 @@ class Ledger:
         """The listing that the last run left; empty if none did."""
         found = self.snapshots()
         if not found:
-            return self.spark.createDataFrame([], schemas.LISTING)
+            return no_rows(self.spark, schemas.LISTING)
         return self.read_own("listing", found[0])
 
     def drop_snapshots(self, keep: int) -> None:

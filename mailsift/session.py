@@ -8,6 +8,8 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Settings the jobs rely on. Rows may carry whole files, so few of them travel
 # to Python in one Arrow batch.
@@ -61,6 +63,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    """An empty table. One made of a Python list would start Python workers on all cores to carry nothing."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(0, 0, 1, 1).select(*columns)
+
+
 def work_root(spark: SparkSession, fallback: str | None = None) -> str:
     """Folder for intermediate tables, shared by all executors.
 
