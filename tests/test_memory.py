@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from mailsift import session
+from mailsift import corpus, queries, session
+from mailsift.corpus import bytes_of, entry
 from mailsift.operators import fetch
 from mailsift.operators.unpack import stage_writer
 from mailsift.plans.ledger import Ledger
+from tests.test_queries import FOLDER
 
 _SCHEMA = T.StructType([T.StructField("name", T.StringType()), T.StructField("mail", T.BinaryType())])
 
@@ -59,3 +61,16 @@ def test_an_empty_ledger_is_read_without_python(spark, tmp_path, capsys):
         assert "ExistingRDD" not in capsys.readouterr().out
     schema = T.StructType([T.StructField("place", T.ArrayType(T.LongType())), T.StructField("at", T.TimestampType())])
     assert session.no_rows(spark, schema).dtypes == [("place", "array<bigint>"), ("at", "timestamp")]
+
+
+def test_nested_archives_made_in_one_step_are_those_of_two(spark):
+    turns = corpus.conversation_mailboxes(spark, FOLDER)
+    inner = corpus.zip_bytes(F.array(entry(F.concat("turn_id", F.lit(".mbox")), F.col("content"))))
+    outer = corpus.zip_bytes(
+        F.array(entry(F.lit("inner.zip"), F.col("inner")), entry(F.lit("cover.htm"), bytes_of(F.col("turn_id"))))
+    )
+    name = F.concat("turn_id", F.lit(".zip"))
+    expected = corpus.files(turns.withColumn("inner", inner), F.lit("chat"), F.col("conv_id"), name, outer)
+    made = queries._nested_files(spark, FOLDER)
+    assert made.count() == expected.count() > 0
+    assert made.exceptAll(expected).isEmpty()
