@@ -151,26 +151,32 @@ def _induce_each(text, small, symbols, sampled, folder) -> np.ndarray:
     bounds = _bounds(text, symbols)
     queue = _array(n, folder)
     queue[:] = -1
-    tail = (bounds[1:] - 1).tolist()
-    t, s = text.tolist(), small.tolist()
+    # Each symbol's sampled suffixes at the end of its region, in their order.
+    firsts = text[sampled]
+    by_symbol = np.argsort(firsts, kind="stable")
+    count = np.bincount(firsts, minlength=symbols)
+    place = np.arange(len(sampled)) + np.repeat(bounds[1:] - np.cumsum(count), count)
+    queue[place] = sampled[by_symbol]
     q = queue if isinstance(queue, np.memmap) else queue.tolist()
-    for i in sampled[::-1].tolist():
-        q[tail[t[i]]] = i
-        tail[t[i]] -= 1
-    head = bounds[:-1].tolist()
-    for k in range(n):
-        i = q[k] - 1
-        if i >= 0 and not s[i]:
-            c = t[i]
-            q[head[c]] = i
-            head[c] += 1
-    tail = (bounds[1:] - 1).tolist()
-    for k in range(n - 1, -1, -1):
-        i = q[k] - 1
-        if i >= 0 and s[i]:
-            c = t[i]
-            q[tail[c]] = i
-            tail[c] -= 1
+    # Symbol before each place where the suffix there is to be put in by the pass, else -1;
+    # the last is for places of the queue that are still empty. What a pass puts in it also meets.
+    before = np.full(n + 1, -1, np.int64)
+    before[1:n] = np.where(small[: n - 1], -1, text[: n - 1])
+    goes, head = before.tolist(), bounds[:-1].tolist()
+    for i in q:
+        c = goes[i]
+        if c >= 0:
+            k = head[c]
+            q[k] = i - 1
+            head[c] = k + 1
+    before[1:n] = np.where(small[: n - 1], text[: n - 1], -1)
+    goes, tail = before.tolist(), (bounds[1:] - 1).tolist()
+    for i in reversed(q):
+        c = goes[i]
+        if c >= 0:
+            k = tail[c]
+            q[k] = i - 1
+            tail[c] = k - 1
     q[0] = n - 1
     return q if isinstance(q, np.memmap) else np.array(q, np.int64)
 
