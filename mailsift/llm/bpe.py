@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructType
 
 from mailsift import session
-from mailsift.llm.common import mix64, steps, text_bytes
+from mailsift.llm.common import give_back, mix64, steps, text_bytes
 
 RANKS = "byte_bpe_50k.tiktoken"
 LONG = 256  # bytes; longer words go by heap
@@ -170,7 +170,7 @@ def _vocabulary(path: str) -> Vocabulary:
 
 
 class _Coder:
-    """Encodes and decodes texts, with a memory of words; kept while the worker lives."""
+    """Encodes and decodes texts, with a memory of words; kept while the worker lives, the words while a task does."""
 
     def __init__(self, path: str, pattern: str):
         self.vocabulary = _vocabulary(path)
@@ -250,7 +250,14 @@ def _coded(df, text_col, ids_col, bytes_col, ranks, pattern) -> DataFrame:
                     pa.binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)]))
             yield pa.RecordBatch.from_arrays(columns, ["row", "ids", "bytes"][: len(columns)])
 
-    out = source.mapInArrow(run, fields)
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _coder(path, pattern).known = {}
+            give_back()
+
+    out = source.mapInArrow(lean, fields)
     names = [F.col(f"row.`{c}`") for c in df.columns if c.lower() not in taken]
     extra = [F.col("bytes").alias(bytes_col)] if bytes_col else []
     return out.select(*names, F.col("ids").alias(ids_col), *extra)

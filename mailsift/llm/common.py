@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
+from functools import cache, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +48,32 @@ class Work:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+@cache
+def _trim() -> Callable[[int], int] | None:
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Hand memory that is free to the system. A worker lives on and would keep its peak through all later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = _trim()
+    if trim:
+        trim(0)
+
+
+def giving_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A step of ``mapInArrow`` whose task gives its memory back when it ends."""
+
+    @wraps(run)
+    def lean(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return lean
+
+
 def text_bytes(column: Column | str = "text") -> Column:
     """Whole text as a string, null as empty."""
     column = F.col(column) if isinstance(column, str) else column

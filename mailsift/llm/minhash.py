@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StructType
 
-from mailsift.llm.common import Work, flat_text, mix64, steps, text_bytes
+from mailsift.llm.common import Work, flat_text, giving_back, mix64, steps, text_bytes
 from mailsift.llm.components import components
 
 WORDS = 5
@@ -286,7 +286,7 @@ class NearDuplicates:
             F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("text")
         ).withColumn("key", F.unhex(F.md5("text")))
         fields = StructType().add("id", LongType()).add("key", BinaryType()).add("bands", ArrayType(LongType()))
-        self.signed = self.work.keep(self.texts.mapInArrow(_sign, fields))
+        self.signed = self.work.keep(self.texts.mapInArrow(giving_back(_sign), fields))
         self.links = self._links()
 
     def _links(self) -> DataFrame:
@@ -304,7 +304,7 @@ class NearDuplicates:
         firsts = nodes.join(wanted, "key", "left_semi").select(F.col("key").alias("own_key"), "first", "bands")
         same = (F.col("key") == F.col("own_key")) & F.col("id").eqNullSafe(F.col("first"))
         self.cells = keep(
-            self.texts.join(firsts, same).dropDuplicates(["key"]).select("key", "bands", "text").mapInArrow(_cells, fields)
+            self.texts.join(firsts, same).dropDuplicates(["key"]).select("key", "bands", "text").mapInArrow(giving_back(_cells), fields)
         )
         # First every text with a random one of each of its buckets, then with the
         # one that has proved most alike to others, then with all that are still apart.
@@ -336,7 +336,7 @@ class NearDuplicates:
             return blocks.select("bucket", F.col("block").alias(f"{name}_block"), *[F.col(c).alias(f"{name}_{n}") for c, n in parts.items()])
 
         pairs = side("left").join(side("right"), "bucket").where("left_block <= right_block")
-        return pairs.withColumn("same", F.expr("left_block = right_block")).mapInArrow(_meet(self.similar), "a binary, b binary")
+        return pairs.withColumn("same", F.expr("left_block = right_block")).mapInArrow(giving_back(_meet(self.similar)), "a binary, b binary")
 
     def _labelled(self, shared: DataFrame, links: DataFrame) -> DataFrame:
         """Entries with the component of their text, of buckets that still hold several components."""
@@ -354,7 +354,7 @@ class NearDuplicates:
         left = self.cells.select(F.col("key").alias("a"), F.col("cells").alias("left_cells"))
         right = self.cells.select(F.col("key").alias("b"), F.col("cells").alias("right_cells"))
         fields = StructType().add("a", BinaryType()).add("b", BinaryType()).add("similarity", DoubleType())
-        return pairs.join(left, "a").join(right, "b").mapInArrow(_compare, fields)
+        return pairs.join(left, "a").join(right, "b").mapInArrow(giving_back(_compare), fields)
 
     def classes(self) -> DataFrame:
         """One row per document: id, key, class_id (smallest id of its class), class_size, kept."""

@@ -10,7 +10,8 @@ also starts in a document with a smaller id.
    smaller document has too is settled; an anchor met in one document only is
    settled; an anchor with several contexts is not.
 3. **Suffixes.** The open contexts go, as bytes, to their shards, where their
-   suffixes are sorted by external induced sorting (module ``induced``); runs of
+   suffixes are sorted by external induced sorting (module ``induced``), a part of
+   the anchors at a time, as this takes some 100 bytes a byte; runs of
    suffixes with 50 common bytes tell which strings start in a smaller document.
    An anchor with very many contexts (a phrase in a third of all documents) is
    not one shard's burden: its strings go one by one to shards of their own hash.
@@ -41,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructType
 
-from mailsift.llm.common import Work, flat_text, mix64, text_bytes
+from mailsift.llm.common import Work, flat_text, give_back, giving_back, mix64, text_bytes
 from mailsift.llm.induced import equal_prefixes
 from mailsift.llm.minhash import _INVERSE, _PRIME, _power
 
@@ -50,7 +51,8 @@ _WIDTH = LENGTH - GRAM + 1  # anchors to choose from in a string
 CHUNK_BYTES = 2 << 20
 SHARD_BYTES = 16 << 20  # of text whose contexts go to one shard
 OPEN_BYTES = 4 << 20  # of open contexts that go to one shard
-BLOCK_BYTES = 1 << 20  # of text in one vectorised step
+DRAWERS = 8  # parts of a shard of open contexts, sorted one after the other
+BLOCK_BYTES = 256 << 10  # of text in one vectorised step
 MANY = 500  # contexts of one anchor; above, its strings are dealt out one by one
 _LAST = 2**63 - 1  # stands for a null id
 
@@ -262,14 +264,16 @@ def _send_open(sent: int, count: int):
                 number = row["chunk"].as_py()
                 out = []
                 open_ = np.flatnonzero(code == OPEN)
-                shard = (mix64(chunk.anchor[chunk.first[open_]]) % np.uint64(count)).astype(np.int64)
+                mixed = mix64(chunk.anchor[chunk.first[open_]])
+                shard = (mixed % np.uint64(count)).astype(np.int64)
+                drawer = (mixed // np.uint64(count) % np.uint64(DRAWERS)).astype(np.uint8)
                 for s, part in _split(shard):
                     entries = open_[part]
                     at = chunk.first[entries]
                     low, high = chunk.low[at], chunk.high[at]
                     data = b"".join(chunk.flat[a : b + LENGTH].tobytes() for a, b in zip(low, high))
                     out.append((s, number, entries.astype(np.uint32).tobytes(), (high - low + LENGTH).astype(np.uint8).tobytes(),
-                                chunk.ids[chunk.doc[at]].tobytes(), data))
+                                chunk.ids[chunk.doc[at]].tobytes(), drawer[part].tobytes(), data))
                 entries = np.flatnonzero(code == SPREAD)
                 if len(entries):
                     at = chunk.first[entries]
@@ -281,12 +285,30 @@ def _send_open(sent: int, count: int):
                     keys = [mix64((strings * _power(base, LENGTH)).sum(1, dtype=np.uint64)) for base in (_PRIME, _INVERSE)]
                     for s, part in _split((keys[0] % np.uint64(count)).astype(np.int64)):
                         out.append((count + s, number, owner[part].astype(np.uint32).tobytes(), place[part].astype(np.uint8).tobytes(),
-                                    doc[part].tobytes(), np.stack([k[part] for k in keys], 1).tobytes()))
-                columns = list(zip(*out)) if out else [[]] * 6
+                                    doc[part].tobytes(), b"", np.stack([k[part] for k in keys], 1).tobytes()))
+                columns = list(zip(*out)) if out else [[]] * 7
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
                      *[pa.array(c, pa.binary()) for c in columns[2:]]],
-                    ["shard", "chunk", "entries", "sizes", "docs", "data"])
+                    ["shard", "chunk", "entries", "sizes", "docs", "drawers", "data"])
+
+    return run
+
+
+def _later(doc: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Which of the strings, in their order, start in a smaller document too; ``new``: where another string begins."""
+    least = np.minimum.reduceat(doc, new) if len(new) else doc
+    return np.repeat(least, np.diff(np.concatenate([new, [len(doc)]]))) < doc
+
+
+def _emptied(answer):
+    """An answer to a shard, after which the memory it took is given back."""
+
+    def run(table: pa.Table) -> pa.Table:
+        try:
+            return answer(table)
+        finally:
+            give_back()
 
     return run
 
@@ -300,19 +322,24 @@ def _answer_open(count: int):
         sizes = _joined(table, "sizes", np.uint8)
         if table.column("shard")[0].as_py() < count:
             data = b"".join(table.column("data").to_pylist())
+            drawers = _joined(table, "drawers", np.uint8)
             ends = np.cumsum(sizes.astype(np.int64))
-            pieces = [data[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist())]
-            piece, place, new = equal_prefixes(pieces, LENGTH)
+            found = []
+            for _, part in _split(drawers):  # equal strings have one anchor, so they lie in one drawer
+                pieces = [data[e - n : e] for e, n in zip(ends[part].tolist(), sizes[part].tolist())]
+                piece, place, new = equal_prefixes(pieces, LENGTH)
+                piece = part[piece]
+                hit = _later(doc[piece], new)
+                found.append((piece[hit], place[hit]))
+            piece, place = (np.concatenate(x) for x in zip(*found))
         else:
             keys = _joined(table, "data", np.uint64).reshape(-1, 2)
             piece = np.lexsort((keys[:, 1], keys[:, 0]))
             place = sizes[piece].astype(np.int64)
             sorted_ = keys[piece]
             new = np.flatnonzero(np.concatenate([[True], (sorted_[1:] != sorted_[:-1]).any(1)]))
-        d = doc[piece]
-        least = np.minimum.reduceat(d, new) if len(new) else d
-        hit = np.repeat(least, np.diff(np.concatenate([new, [len(d)]]))) < d
-        piece, place = piece[hit], place[hit]
+            hit = _later(doc[piece], new)
+            piece, place = piece[hit], place[hit]
         out = []
         for i, part in _split(origin[piece]):
             out.append((table.column("chunk")[i].as_py(), entries[piece[part]].tobytes(), place[part].astype(np.uint8).tobytes()))
@@ -405,14 +432,14 @@ class Repeats:
             .add("rows", ArrayType(source.schema["row"].dataType)).add("data", BinaryType())
         )
         name = f"mailsift_chunks_{uuid.uuid4().hex}"
-        (source.mapInArrow(_pack, fields).write.bucketBy(buckets, "chunk").format("parquet")
+        (source.mapInArrow(giving_back(_pack), fields).write.bucketBy(buckets, "chunk").format("parquet")
          .option("path", f"{work.root}/chunks").saveAsTable(name))
         self.chunks = spark.table(name)
         total = self.chunks.select(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))
         self.count = count = _shards(buckets, total, SHARD_BYTES)
         read = self.chunks.select("chunk", "ids", "sizes", "data")
-        sent = read.mapInArrow(_send_contexts(count), "shard long, chunk long, anchors binary, contexts binary, docs binary")
-        codes = sent.groupBy("shard").applyInArrow(_answer_contexts(many), "chunk long, shard long, codes binary, asks long")
+        sent = read.mapInArrow(giving_back(_send_contexts(count)), "shard long, chunk long, anchors binary, contexts binary, docs binary")
+        codes = sent.groupBy("shard").applyInArrow(_emptied(_answer_contexts(many)), "chunk long, shard long, codes binary, asks long")
         # One row per chunk: as many bytes as the chunk has contexts.
         self.answers = work.keep(
             codes.groupBy("chunk").agg(F.collect_list(F.struct("shard", "codes")).alias("answers"), F.sum("asks").alias("asks"))
@@ -420,8 +447,8 @@ class Repeats:
         self.open_count = _shards(buckets, self.answers.select("asks"), OPEN_BYTES)
         self.answers = self.answers.drop("asks")
         open_ = read.join(self.answers, "chunk", "left").mapInArrow(
-            _send_open(count, self.open_count), "shard long, chunk long, entries binary, sizes binary, docs binary, data binary")
-        hits = open_.groupBy("shard").applyInArrow(_answer_open(self.open_count), "chunk long, entries binary, places binary")
+            giving_back(_send_open(count, self.open_count)), "shard long, chunk long, entries binary, sizes binary, docs binary, drawers binary, data binary")
+        hits = open_.groupBy("shard").applyInArrow(_emptied(_answer_open(self.open_count)), "chunk long, entries binary, places binary")
         self.parts = work.keep(hits.groupBy("chunk").agg(F.collect_list(F.struct("entries", "places")).alias("parts")))
         self.rows_type = source.schema["row"].dataType
         spark.sql(f"DROP TABLE {name}")  # the name; the files stay
@@ -433,7 +460,7 @@ class Repeats:
             .add("n_removed", LongType()).add("n_spans", LongType()).add("kept", StringType() if as_text else BinaryType())
         )
         joined = self.chunks.join(self.answers, "chunk", "left").join(self.parts, "chunk", "left")
-        return joined.mapInArrow(_cut(self.count, as_text), fields)
+        return joined.mapInArrow(giving_back(_cut(self.count, as_text)), fields)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

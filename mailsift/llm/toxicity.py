@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
 from mailsift import session
-from mailsift.llm.common import Work, text_bytes, unit_hash
+from mailsift.llm.common import Work, giving_back, text_bytes, unit_hash
 
 SAMPLE = 20_000  # labelled rows that the classifier is trained on
 VOCABULARY = 512
@@ -125,7 +125,7 @@ class Model:
                 yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(scores, pa.float64())], ["row", "score"])
 
         fields = StructType().add("row", source.schema["row"].dataType).add("score", DoubleType())
-        return source.mapInArrow(run, fields).select(*[F.col(f"row.`{c}`") for c in rest], F.col("score").alias(score_col))
+        return source.mapInArrow(giving_back(run), fields).select(*[F.col(f"row.`{c}`") for c in rest], F.col("score").alias(score_col))
 
     def score_voted(self, voted: DataFrame) -> DataFrame:
         """Scores of rows whose features have been found already: id, score."""
@@ -227,7 +227,7 @@ def _fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_c
         return Model((), (), (), np.zeros(0), -np.inf), None
     # Shares of rows that make up documents add up to whole numbers but for the last digits.
     counts = work.keep(
-        labelled.mapInArrow(_count, "feature string, toxic double, clean double")
+        labelled.mapInArrow(giving_back(_count), "feature string, toxic double, clean double")
         .groupBy("feature").agg(*[F.round(F.sum(c), 6).alias(c) for c in ("toxic", "clean")])
         .where(F.col("toxic") + F.col("clean") >= SUPPORT)
     )
@@ -251,7 +251,7 @@ def _fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_c
                  pa.array([m for _, m in found], pa.int64())], ["id", "features", "votes"])
 
     kind = texts.schema["id"].dataType.simpleString()
-    voted = texts.mapInArrow(votes, f"id {kind}, features array<int>, votes long")
+    voted = texts.mapInArrow(giving_back(votes), f"id {kind}, features array<int>, votes long")
     # The known label's two bits: it speaks for toxic, or for clean.
     bit = len(lexicon) + len(PATTERNS)
     said = F.when(F.col("toxic") == 1, F.lit(1 << bit)).when(F.col("toxic") == 0, F.lit(2 << bit)).otherwise(F.lit(0))
