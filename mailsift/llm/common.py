@@ -40,11 +40,11 @@ class Work:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
         self._count = 0
 
-    def keep(self, df: DataFrame) -> DataFrame:
+    def keep(self, df: DataFrame, **options: str) -> DataFrame:
         """Write a table and read it back."""
         self._count += 1
         path = f"{self.root}/{self._count}"
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
 

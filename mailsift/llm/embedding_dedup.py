@@ -1,17 +1,23 @@
 """Near-duplicate vectors by PCA-ordered tiled comparison.
 
 Unit vectors are turned onto the principal axes of the corpus, the largest
-first. A grid over the leading axes (cells as wide as two similar vectors can be
-apart) deals them out; within a cell, blocks of some thousand. Tiles are pairs of
-blocks of neighbouring cells whose bounding boxes are near enough. In a tile,
-products accumulate over the leading dimensions first; what the rest can add is
-bounded by the product of the suffix norms, and pairs that cannot reach the
-threshold any more are dropped from stage to stage. Survivors are decided by the
-cosine of the original vectors in double precision.
-
-A tile gives counts of links by vector, and a forest that connects what its
-links connect; links themselves are never listed. So a cluster that holds a
-third of all vectors makes many tiles of equal size, and no large row.
+first. A grid over the leading axes deals them out; within a cell, blocks of about a
+megabyte. Blocks that follow each other in the grid make a group of some megabytes,
+and each pair of groups whose bounding boxes are near enough goes to one task, so a
+vector travels once for each group near its own. In the task, tiles are the pairs of
+blocks whose boxes are near. In a tile, products accumulate over the leading
+dimensions first, in single precision; what the rest can add is bounded by the
+product of the suffix norms, and pairs that cannot reach the threshold any more are
+dropped from stage to stage. Survivors are decided by the cosine of the original
+vectors in double precision.
+
+A pair of groups gives counts of links by vector, and each one's root among what its
+links connect; links themselves are never listed. So a cluster that holds a third of
+all vectors makes many tiles of equal size, and no large row.
+
+Each pair of vectors in groups that are near is met once, so the time grows with the
+square of the table where the boxes tell nothing apart; memory does not grow, and
+what is shuffled is the table times the number of groups.
 
 Defined cases: see ``vectors.usable``; vectors left out have no link and are
 their own component (null ids: null component, not kept); rows with one id count
@@ -24,18 +30,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from mailsift.llm.common import Work
+from mailsift.llm.common import Work, give_back
 from mailsift.llm.components import components
-from mailsift.llm.vectors import batches_of, blob_matrix, block_of, matrix, usable
+from mailsift.llm.vectors import LARGE_ROWS, matrix, usable
 
 SIMILAR = 0.95
-_AXES = 3  # of the grid: at most (2 / reach + 1)^3 cells
-_STAGES = (8, 16, 32)  # leading dimensions after which pairs are dropped
-_ROWS = 256  # rows of a tile compared at once
-_SLACK = 1e-9  # for the rounding of the turned vectors
+GROUP_BYTES = 16 << 20  # of the vectors of a group
+BLOCK_BYTES = 1 << 20  # of those of a block
+_LEAST_ROWS = 1024  # of a group, so that little data is not cut to pieces
+_AXES, _CELL = 3, 0.25  # of the grid: at most 9 ** 3 cells
+_STAGES = (16, 32)  # leading dimensions after which pairs are dropped
+_ROWS = 512  # rows of a tile compared at once
+_SLACK = 1e-5  # for the rounding of the turned vectors, which are single
+_FEW_GROUPS = 500  # whose pairs are broadcast
 
 
 def _axes(vectors: DataFrame, width: int) -> np.ndarray:
@@ -71,159 +82,168 @@ def links(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
     turn = _axes(vectors, width)
     reach = float(np.sqrt(max(2 - 2 * similar, 0)) + 1e-6)
     axes = min(_AXES, width)
+    single = isinstance(getattr(rows.schema[vector_col].dataType, "elementType", None), T.FloatType)
+    kind = np.dtype(np.float32 if single else np.float64)  # as they came, so nothing is lost
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _unit(matrix(batch.column("vector"), width))
-            y = x @ turn
-            cell = np.floor(y[:, :axes] / reach).astype(np.int32)
+            x = matrix(batch.column("vector"), width)
+            side = np.clip(np.floor((_unit(x) @ turn[:, :axes]) / _CELL) + 4, 0, 8).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.FixedSizeListArray.from_arrays(pa.array(cell.ravel()), axes).cast(pa.list_(pa.int32())),
-                 pa.array([r.tobytes() for r in y], pa.binary()), pa.array([r.tobytes() for r in x], pa.binary())],
-                ["id", "cell", "turned", "unit"])
-
-    placed = work.keep(vectors.mapInArrow(place, "id long, cell array<int>, turned binary, unit binary"))
-    cells = placed.groupBy("cell").agg(F.count("*").alias("rows"))  # a few hundred at most
-    dealt = placed.join(F.broadcast(cells), "cell").withColumn("block", block_of())
+                [batch.column("id"), pa.array(side @ (9 ** np.arange(axes, dtype=np.int32))[::-1], pa.int32()),
+                 pa.array([r.tobytes() for r in x.astype(kind)], pa.binary())], ["id", "cell", "vector"])
+
+    placed = work.keep(vectors.mapInArrow(place, "id long, cell int, vector binary"))
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    total = placed.count()
+    fair = -(-total // int(np.ceil(np.sqrt(8 * cores))))  # pairs enough for all cores
+    most = max(1, GROUP_BYTES // (kind.itemsize * width))
+    group_rows = min(most, max(fair, _LEAST_ROWS))
+    block_rows = min(group_rows, max(1, BLOCK_BYTES // (kind.itemsize * width)))
+    groups = -(-total // group_rows)
+    blocks_here = F.ceil(F.col("rows") / F.lit(block_rows))
+    before = F.sum("rows").over(Window.orderBy("cell")) - F.col("rows")  # of a few hundred cells
+    cells = placed.groupBy("cell").agg(F.count("*").alias("rows")).withColumn("before", before)
+    dealt = placed.join(F.broadcast(cells), "cell").withColumn("block", F.pmod(F.xxhash64("id"), blocks_here).cast("int"))
+    first = F.col("before") + F.floor(F.col("block") * F.col("rows") / blocks_here)
+    dealt = dealt.withColumn("group", F.floor(first / F.lit(group_rows)).cast("int"))
 
     def pack(table: pa.Table) -> pa.Table:
-        y = blob_matrix(b"".join(table.column("turned").to_pylist()), width)
+        raw = b"".join(table.column("vector").to_pylist())
+        y = _unit(_doubles(raw, kind, width)) @ turn
         return pa.table({
-            "cell": table.column("cell").slice(0, 1), "block": table.column("block").slice(0, 1),
+            "group": table.column("group").slice(0, 1),
             "low": pa.array([y.min(0).tolist()], pa.list_(pa.float64())), "high": pa.array([y.max(0).tolist()], pa.list_(pa.float64())),
-            "ids": pa.array([table.column("id").to_numpy().tobytes()], pa.binary()),
-            "turned": pa.array([y.tobytes()], pa.binary()),
-            "units": pa.array([b"".join(table.column("unit").to_pylist())], pa.binary()),
-        })
-
-    blocks = work.keep(dealt.groupBy("cell", "block").applyInArrow(
-        pack, "cell array<int>, block int, low array<double>, high array<double>, ids binary, turned binary, units binary"))
-    tiles = work.keep(_tiles(blocks, reach, axes))
-    left = blocks.select(F.col("cell").alias("cell_a"), F.col("block").alias("block_a"), F.col("ids").alias("ids_a"),
-                         F.col("turned").alias("turned_a"), F.col("units").alias("units_a"))
-    right = blocks.select(F.col("cell").alias("cell_b"), F.col("block").alias("block_b"), F.col("ids").alias("ids_b"),
-                          F.col("turned").alias("turned_b"), F.col("units").alias("units_b"))
-    pairs = tiles.join(left, ["cell_a", "block_a"]).join(right, ["cell_b", "block_b"]).select(
-        ((F.col("cell_a") == F.col("cell_b")) & (F.col("block_a") == F.col("block_b"))).alias("same"),
-        "ids_a", "turned_a", "units_a", "ids_b", "turned_b", "units_b")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tile in batches_of(batches):
-            yield _tile(tile, width, similar)
-
-    found = work.keep(pairs.mapInArrow(compare, "id long, links long, root long"))
+            "ids": pa.array([table.column("id").to_numpy().tobytes()], pa.binary()), "vectors": pa.array([raw], pa.binary())})
+
+    blocks = work.keep(
+        dealt.groupBy("cell", "block", "group").applyInArrow(
+            pack, "group int, low array<double>, high array<double>, ids binary, vectors binary"),
+        **LARGE_ROWS)
+    pairs = work.keep(_near_groups(blocks, reach))
+    # Blocks are small on disk where vectors repeat, which must not make Spark send them to the driver.
+    pairs = F.broadcast(pairs) if groups <= _FEW_GROUPS else pairs.hint("merge")
+    sent = blocks.select("group", "ids", "vectors").join(pairs, "group").repartition(max(cores, min(groups * groups, 4096)), "a", "b")
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        a, b = (k.as_py() for k in key)
+        try:
+            return _compared(table, a, b, turn, kind, similar, reach)
+        finally:
+            give_back()
+
+    found = work.keep(sent.groupBy("a", "b").applyInArrow(compare, "id long, links long, root long"))
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
     return work, counts, found.select(F.col("id").alias("a"), F.col("root").alias("b"))
 
 
-def _tiles(blocks: DataFrame, reach: float, axes: int) -> DataFrame:
-    """Pairs of blocks of neighbouring cells, each once, whose boxes lie within reach."""
-    meta = blocks.select("cell", "block", "low", "high")
-    steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    around = meta
-    for i in range(axes):
-        around = around.withColumn(f"step{i}", F.explode(steps))
-    near = F.array(*[(F.element_at("cell", i + 1) + F.col(f"step{i}")).cast("int") for i in range(axes)])
-    a = around.select(F.col("cell").alias("cell_a"), F.col("block").alias("block_a"), F.col("low").alias("low_a"),
-                      F.col("high").alias("high_a"), near.alias("cell_b"))
-    b = meta.select(F.col("cell").alias("cell_b"), F.col("block").alias("block_b"), F.col("low").alias("low_b"), F.col("high").alias("high_b"))
-    gap = F.zip_with(
-        F.zip_with("low_b", "high_a", lambda x, y: x - y), F.zip_with("low_a", "high_b", lambda x, y: x - y),
-        lambda x, y: F.greatest(x, y, F.lit(0.0)))
+def _near_groups(blocks: DataFrame, reach: float) -> DataFrame:
+    """Pairs (a, b) of groups whose boxes lie within reach, a <= b, once for each ``group`` of the two."""
+    sides = blocks.select("group", F.posexplode(F.arrays_zip("low", "high")).alias("axis", "side"))
+    sides = sides.groupBy("group", "axis").agg(F.min("side.low").alias("low"), F.max("side.high").alias("high"))
+    boxes = sides.groupBy("group").agg(F.array_sort(F.collect_list(F.struct("axis", "low", "high"))).alias("box"))
+    a = boxes.select(F.col("group").alias("a"), F.col("box").alias("box_a"))
+    b = boxes.select(F.col("group").alias("b"), F.col("box").alias("box_b"))
+    gap = F.zip_with("box_a", "box_b", lambda x, y: F.greatest(x["low"] - y["high"], y["low"] - x["high"], F.lit(0.0)))
     apart = F.aggregate(gap, F.lit(0.0), lambda total, x: total + x * x)
-    first = F.struct("cell_a", "block_a") <= F.struct(F.col("cell_b").alias("cell_a"), F.col("block_b").alias("block_a"))
-    return a.join(b, "cell_b").where(first & (apart <= reach * reach)).select("cell_a", "block_a", "cell_b", "block_b")
-
-
-def _tile(tile: dict, width: int, similar: float) -> pa.RecordBatch:
-    """Links of each vector of two blocks, and each one's root in a forest of the tile's links."""
-    ids_a, ids_b = np.frombuffer(tile["ids_a"], np.int64), np.frombuffer(tile["ids_b"], np.int64)
-    ya, yb = blob_matrix(tile["turned_a"], width), blob_matrix(tile["turned_b"], width)
-    xa, xb = blob_matrix(tile["units_a"], width), blob_matrix(tile["units_b"], width)
-    stages = [s for s in _STAGES if s < width]
-    rest_a, rest_b = ([np.linalg.norm(y[:, s:], axis=1) for s in stages] for y in (ya, yb))
-    count_a, count_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
-    rows, columns = [], []
-    root_a, root_b = ids_a.copy(), ids_b.copy()
-    for k in range(0, len(ids_a), _ROWS):
-        part = slice(k, k + _ROWS)
-        i, j = _candidates(ya[part], yb, [r[part] for r in rest_a], rest_b, stages, similar - _SLACK)
-        if tile["same"]:
-            keep = i + k < j
-            i, j = i[keep], j[keep]
-        linked = _products(xa[part], xb, i, j) >= similar
-        i, j = i[linked] + k, j[linked]
-        count_a += np.bincount(i, minlength=len(ids_a))
-        count_b += np.bincount(j, minlength=len(ids_b))
-        i, j = _forest(i, j, len(ids_a), len(ids_b))
-        rows.append(i), columns.append(j)
-    i, j = np.concatenate(rows), np.concatenate(columns)
-    if tile["same"]:
-        count_a = count_b = count_a + count_b
-    _settle(i, j, root_a, root_b, tile["same"])
-    if tile["same"]:
-        ids, counts, roots = ids_a, count_a, np.minimum(root_a, root_b)
+    near = a.join(b, (F.col("a") <= F.col("b")) & (apart <= reach * reach)).select("a", "b")
+    return near.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("group"))
+
+
+def _doubles(raw: bytes, kind: np.dtype, width: int) -> np.ndarray:
+    return np.frombuffer(raw, kind).reshape(-1, width).astype(float)
+
+
+class _Block:
+    """Some vectors: as they came, and turned, with the norms of what follows each stage."""
+
+    def __init__(self, ids: bytes, raw: bytes, turn: np.ndarray, kind: np.dtype, nodes: np.ndarray):
+        width = len(turn)
+        self.raw = np.frombuffer(raw, kind).reshape(-1, width)
+        self.nodes = np.searchsorted(nodes, np.frombuffer(ids, np.int64))
+        x = _doubles(raw, kind, width)
+        self.most = np.abs(x).max(1, keepdims=True)
+        x /= self.most
+        self.norm = np.linalg.norm(x, axis=1, keepdims=True)
+        y = (x / self.norm) @ turn
+        self.low, self.high = y.min(0), y.max(0)
+        stages = [s for s in _STAGES if s < width] or [width]
+        self.parts = [y[:, s:t].astype(np.float32) for s, t in zip([0, *stages], stages)]
+        self.rests = [np.linalg.norm(y[:, s:], axis=1).astype(np.float32) for s in stages]
+        # The bound of the first stage is one product: the suffix norm stands as one more dimension.
+        self.lead = np.column_stack([self.parts[0], self.rests[0]])
+
+    def units(self, rows) -> np.ndarray:
+        return self.raw[rows].astype(float) / self.most[rows] / self.norm[rows]
+
+
+def _compared(table: pa.Table, a: int, b: int, turn: np.ndarray, kind: np.dtype, similar: float, reach: float) -> pa.Table:
+    """Links of each vector of two groups (or one), and its root among what these connect."""
+    group = table.column("group").to_numpy()
+    ids = [np.frombuffer(x.as_py(), np.int64) for x in table.column("ids")]
+    nodes = np.sort(np.concatenate(ids))
+    made = [_Block(i, v.as_py(), turn, kind, nodes) for i, v in zip(ids, table.column("vectors"))]
+    left, right = ([n for n in range(len(made)) if group[n] == side] for side in (a, b))
+    count, root = np.zeros(len(nodes), np.int64), np.arange(len(nodes))
+    for m in left:
+        for n in right:
+            if a == b and n < m:
+                continue
+            x, y = made[m], made[n]
+            gap = np.maximum(np.maximum(x.low - y.high, y.low - x.high), 0)
+            if gap @ gap > reach * reach:
+                continue
+            for start in range(0, len(x.raw), _ROWS):
+                i, j = _linked(x, y, slice(start, min(start + _ROWS, len(x.raw))), m == n, similar)
+                if len(i):
+                    u, v = x.nodes[i], y.nodes[j]
+                    count += np.bincount(u, minlength=len(nodes)) + np.bincount(v, minlength=len(nodes))
+                    root = _joined(root, u, v)
+    some = count > 0
+    return pa.table({"id": pa.array(nodes[some]), "links": pa.array(count[some]), "root": pa.array(nodes[root[some]])})
+
+
+def _linked(x: _Block, y: _Block, part: slice, same: bool, similar: float):
+    """Places in two blocks of the pairs that reach the threshold, of some rows of the first."""
+    least = np.float32(similar - _SLACK)
+    i, j = np.divmod(np.flatnonzero(x.lead[part] @ y.lead.T >= least), len(y.raw))
+    i += part.start
+    if same:
+        i, j = i[i < j], j[i < j]
+    if len(x.parts) > 1 and 4 * len(i) < (part.stop - part.start) * len(y.raw):
+        for k in range(1, len(x.parts)):
+            so_far = sum(_products(lambda r, n=n: x.parts[n][r], lambda r, n=n: y.parts[n][r], i, j) for n in range(k + 1))
+            on = so_far + x.rests[k][i] * y.rests[k][j] >= least
+            i, j = i[on], j[on]
+    if 4 * len(i) > (part.stop - part.start) * len(y.raw):  # most are left: all at once
+        products = (x.units(part) @ y.units(slice(None)).T)[i - part.start, j]
     else:
-        ids, counts, roots = (np.concatenate(p) for p in ((ids_a, ids_b), (count_a, count_b), (root_a, root_b)))
-    some = counts > 0
-    return pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(counts[some]), pa.array(roots[some])], ["id", "links", "root"])
-
-
-def _candidates(ya, yb, rest_a, rest_b, stages, least):
-    """Pairs whose cosine may still reach the threshold after the last stage."""
-    if not stages:
-        return np.nonzero(ya @ yb.T >= least)
-    s = stages[0]
-    so_far = ya[:, :s] @ yb[:, :s].T
-    i, j = np.nonzero(so_far + np.outer(rest_a[0], rest_b[0]) >= least)
-    products = so_far[i, j]
-    for before, stage, a, b in zip(stages, stages[1:], rest_a[1:], rest_b[1:]):
-        products = products + _products(ya[:, before:stage], yb[:, before:stage], i, j)
-        on = products + a[i] * b[j] >= least
-        i, j, products = i[on], j[on], products[on]
-    return i, j
+        products = _products(x.units, y.units, i, j)
+    linked = products >= similar
+    return i[linked], j[linked]
 
 
 def _products(x, y, i, j) -> np.ndarray:
-    """Inner products of chosen pairs; all at once where most are chosen."""
-    if 4 * len(i) > len(x) * len(y):
-        return (x @ y.T)[i, j]
+    """Inner products of chosen pairs."""
     out = np.empty(len(i))
-    for k in range(0, len(i), 1 << 16):
-        p = slice(k, k + (1 << 16))
-        out[p] = np.einsum("nd,nd->n", x[i[p]], y[j[p]])
+    for k in range(0, len(i), 1 << 14):
+        p = slice(k, k + (1 << 14))
+        out[p] = np.einsum("nd,nd->n", x(i[p]), y(j[p]))
     return out
 
 
-def _forest(i, j, rows: int, columns: int):
-    """Of these links, enough to connect what they connect."""
-    if not len(i):
-        return i, j
-    best = np.full(rows, columns, np.int64)
-    np.minimum.at(best, i, j)  # a row's first column
-    group = best[i]
-    first = group == j
-    # A row keeps the link to its first column, and the rows of one first column
-    # keep one link between them to each other column they meet.
-    key = group * np.int64(columns + 1) + j
-    _, once = np.unique(key, return_index=True)
-    keep = first.copy()
-    keep[once] = True
-    return i[keep], j[keep]
-
-
-def _settle(i, j, root_a, root_b, same: bool) -> None:
-    """Spread the least id along the links until nothing changes."""
+def _joined(root: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Roots (the least node of what hangs together) when these links come in."""
     while True:
-        before_a, before_b = root_a.copy(), root_b.copy()
-        least = np.minimum(root_a[i], root_b[j])
-        np.minimum.at(root_a, i, least)
-        np.minimum.at(root_b, j, least)
-        if same:
-            np.minimum(root_a, root_b, out=root_a)
-            root_b[:] = root_a
-        if (root_a == before_a).all() and (root_b == before_b).all():
-            return
+        apart = root[u] != root[v]
+        u, v = u[apart], v[apart]
+        if not len(u):
+            return root
+        least = np.minimum(root[u], root[v])
+        np.minimum.at(root, root[u], least)
+        np.minimum.at(root, root[v], least)
+        while (root[root] != root).any():
+            root = root[root]
 
 
 def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", similar: float = SIMILAR) -> DataFrame:

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 4096
+# For tables whose rows are blocks. Parquet's writer else holds 100 rows before it looks at their size, and
+# a reader holds whole row groups.
+LARGE_ROWS = {"parquet.block.size": str(16 << 20), "parquet.page.size.row.check.min": "1"}
 
 
 def usable(rows: DataFrame, id_col: str, vector_col: str, work) -> tuple[DataFrame, int]:

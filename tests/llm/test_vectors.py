@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,3 +76,33 @@ def test_search_reaches_its_recall_and_is_exact_in_what_it_finds(spark, sample):
     assert hits >= 0.9 * total
     few = ann.Index(vectors(spark, [(0, [1, 0]), (1, [0, 1]), (2, [1, 1])])).search(F.col("id") == 0).collect()
     assert sorted((r["rank"], r.vec_id) for r in few) == [(1, 2), (2, 1)]
+
+
+def test_links_do_not_depend_on_the_sizes_of_groups_and_blocks(spark, sample, monkeypatch):
+    """A vector travels once for each group near its own, and links between groups are found."""
+    rows = vectors(spark, list(enumerate(sample)))
+    whole = sorted(embedding_dedup.near_duplicates(rows).collect())
+    monkeypatch.setattr(embedding_dedup, "GROUP_BYTES", 40 * 16 * 4)  # ten groups of 40 rows
+    monkeypatch.setattr(embedding_dedup, "BLOCK_BYTES", 7 * 16 * 4)
+    monkeypatch.setattr(embedding_dedup, "_FEW_GROUPS", 3)
+    assert sorted(embedding_dedup.near_duplicates(rows).collect()) == whole
+    wide = rows.withColumn("embedding", F.col("embedding").cast("array<double>"))
+    assert sorted(embedding_dedup.near_duplicates(wide).collect()) == whole
+
+
+def test_tables_of_blocks_have_small_row_groups(spark, sample, tmp_path, monkeypatch):
+    """Rows of a megabyte are neither written nor read a hundred at once."""
+    kept = []
+    keep = embedding_dedup.Work.keep
+
+    def seen(self, df, **options):
+        kept.append(keep(self, df, **options))
+        return kept[-1]
+
+    monkeypatch.setattr(embedding_dedup.Work, "keep", seen)
+    monkeypatch.setattr(embedding_dedup, "LARGE_ROWS", {**embedding_dedup.LARGE_ROWS, "parquet.block.size": "4096"})
+    monkeypatch.setattr(embedding_dedup, "BLOCK_BYTES", 4 * 16 * 4)
+    embedding_dedup.near_duplicates(vectors(spark, list(enumerate(sample)))).collect()
+    blocks = next(df for df in kept if "vectors" in df.columns)
+    files = [pq.ParquetFile(f.removeprefix("file://")) for f in blocks.inputFiles()]
+    assert sum(f.metadata.num_row_groups for f in files) >= 5 * len(files)
