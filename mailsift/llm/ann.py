@@ -8,8 +8,10 @@ for a bounded set of queries the exact neighbours are found by brute force over
 all rows, and visits are widened until the wanted share of them lies in the
 leaves visited, or all leaves are.
 
-Rows of a leaf lie in blocks of some thousand; a query meets every block of its
-leaves. Blocks give each query's nearest, exactly measured in double precision.
+Rows of a leaf lie in blocks of about a megabyte, and blocks of leaves that follow each
+other make a shard. A query travels once to each shard that holds one of its leaves, with
+their numbers, and meets every block of its leaves there. Blocks give each query's nearest,
+exactly measured in double precision. Only tables bounded by the sample are broadcast.
 
 Defined cases: see ``vectors.usable``; with fewer candidates than wanted all are
 returned; ties go to the smaller id; an empty table gives an empty result.
@@ -26,14 +28,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mailsift.llm.common import Work
-from mailsift.llm.vectors import blob_matrix, block_of, matrix, usable
+from mailsift.llm.common import Work, give_back
+from mailsift.llm.vectors import LARGE_ROWS, blob_matrix, matrix, usable
 
 SAMPLE = 20_000  # rows the tree is fitted on
 BRANCHES, LEAF = 8, 64  # branches of a node; sample rows below which a node is a leaf
 PROBES = 64  # queries that calibrate the visits
 RECALL = 0.97  # of their neighbours
 QUERY_BLOCK = 512  # queries that meet a block at once
+SHARD_BYTES = 32 << 20  # of rows one task holds
+QUERY_BYTES = 4 << 20  # of queries that go to a shard together
+_LEAST_ROWS = 1024  # of a shard, so that little data is not cut to pieces
+BLOCK_BYTES = 1 << 20  # of rows that lie in one block
 _HELD = 200_000  # neighbours a task holds before it narrows them down
 
 _FOUND = "query_id long, vec_id long, score double"
@@ -187,15 +193,32 @@ class Index:
 
         self.filed = work.keep(self.vectors.mapInArrow(file, "id long, leaf long, vector binary"))
         sizes = self.filed.groupBy("leaf").agg(F.count("*").alias("rows"))  # as many as the tree has leaves
+        cores = rows.sparkSession.sparkContext.defaultParallelism
+        total = self.filed.count()
+        shard_rows = min(max(1, SHARD_BYTES // (8 * width)), max(-(-total // (4 * cores)), _LEAST_ROWS))
+        self.shards = -(-total // shard_rows)
+        block_rows = min(shard_rows, max(1, BLOCK_BYTES // (8 * width)))
+        sizes = sizes.withColumn("blocks", F.ceil(F.col("rows") / F.lit(block_rows)))
+        sizes = sizes.withColumn("before", F.sum("rows").over(Window.orderBy("leaf")) - F.col("rows"))
+
+        def shard(block) -> "F.Column":
+            return F.floor((F.col("before") + F.floor(block * F.col("rows") / F.col("blocks"))) / F.lit(shard_rows)).cast("int")
+
+        # Where the blocks of each leaf lie: the first and the last shard.
+        self.places = work.keep(sizes.select("*", shard(F.lit(0)).alias("first"), shard(F.col("blocks") - 1).alias("last")))
 
         def pack(table: pa.Table) -> pa.Table:
             return pa.table({
-                "leaf": table.column("leaf").slice(0, 1),
+                "leaf": table.column("leaf").slice(0, 1), "shard": table.column("shard").slice(0, 1),
                 "ids": pa.array([table.column("id").to_numpy().tobytes()], pa.binary()),
                 "rows": pa.array([b"".join(table.column("vector").to_pylist())], pa.binary())})
 
-        dealt = self.filed.join(F.broadcast(sizes), "leaf").withColumn("block", block_of())
-        self.blocks = work.keep(dealt.groupBy("leaf", "block").applyInArrow(pack, "leaf long, ids binary, rows binary"))
+        dealt = self.filed.join(F.broadcast(self.places), "leaf")
+        dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("shard", shard(F.col("block")))
+        self.blocks = work.keep(
+            dealt.select("leaf", "block", "shard", "id", "vector").groupBy("leaf", "block", "shard").applyInArrow(
+                pack, "leaf long, shard int, ids binary, rows binary"),
+            **LARGE_ROWS)
 
     def calibrate(self, queries: DataFrame, count: int, recall: float = RECALL) -> int:
         """Leaves to visit, from the exact neighbours of some queries."""
@@ -204,7 +227,7 @@ class Index:
             return 1
         ids, x = probes.column("id").to_numpy(), matrix(probes.column("vector").combine_chunks(), self.width)
         exact = _probe(self.vectors, x, ids, self.width, count)
-        homes = exact.join(self.filed.select(F.col("id").alias("vec_id"), "leaf"), "vec_id").select("query_id", "leaf").collect()
+        homes = self.filed.select(F.col("id").alias("vec_id"), "leaf").join(F.broadcast(exact), "vec_id").select("query_id", "leaf").collect()
         place = {int(q): {leaf: n for n, leaf in enumerate(self.tree.visit(v, len(self.tree.leaves)))} for q, v in zip(ids, x)}
         needed = np.sort([place[row.query_id][row.leaf] + 1 for row in homes])
         if not len(needed):
@@ -218,35 +241,51 @@ class Index:
         queries = self.vectors.where(wanted)
         visits, tree, width = self.calibrate(queries, count, recall), self.tree, self.width
 
+        spans = {row.leaf: range(row.first, row.last + 1) for row in self.places.select("leaf", "first", "last").collect()}
+
         def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 x = matrix(batch.column("vector"), width)
-                leaves = [tree.visit(q, visits) for q in x]
-                n = [len(v) for v in leaves]
-                owner = np.repeat(np.arange(len(x)), n)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(pa.array(owner)), pa.array(np.concatenate(leaves).astype(np.int64)),
-                     pa.array([x[o].tobytes() for o in owner], pa.binary())], ["id", "leaf", "vector"])
-
-        visited = self.work.keep(queries.mapInArrow(visit, "id long, leaf long, vector binary"))
-        crowd = visited.groupBy("leaf").agg(F.count("*").alias("crowd"))
-        part = F.pmod(F.xxhash64("id"), F.ceil(F.col("crowd") / F.lit(QUERY_BLOCK))).cast("int")
-
-        def pack(table: pa.Table) -> pa.Table:
-            return pa.table({
-                "leaf": table.column("leaf").slice(0, 1),
-                "query_ids": pa.array([table.column("id").to_numpy().tobytes()], pa.binary()),
-                "queries": pa.array([b"".join(table.column("vector").to_pylist())], pa.binary())})
-
-        packs = visited.join(F.broadcast(crowd), "leaf").withColumn("part", part).groupBy("leaf", "part").applyInArrow(
-            pack, "leaf long, query_ids binary, queries binary")
+                for n, query in enumerate(x):
+                    here: dict[int, list[int]] = {}
+                    for leaf in tree.visit(query, visits):
+                        for shard in spans.get(leaf, ()):
+                            here.setdefault(shard, []).append(leaf)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("id").take(pa.array([n] * len(here), pa.int32())), pa.array(list(here), pa.int32()),
+                         pa.array([np.array(leaves, np.int32).tobytes() for leaves in here.values()], pa.binary()),
+                         pa.array([query.tobytes()] * len(here), pa.binary())], ["id", "shard", "leaves", "vector"])
+
+        sent = queries.mapInArrow(visit, "id long, shard int, leaves binary, vector binary")
+        parts = max(1, -(-queries.count() * 8 * width // QUERY_BYTES))
+        sent = sent.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"))
+        rows = self.blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        tasks = min(max(4 * self.shards * parts, 1), 4096)
+        sent, rows = (side.repartition(tasks, "shard", "part").groupBy("shard", "part") for side in (sent, rows))
+
+        def meet(asked: pa.Table, held: pa.Table) -> pa.Table:
+            try:
+                return _met(asked, held, width, count)
+            finally:
+                give_back()
+
+        met = sent.cogroup(rows).applyInArrow(meet, _FOUND)
+        return _merge(met, count).select("query_id", "rank", "vec_id", "score")
 
-        def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            best = _Nearest(count)
-            for batch in batches:
-                for q_ids, q, ids, x in zip(*(batch.column(n).to_pylist() for n in ("query_ids", "queries", "ids", "rows"))):
-                    best.add(np.frombuffer(q_ids, np.int64), blob_matrix(q, width), np.frombuffer(ids, np.int64), blob_matrix(x, width))
-            yield best.batch()
 
-        met = packs.join(self.blocks, "leaf").select("query_ids", "queries", "ids", "rows").mapInArrow(meet, _FOUND)
-        return _merge(met, count).select("query_id", "rank", "vec_id", "score")
+def _met(asked: pa.Table, held: pa.Table, width: int, count: int) -> pa.Table:
+    """The nearest of each query among the blocks of its leaves."""
+    best = _Nearest(count)
+    ids, x = asked.column("id").to_numpy(), blob_matrix(b"".join(asked.column("vector").to_pylist()), width)
+    leaves = [np.frombuffer(n.as_py(), np.int32) for n in asked.column("leaves")]
+    owner = np.repeat(np.arange(len(ids)), [len(n) for n in leaves])
+    leaves = np.concatenate([*leaves, np.zeros(0, np.int32)])
+    order = np.argsort(leaves, kind="stable")
+    leaves, owner = leaves[order], owner[order]
+    for leaf, row_ids, rows in zip(*(held.column(n) for n in ("leaf", "ids", "rows"))):
+        low, high = np.searchsorted(leaves, [leaf.as_py(), leaf.as_py() + 1])
+        row_ids, rows = np.frombuffer(row_ids.as_py(), np.int64), blob_matrix(rows.as_py(), width)
+        for start in range(low, high, QUERY_BLOCK):
+            some = owner[start : min(start + QUERY_BLOCK, high)]
+            best.add(ids[some], x[some], row_ids, rows)
+    return pa.Table.from_batches([best.batch()])

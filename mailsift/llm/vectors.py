@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 4096
 # For tables whose rows are blocks. Parquet's writer else holds 100 rows before it looks at their size, and
 # a reader holds whole row groups.
 LARGE_ROWS = {"parquet.block.size": str(16 << 20), "parquet.page.size.row.check.min": "1"}
@@ -42,14 +39,3 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
 
 def blob_matrix(blob: bytes, width: int) -> np.ndarray:
     return np.frombuffer(blob, float).reshape(-1, width)
-
-
-def block_of(count: str = "rows") -> "F.Column":
-    """A row's block within its group, by the hash of its id: blocks of about ``BLOCK_ROWS``."""
-    return F.pmod(F.xxhash64("id"), F.ceil(F.col(count) / F.lit(BLOCK_ROWS))).cast("int")
-
-
-def batches_of(table: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    for batch in table:
-        for i in range(batch.num_rows):
-            yield {name: batch.column(name)[i].as_py() for name in batch.schema.names}

@@ -106,3 +106,20 @@ def test_tables_of_blocks_have_small_row_groups(spark, sample, tmp_path, monkeyp
     blocks = next(df for df in kept if "vectors" in df.columns)
     files = [pq.ParquetFile(f.removeprefix("file://")) for f in blocks.inputFiles()]
     assert sum(f.metadata.num_row_groups for f in files) >= 5 * len(files)
+
+
+def test_search_sends_no_table_to_the_driver_and_does_not_depend_on_sizes(spark, sample, monkeypatch):
+    rows = vectors(spark, list(enumerate(sample)))
+    wanted = F.col("id") % 10 == 0
+    found = ann.Index(rows).search(wanted)
+    plan = found._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" not in plan and "BroadcastExchange" not in plan
+    whole = sorted(found.collect())
+    monkeypatch.setattr(ann, "_LEAST_ROWS", 1)
+    monkeypatch.setattr(ann, "SHARD_BYTES", 30 * 16 * 8)
+    monkeypatch.setattr(ann, "BLOCK_BYTES", 7 * 16 * 8)
+    monkeypatch.setattr(ann, "QUERY_BYTES", 9 * 16 * 8)
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 2)
+    index = ann.Index(rows)
+    assert index.shards > 10
+    assert sorted(index.search(wanted).collect()) == whole
