@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -123,3 +124,12 @@ def test_search_sends_no_table_to_the_driver_and_does_not_depend_on_sizes(spark,
     index = ann.Index(rows)
     assert index.shards > 10
     assert sorted(index.search(wanted).collect()) == whole
+
+
+def test_shards_without_queries_or_rows():
+    eye = np.eye(3)
+    asked = pa.table({"id": [1], "vector": [eye[1].tobytes()], "leaves": [np.array([0], np.int32).tobytes()]})
+    held = pa.table({"leaf": [0, 5], "ids": [np.arange(3).tobytes(), np.array([9]).tobytes()], "rows": [eye.tobytes(), eye[1].tobytes()]})
+    assert [(r["query_id"], r["vec_id"]) for r in ann._met(asked, held, 3, 2).to_pylist()] == [(1, 0), (1, 2)]  # leaf 5 is not asked for
+    for a, h in ((asked.slice(1), held), (asked, held.slice(2)), (asked.slice(1), held.slice(2))):
+        assert ann._met(a, h, 3, 2).num_rows == 0
